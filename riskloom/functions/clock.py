@@ -31,40 +31,41 @@ def time_part(clean: Column) -> Column:
     return token(clean, " ", 1)
 
 
-def parse_fields(c: Column, iso_dates: bool = True) -> dict[str, Column]:
-    """T1-T4 on a text column; returns int columns year, month, day, hour, minute.
+def parse_from_parts(dp: Column, tp: Column, slash: Column, dash: Column, colon: Column, iso_dates: bool = True) -> dict[str, Column]:
+    """T2-T4 from pre-split tokens; returns int columns year .. minute.
 
     Layout dispatch: ``/`` -> M/D/Y (token 0 month, token 1 day); ``-`` -> D-M-Y
     (token 0 day, token 1 month); ``/`` wins.  With ``iso_dates`` (default) a date
     part starting with four digits and ``-`` is read as Y-M-D; without it the
     literal rule is kept, which reads the year as the day.
     """
-    clean = date_clean(c)
-    dp = date_part(clean)
-    tp = time_part(clean)
     year = F.regexp_extract(dp, YEAR_PATTERN, 0).try_cast("int")
     has_slash = dp.contains("/")
     has_dash = dp.contains("-")
-    month_slash = F.when(has_slash, token(dp, "/", 0))
-    day_slash = F.when(has_slash, token(dp, "/", 1))
-    day_dash = F.when(has_dash, token(dp, "-", 0))
-    month_dash = F.when(has_dash, token(dp, "-", 1))
-    month_txt = F.coalesce(month_slash, month_dash)
-    day_txt = F.coalesce(day_slash, day_dash)
+    month_txt = F.coalesce(F.when(has_slash, F.get(slash, 0)), F.when(has_dash, F.get(dash, 1)))
+    day_txt = F.coalesce(F.when(has_slash, F.get(slash, 1)), F.when(has_dash, F.get(dash, 0)))
     if iso_dates:
         is_iso = (~has_slash) & dp.rlike(ISO_PREFIX)
-        month_txt = F.when(is_iso, token(dp, "-", 1)).otherwise(month_txt)
-        day_txt = F.when(is_iso, token(dp, "-", 2)).otherwise(day_txt)
-        year = F.when(is_iso, token(dp, "-", 0).try_cast("int")).otherwise(year)
+        month_txt = F.when(is_iso, F.get(dash, 1)).otherwise(month_txt)
+        day_txt = F.when(is_iso, F.get(dash, 2)).otherwise(day_txt)
+        year = F.when(is_iso, F.get(dash, 0).try_cast("int")).otherwise(year)
     return {
         "year": year,
         "month": month_txt.try_cast("int"),
         "day": day_txt.try_cast("int"),
-        "hour": token(tp, ":", 0).try_cast("int"),
-        "minute": token(tp, ":", 1).try_cast("int"),
+        "hour": F.get(colon, 0).try_cast("int"),
+        "minute": F.get(colon, 1).try_cast("int"),
     }
 
 
+def parse_fields(c: Column, iso_dates: bool = True) -> dict[str, Column]:
+    """T1-T4 on a text column as plain expressions (single-expression form of
+    ``parse_from_parts``; the operator stages the splits instead)."""
+    clean = date_clean(c)
+    dp, tp = token(clean, " ", 0), token(clean, " ", 1)
+    return parse_from_parts(dp, tp, F.split(dp, "/"), F.split(dp, "-"), F.split(tp, ":"), iso_dates)
+
+
 def packed_clock(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:
     """Y*10^8 + M*10^6 + D*10^4 + H*100 + Min as long; NULL if any part is NULL.
 

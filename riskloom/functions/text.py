@@ -33,15 +33,24 @@ def clean_text(c: Column) -> Column:
     return null_if_sentinel(normalize_text(c))
 
 
-def clean_merchant_text(c: Column) -> Column:
-    """C3 + C4: runs of backslash/quote/tab/CR/LF become ONE space (replace, not
-    delete), whitespace collapses, ends are stripped; a blank result is NULL."""
+def merchant_spacing(c: Column) -> Column:
+    """Runs of backslash/quote/tab/CR/LF become ONE space (replace, not
+    delete), whitespace collapses, ends are stripped."""
     s = F.regexp_replace(c.cast("string"), r'[\\"\t\r\n]+', " ")
     s = F.regexp_replace(s, r"\s+", " ")
-    s = F.regexp_replace(s, r"^\s+|\s+$", "")
+    return F.regexp_replace(s, r"^\s+|\s+$", "")
+
+
+def blank_to_null(s: Column) -> Column:
+    """C4: a blank (empty or all-whitespace) value is NULL."""
     return F.when(s.rlike(r"^\s*$") | s.isNull(), F.lit(None).cast("string")).otherwise(s)
 
 
+def clean_merchant_text(c: Column) -> Column:
+    """C3 + C4 as one expression."""
+    return blank_to_null(merchant_spacing(c))
+
+
 def join_key(*cols: Column | str, sep: str = "_") -> Column:
     """Concatenate with a separator, skipping NULL parts (all NULL -> '')."""
     return F.concat_ws(sep, *[F.col(c) if isinstance(c, str) else c for c in cols])

@@ -89,7 +89,7 @@ def sequence_features(
     amount: str | None = "amt",
     with_totals: bool = True,
 ) -> DataFrame:
-    """W1-W7 in one exchange; see the module docstring for the plan.
+    """W1-W7 with one wide exchange; see the module docstring for the plan.
 
     Adds ``prev_clock``, ``hours_since_last_trans``, ``is_rapid_transaction``,
     ``trans_count_last_24h`` and (``with_totals``) ``user_transaction_count``,
@@ -97,12 +97,39 @@ def sequence_features(
     clock, frame = spec.column, spec.frame
     bucket = F.coalesce(F.floor(F.col(clock) / F.lit(frame)).cast("long"), F.lit(NULL_BUCKET))
     base = df.withColumn("_bucket", bucket)
+    keep = {key, clock, tiebreak, "_bucket"}
+    wide = [c for c in base.columns if c not in keep]
+
+    # One pass over the input: every row is emitted as itself (_own) and, when
+    # its clock is known, as a narrow context copy for the next bucket (wide
+    # columns NULL, so the copy costs a few bytes in the shuffle).
+    copies = F.when(F.col(clock).isNull(), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
+    doubled = base.select("*", F.explode(copies).alias("_own"))
+    own = F.col("_own")
+    both = doubled.select(
+        F.col(key),
+        (F.col("_bucket") + F.when(own, F.lit(0)).otherwise(F.lit(1))).alias("_bucket"),
+        F.col(clock),
+        F.col(tiebreak),
+        own,
+        *[F.when(own, F.col(c)).alias(c) for c in wide],
+    )
+
+    ordered = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first(), F.col(tiebreak))
+    trailing = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first()).rangeBetween(-frame, 0)
+    windowed = both.withColumn("_lag", F.lag(clock).over(ordered)).withColumn(
+        "trans_count_last_24h", F.count(F.lit(1)).over(trailing)
+    )
+    mine = windowed.where(own).drop("_own")
 
-    # Small side: one row per (user, bucket) -- partial aggregation map-side.
+    # Small side, computed after the exchange (already partitioned by
+    # (user, bucket), so the aggregate needs no shuffle): one row per
+    # user-bucket with its last clock, carried forward over buckets, and the
+    # per-user totals.
     aggs = [F.max(clock).alias("_last"), F.count(F.lit(1)).alias("_n")]
     if with_totals and amount:
         aggs += [F.sum(F.col(amount).cast("double")).alias("_sum_amt"), F.count(amount).alias("_n_amt")]
-    per_bucket = base.groupBy(key, "_bucket").agg(*aggs)
+    per_bucket = mine.groupBy(key, "_bucket").agg(*aggs)
     by_user = Window.partitionBy(key)
     info_cols = [
         F.col(key),
@@ -117,35 +144,10 @@ def sequence_features(
             )
     info = per_bucket.select(*info_cols)
 
-    # Big side: own rows + narrow context copies of the previous bucket.
-    own = base.withColumn("_own", F.lit(True))
-    ctx = base.where(F.col(clock).isNotNull()).select(
-        F.col(key),
-        (F.col("_bucket") + 1).alias("_bucket"),
-        F.col(clock),
-        F.col(tiebreak),
-        F.lit(False).alias("_own"),
-    )
-    both = own.unionByName(ctx, allowMissingColumns=True)
-    ordered = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first(), F.col(tiebreak))
-    trailing = (
-        Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first()).rangeBetween(-frame, 0)
-    )
-    windowed = both.withColumn("_lag", F.lag(clock).over(ordered)).withColumn(
-        "trans_count_last_24h", F.count(F.lit(1)).over(trailing)
-    )
-    mine = windowed.where(F.col("_own")).drop("_own")
-
     joined = mine.join(info, on=[key, "_bucket"], how="left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_last"))
     gap = F.when(prev.isNotNull(), (F.col(clock) - prev) / F.lit(spec.unit)).otherwise(F.lit(-1.0))
-    out = joined.withColumns(
-        {
-            "prev_clock": prev,
-            "hours_since_last_trans": gap,
-        }
-    ).withColumn(
+    out = joined.withColumns({"prev_clock": prev, "hours_since_last_trans": gap}).withColumn(
         "is_rapid_transaction", F.when(F.col("hours_since_last_trans").between(0, 1), 1).otherwise(0)
     )
     return out.drop("_lag", "_prev_last", "_bucket")
-

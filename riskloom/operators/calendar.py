@@ -12,10 +12,35 @@ FIELDS = ("year", "month", "day", "hour", "minute")
 
 
 def parse_datetime(df: DataFrame, column: str = TIME_COLUMN, iso_dates: bool = True) -> DataFrame:
-    """Add int columns year, month, day, hour, minute (NULL when absent)."""
+    """Add int columns year, month, day, hour, minute (NULL when absent).
+
+    The text is split in staged projections (each split once per row; Catalyst
+    keeps projections apart when merging would repeat a non-cheap expression).
+    The fields then come out of a one-element ``inline(array(struct(...)))``
+    generator: filters on them (valid dates, clock not NULL) stay above it
+    instead of being pushed below with the whole split/regex chain inlined, so
+    the text is parsed once per row and the stage stays inside whole-stage
+    codegen (the inlined conditions exceed the 64 KB method limit)."""
     if column not in df.columns:
         raise ValueError(f"time column {column!r} is required")
-    return df.withColumns(clock.parse_fields(F.col(column), iso_dates=iso_dates))
+    helpers = ["_dt_parts", "_dt_date", "_dt_time", "_dt_slash", "_dt_dash", "_dt_colon"]
+    staged = (
+        df.drop(*[c for c in FIELDS if c in df.columns])
+        .withColumn("_dt_parts", F.split(clock.date_clean(F.col(column)), " "))
+        .withColumns({"_dt_date": F.get(F.col("_dt_parts"), 0), "_dt_time": F.get(F.col("_dt_parts"), 1)})
+        .withColumns(
+            {
+                "_dt_slash": F.split(F.col("_dt_date"), "/"),
+                "_dt_dash": F.split(F.col("_dt_date"), "-"),
+                "_dt_colon": F.split(F.col("_dt_time"), ":"),
+            }
+        )
+    )
+    fields = clock.parse_from_parts(
+        F.col("_dt_date"), F.col("_dt_time"), F.col("_dt_slash"), F.col("_dt_dash"), F.col("_dt_colon"), iso_dates
+    )
+    parsed = F.struct(*[expr.alias(name) for name, expr in fields.items()])
+    return staged.select("*", F.inline(F.array(parsed))).drop(*helpers)
 
 
 def valid_dates(df: DataFrame, observation: Observation | None = None) -> DataFrame:

@@ -28,14 +28,20 @@ def clean_string_columns(
     One ``withColumns`` projection for all columns (no per-column job or plan
     growth)."""
     cols = present(df, columns, missing)
-    return df.withColumns({c: text.clean_text(F.col(c)) for c in cols}) if cols else df
+    if not cols:
+        return df
+    # Two projections: the sentinel test reads the normalised text twice, and
+    # Catalyst will not merge them (that would run the regex chain twice).
+    normalized = df.withColumns({c: text.normalize_text(F.col(c)) for c in cols})
+    return normalized.withColumns({c: text.null_if_sentinel(F.col(c)) for c in cols})
 
 
 def clean_merchant(df: DataFrame, column: str = "merchant") -> DataFrame:
     """C3 + C4: merchant-specific cleaning (replace, not delete) and blank -> NULL."""
     if column not in df.columns:
         return df
-    return df.withColumn(column, text.clean_merchant_text(F.col(column)))
+    staged = df.withColumn(column, text.merchant_spacing(F.col(column)))
+    return staged.withColumn(column, text.blank_to_null(F.col(column)))
 
 
 def cast_columns(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.sources.files import spread_scan
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -35,9 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``table`` redistributed when it arrives in fewer splits than task slots."""
+    return spread_scan(table(spark, sf_dir, name))
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty, all-string transactions over every ``events`` row."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     date_dash = F.date_format("ts", "dd-MM-yyyy HH:mm")
     date_slash = F.date_format("ts", "M/d/yyyy HH:mm")
@@ -69,7 +76,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_layout_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates of every ``orders`` row written in three layouts (ISO, D-M-Y,
     M/D/Y) plus date-only rows: exercises layout dispatch and month boundaries."""
-    o = table(spark, sf_dir, "orders")
+    o = spread_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
     return o.select(
