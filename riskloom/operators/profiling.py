@@ -94,9 +94,20 @@ def correlation_matrix(
     All k(k+1)/2 pairs are computed in ONE aggregate (a fixed-size row of
     moments merged once) and unpivoted; constant columns give NULL (ANSI-safe)."""
     cols = [c for c in columns if c in df.columns]
-    data = _complete(df, cols)
+    data = _complete(df, cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = data.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
+    # One standard deviation per column and one covariance per pair (k + k(k-1)/2
+    # aggregate functions, not three per pair); r = cov / (sd_a * sd_b).
+    moments = data.agg(
+        *[F.stddev_samp(c).alias(f"sd|{c}") for c in cols],
+        *[F.covar_samp(a, b).alias(f"cov|{a}|{b}") for a, b in pairs if a != b],
+    )
+    def r(a: str, b: str) -> Column:
+        sd_a, sd_b = F.col(f"`sd|{a}`"), F.col(f"`sd|{b}`")
+        cov = sd_a * sd_a if a == b else F.col(f"`cov|{a}|{b}`")
+        return F.try_divide(cov, sd_a * sd_b)
+
+    wide = moments.select(*[r(a, b).alias(f"{a}|{b}") for a, b in pairs])
     stack_args = []
     for a, b in pairs:
         stack_args += [F.lit(a), F.lit(b), F.col(f"`{a}|{b}`")]

@@ -6,10 +6,10 @@ training part only -> fit assembler+scaler+classifier pipelines on it ->
 score the untouched test part -> one grouped metric aggregate -> pick and save.
 
 The feature table is the one expensive intermediate (it holds the only wide
-shuffle); ``run_pipeline`` cuts its lineage once with ``checkpoint()`` into the
-cluster's shared checkpoint folder so reports, split, balancing and training
-re-read it instead of re-running the windows -- and a lost executor never
-forces them to be recomputed from the raw input.
+shuffle); ``run_pipeline`` writes it once as a parquet table into the
+cluster's shared checkpoint folder, so reports, split, balancing and training
+scan it (with column pruning) instead of re-running the windows -- and a lost
+executor never forces them to be recomputed from the raw input.
 """
 
 from __future__ import annotations
@@ -141,16 +141,18 @@ def run_pipeline(
     feats = engineer_features(prepare(raw), clock=clock, observation=obs)
     if checkpoint:
         ensure_checkpoint_dir(spark)
-        feats = feats.checkpoint(eager=True)
+        feats = files.materialize(feats, "features")
     result = PipelineResult(features=feats, balanced_train=feats, test=feats, observation=obs)
     if do_eda:
         result.reports = eda_reports(feats)
     train, test = sampling.train_test(feats)
     balanced = balance(train, balance_method)
+    if do_training or save_data_path:
+        balanced = files.materialize(balanced, "balanced-train")
     result.balanced_train, result.test = balanced, test
     if do_training:
         models = modeling.train_all(balanced, names=model_names)
-        preds = score_models(models, test).persist()
+        preds = files.materialize(score_models(models, test), "predictions")
         metrics = evaluation.classification_metrics(preds)
         result.models = models
         result.metrics = metrics

@@ -2,6 +2,7 @@
 
 from riskloom.sources.files import (
     drop_vector_columns,
+    materialize,
     read_csv,
     read_table,
     save_metrics,
@@ -13,6 +14,7 @@ from riskloom.sources.fixtures import RAW_COLUMNS, mixed_layout_dates, raw_trans
 __all__ = [
     "RAW_COLUMNS",
     "drop_vector_columns",
+    "materialize",
     "mixed_layout_dates",
     "raw_transactions",
     "read_csv",

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from riskloom.session import scratch_path
+
 try:  # MLlib is optional for the pure-SQL parts
     from pyspark.ml.linalg import VectorUDT
 except Exception:  # pragma: no cover
@@ -66,6 +68,20 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the cluster's shared checkpoint folder and
+    read it back.
+
+    Cuts the lineage (a lost executor never forces the upstream shuffles to be
+    recomputed) and lets every later consumer -- scalar subqueries, union
+    branches, model fits -- scan a columnar table with pruning instead of
+    re-running the plan that produced it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def save_table(
     df: DataFrame,
     path: str,
