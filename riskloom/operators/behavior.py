@@ -19,13 +19,19 @@ become one task:
    ordered ``lag`` window and the ``RANGE`` count share its sort.
 2. the previous event of a bucket's first row may lie in any earlier bucket: a
    small ``groupBy(user, bucket)`` aggregate (partial aggregation, one row per
-   user-bucket) carries each bucket's last clock forward with ``lag`` over
-   buckets, and also yields the per-user totals.  It is joined back on
-   ``(user, bucket)`` -- the window output is already partitioned that way, so
-   only the small side moves (or it is broadcast when AQE measures it small).
+   user-bucket, reading only the pruned key/clock/amount columns) carries each
+   bucket's last clock forward with ``lag`` over buckets (a user has one row
+   per active bucket, bounded by the time span), and also yields the per-user
+   totals.  It is joined back on ``(user, bucket)`` -- the window output is
+   already partitioned that way, so only the small side moves (or it is
+   broadcast when AQE measures it small).
 
 Rows with a NULL clock form their own bucket (they are peers of each other and
 never inside a non-NULL row's frame), exactly as in a single ordered window.
+
+The input is read by two branches (rows and the per-bucket aggregate), so it
+must be deterministic -- a table, or a plan without ``limit``/``sample``/``rand``
+(materialise such an input first).
 """
 
 from __future__ import annotations
@@ -122,14 +128,13 @@ def sequence_features(
     )
     mine = windowed.where(own).drop("_own")
 
-    # Small side, computed after the exchange (already partitioned by
-    # (user, bucket), so the aggregate needs no shuffle): one row per
-    # user-bucket with its last clock, carried forward over buckets, and the
-    # per-user totals.
+    # Small side: one row per user-bucket (partial aggregation map-side, over
+    # the narrow pruned columns of the input) with its last clock, carried
+    # forward over buckets, and the per-user totals.
     aggs = [F.max(clock).alias("_last"), F.count(F.lit(1)).alias("_n")]
     if with_totals and amount:
         aggs += [F.sum(F.col(amount).cast("double")).alias("_sum_amt"), F.count(amount).alias("_n_amt")]
-    per_bucket = mine.groupBy(key, "_bucket").agg(*aggs)
+    per_bucket = base.groupBy(key, "_bucket").agg(*aggs)
     by_user = Window.partitionBy(key)
     info_cols = [
         F.col(key),
