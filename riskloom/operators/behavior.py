@@ -26,8 +26,9 @@ become one task:
    already partitioned that way, so only the small side moves (or it is
    broadcast when AQE measures it small).
 
-Rows with a NULL clock form their own bucket (they are peers of each other and
-never inside a non-NULL row's frame), exactly as in a single ordered window.
+Rows with a NULL clock are peers of each other and never inside a non-NULL
+row's frame (as in a single ordered window): they are spread over hashed
+sub-buckets and take their count from the per-user aggregate.
 
 The input is read by two branches (rows and the per-bucket aggregate), so it
 must be deterministic -- a table, or a plan without ``limit``/``sample``/``rand``
@@ -53,7 +54,8 @@ PACKED_UNIT = 10000.0
 EPOCH_FRAME = 86400
 EPOCH_UNIT = 3600.0
 
-NULL_BUCKET = -(2**62)  # bucket id of rows whose clock is NULL
+NULL_BUCKET = -(2**62)  # bucket ids NULL_BUCKET - (0 .. NULL_SPREAD-1): rows whose clock is NULL
+NULL_SPREAD = 64
 
 
 @dataclass(frozen=True)
@@ -101,7 +103,12 @@ def sequence_features(
     ``trans_count_last_24h`` and (``with_totals``) ``user_transaction_count``,
     ``user_avg_amt``."""
     clock, frame = spec.column, spec.frame
-    bucket = F.coalesce(F.floor(F.col(clock) / F.lit(frame)).cast("long"), F.lit(NULL_BUCKET))
+    # NULL-clock rows are spread over NULL_SPREAD sub-buckets by a hash of the
+    # tie-break key: they need no window (their count is the user's number of
+    # NULL-clock rows, their previous clock is NULL), so a user with many
+    # unparseable times is not one task.
+    null_sub = F.lit(NULL_BUCKET) - F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(NULL_SPREAD))
+    bucket = F.when(F.col(clock).isNull(), null_sub).otherwise(F.floor(F.col(clock) / F.lit(frame)).cast("long"))
     base = df.withColumn("_bucket", bucket)
     keep = {key, clock, tiebreak, "_bucket"}
     wide = [c for c in base.columns if c not in keep]
@@ -140,6 +147,7 @@ def sequence_features(
         F.col(key),
         F.col("_bucket"),
         F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_prev_last"),
+        F.sum(F.when(F.col("_bucket") <= NULL_BUCKET, F.col("_n")).otherwise(F.lit(0))).over(by_user).alias("_null_n"),
     ]
     if with_totals:
         info_cols.append(F.sum("_n").over(by_user).alias("user_transaction_count"))
@@ -152,7 +160,8 @@ def sequence_features(
     joined = mine.join(info, on=[key, "_bucket"], how="left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_last"))
     gap = F.when(prev.isNotNull(), (F.col(clock) - prev) / F.lit(spec.unit)).otherwise(F.lit(-1.0))
-    out = joined.withColumns({"prev_clock": prev, "hours_since_last_trans": gap}).withColumn(
-        "is_rapid_transaction", F.when(F.col("hours_since_last_trans").between(0, 1), 1).otherwise(0)
-    )
-    return out.drop("_lag", "_prev_last", "_bucket")
+    count = F.when(F.col(clock).isNull(), F.col("_null_n")).otherwise(F.col("trans_count_last_24h"))
+    out = joined.withColumns(
+        {"prev_clock": prev, "hours_since_last_trans": gap, "trans_count_last_24h": count}
+    ).withColumn("is_rapid_transaction", F.when(F.col("hours_since_last_trans").between(0, 1), 1).otherwise(0))
+    return out.drop("_lag", "_prev_last", "_bucket", "_null_n")

@@ -1,0 +1,22 @@
+"""Streaming.
+
+The workload this library rebuilds is a batch: it has no stream source, no
+watermark, no event-time window and no state store, so no streaming operator
+is added here.
+
+What carries over unchanged: every *row-local* stage -- text cleaning and
+typing (``operators.cleaning``), missing-value fills with fixed values, date
+parsing, calendar flags and both clocks (``operators.calendar``), the user key
+-- is a plain projection/filter and runs as-is on a DataFrame from
+``spark.readStream`` (checked in ``tests/test_streaming.py``); a fitted
+``PipelineModel`` from ``operators.modeling`` scores a streaming frame with
+``model.transform``.  The per-user windows, balancing, reports and model fits
+need the whole table and stay batch operators.
+"""
+
+from riskloom.operators.calendar import calendar_features
+from riskloom.operators.cleaning import clean_and_type
+
+ROW_LOCAL_STAGES = (clean_and_type, calendar_features)
+
+__all__ = ["ROW_LOCAL_STAGES"]
