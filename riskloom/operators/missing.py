@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators.quantiles import exact_median_row
+
 # Fixed values (reference behaviour): a column is essential when its lower-cased
 # name contains one of these words; strings are filled with this marker.
 ESSENTIAL_KEYWORDS = ("is_fraud", "amt")
@@ -47,14 +49,14 @@ def median_values(df: DataFrame, columns: Sequence[str], exact: bool = False) ->
     """One-row frame of medians for ``columns``, computed in ONE aggregate.
 
     ``exact=False`` uses the bounded-memory quantile sketch with the reference's
-    rank error; ``exact=True`` uses the exact (interpolated) ``percentile``."""
+    rank error; ``exact=True`` the exact interpolated median from bounded
+    histogram passes (``operators.quantiles``)."""
+    if exact:
+        return exact_median_row(df, list(columns))
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
-        if exact:
-            aggs.append(F.percentile(x, 0.5).alias(c))
-        else:
-            aggs.append(F.percentile_approx(x, 0.5, int(round(1 / MEDIAN_RELATIVE_ERROR))).alias(c))
+        aggs.append(F.percentile_approx(x, 0.5, int(round(1 / MEDIAN_RELATIVE_ERROR))).alias(c))
     return df.agg(*aggs)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.stats import safe_corr
+from riskloom.operators.quantiles import exact_median_row, exact_quantiles
 
 LABEL = "is_fraud"
 # Fixed values (reference behaviour): the columns of the correlation analysis, in order.
@@ -51,13 +52,16 @@ def class_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
 def amount_summary(df: DataFrame, column: str = "amt", label: str = LABEL, exact: bool = True) -> DataFrame:
     """A3: count, mean, stddev, min, quartiles, max of the amount in one aggregate.
 
-    ``exact=False`` takes the quartiles from the bounded quantile sketch."""
+    Exact quartiles come from bounded histogram passes (a scalar subquery);
+    ``exact=False`` takes them from the quantile sketch instead."""
     x = F.col(column).cast("double")
+    data = _labelled(df, label)
     if exact:
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        qs = exact_quantiles(data, [column], [0.25, 0.5, 0.75])
+        q = qs.select(F.array("q_0_25", "q_0_5", "q_0_75")).scalar()
     else:
         q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
-    agg = _labelled(df, label).agg(
+    agg = data.agg(
         F.count(x).cast("bigint").alias("n"),
         F.avg(x).alias("mean"),
         F.stddev_samp(x).alias("stddev"),
@@ -143,29 +147,33 @@ def label_correlation_top(df: DataFrame, k: int = 5, columns: Sequence[str] = CO
     )
 
 
-def _median(c: Column) -> Column:
-    return F.percentile(c.cast("double"), 0.5)
-
-
 def stats_by_class(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Per class -- amount mean/median/std/count; mean/median of user
-    average, user count and 24 h count (those present), 2 decimals."""
+    average, user count and 24 h count (those present), 2 decimals.
+
+    Moments are one grouped aggregate; the medians of all columns come from
+    one bounded exact-quantile pass grouped by class, pivoted and joined on
+    the class (one row per class on both sides)."""
+    data = _labelled(df, label)
+    cols = [c for c in ("amt", "user_avg_amt", "user_transaction_count", "trans_count_last_24h") if c in df.columns]
     aggs = []
-    if "amt" in df.columns:
+    if "amt" in cols:
         x = F.col("amt").cast("double")
         aggs += [
             F.bround(F.avg(x), 2).alias("amt_mean"),
-            F.bround(_median(x), 2).alias("amt_median"),
             F.bround(F.stddev_samp(x), 2).alias("amt_std"),
             F.count(x).cast("bigint").alias("amt_count"),
         ]
-    for c in ("user_avg_amt", "user_transaction_count", "trans_count_last_24h"):
-        if c in df.columns:
-            aggs += [
-                F.bround(F.avg(F.col(c).cast("double")), 2).alias(f"{c}_mean"),
-                F.bround(_median(F.col(c)), 2).alias(f"{c}_median"),
-            ]
-    return _labelled(df, label).groupBy(label).agg(*aggs)
+    for c in cols:
+        if c != "amt":
+            aggs.append(F.bround(F.avg(F.col(c).cast("double")), 2).alias(f"{c}_mean"))
+    moments = data.groupBy(label).agg(*aggs)
+    if not cols:
+        return moments
+    med = exact_quantiles(data, cols, [0.5], by=[label])
+    medians = med.groupBy(label).pivot("column", cols).agg(F.first("q_0_5"))
+    medians = medians.select(label, *[F.bround(F.col(c), 2).alias(f"{c}_median") for c in cols])
+    return moments.join(medians, on=label, how="left")
 
 
 def rate_by_hour_top(df: DataFrame, k: int = 5, label: str = LABEL) -> DataFrame:
@@ -203,7 +211,7 @@ def segment_rates(df: DataFrame, label: str = LABEL) -> DataFrame:
         if c in data.columns:
             medians[c] = seg
     if medians:
-        med_row = data.agg(*[_median(F.col(c)).alias(c) for c in medians])
+        med_row = exact_median_row(data, list(medians))
         med = med_row.select(F.struct(*[F.col(c) for c in medians]).alias("m")).scalar()
         for c, seg in medians.items():
             x = F.col(c).cast("double")

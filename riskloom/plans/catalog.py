@@ -247,7 +247,7 @@ def q_class_distribution(spark, sf):
 
 
 def q_amount_summary(spark, sf):
-    return profiling.amount_summary(features(spark, sf))
+    return profiling.amount_summary(stored_features(spark, sf))
 
 
 def q_correlation_matrix(spark, sf):
@@ -259,7 +259,7 @@ def q_label_correlation_top5(spark, sf):
 
 
 def q_stats_by_class(spark, sf):
-    return profiling.stats_by_class(features(spark, sf))
+    return profiling.stats_by_class(stored_features(spark, sf))
 
 
 def q_rate_by_hour_top5(spark, sf):
