@@ -36,13 +36,25 @@ def exact_quantiles(
     values: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
+    small_groups: bool | None = None,
 ) -> DataFrame:
     """One row per (``by`` group, value column) with one column per prob.
 
     Output columns: ``*by``, ``column``, ``n`` and ``q_<p>`` for each prob
     (e.g. ``q_0_5``).  NULL values are ignored; a group with no value gives
-    NULL quantiles."""
+    NULL quantiles.
+
+    ``small_groups`` (default: True when ``by`` is empty) declares that the
+    number of groups is bounded (e.g. a 0/1 label): the per-group stats and
+    target-bin lists (one row per group and column) are then broadcast, so the
+    wide input is never shuffled for those joins.  Otherwise the joins are
+    left to AQE."""
     by = list(by)
+    small = (not by) if small_groups is None else small_groups
+
+    def side(d: DataFrame) -> DataFrame:
+        return F.broadcast(d) if small else d
+
     keys = by + ["_col"]
     stacked = df.select(
         *by,
@@ -59,7 +71,7 @@ def exact_quantiles(
     bin_of = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(BINS - 1))
     ).cast("long")
-    binned = data.join(stats.select(*keys, "_lo", "_hi"), on=keys, how="inner").withColumn("_bin", bin_of)
+    binned = data.join(side(stats.select(*keys, "_lo", "_hi")), on=keys, how="inner").withColumn("_bin", bin_of)
 
     hist = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
     run = hist.withColumn(
@@ -92,7 +104,7 @@ def exact_quantiles(
     )
     target_bins = targets.select(*keys, "_bin").distinct()
 
-    in_bins = binned.join(target_bins, on=keys + ["_bin"], how="left_semi")
+    in_bins = binned.join(side(target_bins), on=keys + ["_bin"], how="left_semi")
     vals = in_bins.groupBy(*keys, "_bin", "_v").agg(F.count(F.lit(1)).alias("_vc"))
     vals = vals.withColumn(
         "_vend",
