@@ -60,3 +60,34 @@ def test_missing_policy(spark):
     assert cleaning.present(df, ["merchant", "job"]) == ["merchant"]
     with pytest.raises(ValueError):
         cleaning.present(df, ["merchant", "job"], missing="error")
+
+
+def test_fused_rules_equal_the_step_by_step_rules(spark):
+    """The 2-pass C1 and 1-pass C3 equal the literal multi-step regex chains."""
+    from pyspark.sql import functions as F
+
+    alphabet = ["a", " ", "\t", "\r", "\n", "\\", '"', "\x0b", "\x0c", "x", "  "]
+    import random
+
+    rnd = random.Random(5)
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(400)]
+    df = _one_col(spark, "v", values + [None])
+    c = F.col("v")
+    c1 = F.trim(
+        F.regexp_replace(
+            F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\\", ""), '"', ""), r"[\t\r\n]+", " "),
+            r"\s+",
+            " ",
+        )
+    )
+    c3 = F.regexp_replace(
+        F.regexp_replace(F.regexp_replace(c, r'[\\"\t\r\n]+', " "), r"\s+", " "), r"^\s+|\s+$", ""
+    )
+    c3 = F.when(c3.rlike(r"^\s*$") | c3.isNull(), F.lit(None)).otherwise(c3)
+    from riskloom.functions import text
+
+    out = df.select(
+        text.normalize_text(c).alias("a"), c1.alias("b"), text.clean_merchant_text(c).alias("m"), c3.alias("n")
+    ).collect()
+    assert all(r["a"] == r["b"] for r in out)
+    assert all(r["m"] == r["n"] for r in out)
