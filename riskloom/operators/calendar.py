@@ -58,6 +58,19 @@ def valid_dates(df: DataFrame, observation: Observation | None = None) -> DataFr
     return df.where(ok)
 
 
+def date_validity_report(parsed: DataFrame) -> DataFrame:
+    """T5 / A4 as a report: one row ``(rows_in, rows_invalid_date)`` over parsed
+    rows -- a lazy aggregate, computed only when the caller asks for it.
+
+    (Pipelines that also score MLlib models use this instead of an
+    ``Observation``: on PySpark 4.1 a session that has used an ``Observation``
+    can no longer serialise MLlib transform closures.)"""
+    ok = F.col("year").isNotNull() & F.col("month").isNotNull() & F.col("day").isNotNull()
+    return parsed.agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(~ok).cast("bigint").alias("rows_invalid_date")
+    )
+
+
 def calendar_flags(df: DataFrame) -> DataFrame:
     """is_night (22-05), is_business_hours (9-17), day_of_month; NULL hour -> 0."""
     h = F.col("hour")

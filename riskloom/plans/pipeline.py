@@ -120,7 +120,6 @@ class PipelineResult:
     metrics: DataFrame | None = None
     best: DataFrame | None = None
     saved: dict[str, str] = field(default_factory=dict)
-    observation: Observation | None = None
 
 
 def run_pipeline(
@@ -137,14 +136,16 @@ def run_pipeline(
 ) -> PipelineResult:
     """The end-to-end batch; returns DataFrames and models, never prints."""
     spark = raw.sparkSession
-    obs = Observation("valid_dates")
-    feats = engineer_features(prepare(raw), clock=clock, observation=obs)
+    prepared = prepare(raw)
+    feats = engineer_features(prepared, clock=clock)
     if checkpoint:
         ensure_checkpoint_dir(spark)
         feats = files.materialize(feats, "features")
-    result = PipelineResult(features=feats, balanced_train=feats, test=feats, observation=obs)
+    result = PipelineResult(features=feats, balanced_train=feats, test=feats)
+    # T5 / A4: dropped-date counts as a lazy report (no job unless collected)
+    result.reports["valid_dates"] = calendar.date_validity_report(calendar.parse_datetime(prepared))
     if do_eda:
-        result.reports = eda_reports(feats)
+        result.reports.update(eda_reports(feats))
     train, test = sampling.train_test(feats)
     balanced = balance(train, balance_method)
     if do_training or save_data_path:

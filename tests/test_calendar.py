@@ -36,11 +36,16 @@ def test_iso_branch(spark):
 
 
 def test_valid_dates_and_observation(spark):
-    df = calendar.parse_datetime(_times(spark, ["1/2/2019 1:02", "not-a-date", "2019-01-01"]))
+    # own session: on PySpark 4.1 a session that used an Observation can no
+    # longer serialise MLlib transform closures (see date_validity_report)
+    s2 = spark.newSession()
+    df = calendar.parse_datetime(_times(s2, ["1/2/2019 1:02", "not-a-date", "2019-01-01"]))
     obs = Observation("t5")
     kept = calendar.valid_dates(df, obs)
     assert kept.count() == 2
     assert obs.get == {"rows_in": 3, "rows_invalid_date": 1}
+    report = calendar.date_validity_report(df).first()
+    assert (report["rows_in"], report["rows_invalid_date"]) == (3, 1)
 
 
 def test_flags_and_clocks(spark):
