@@ -12,23 +12,23 @@ Semantics (per user, events ordered by a clock, ties broken by ``trans_num``):
 Plan shape, designed so that one user holding a third of all rows does not
 become one task:
 
-1. rows are keyed by ``(user, bucket)`` with ``bucket = floor(clock / frame)``.
-   A ``[t - frame, t]`` frame only reaches back into bucket ``b - 1``, so each
-   bucket's rows are also emitted -- narrow (key, clock, tie-break only) -- as
-   *context* rows of bucket ``b + 1``.  One exchange on ``(user, bucket)``; the
-   ordered ``lag`` window and the ``RANGE`` count share its sort.
-2. the previous event of a bucket's first row may lie in any earlier bucket: a
-   small ``groupBy(user, bucket)`` aggregate (partial aggregation, one row per
-   user-bucket, reading only the pruned key/clock/amount columns) carries each
-   bucket's last clock forward with ``lag`` over buckets (a user has one row
-   per active bucket, bounded by the time span), and also yields the per-user
-   totals.  It is joined back on ``(user, bucket)`` -- the window output is
-   already partitioned that way, so only the small side moves (or it is
-   broadcast when AQE measures it small).
-
-Rows with a NULL clock are peers of each other and never inside a non-NULL
-row's frame (as in a single ordered window): they are spread over hashed
-sub-buckets and take their count from the per-user aggregate.
+1. rows are keyed by ``(user, bucket)`` with ``bucket = floor(clock / width)``
+   and a width that divides the frame (``frame = k * width``; one hour for the
+   real clock, k = 24).  A ``[t - frame, t]`` frame covers the tail of bucket
+   ``b - k``, all of buckets ``b - k + 1 .. b - 1`` and the head of ``b``.  One
+   generator pass emits every row and a narrow context copy (key, clock,
+   tie-break only) for bucket ``b + k``; after ONE exchange on ``(user,
+   bucket)`` a ``RANGE [t - frame, t]`` count over own + context rows gives
+   the head and the tail, and ``last(own clock)`` the previous event inside
+   the bucket -- both windows share one sort.
+2. a small ``groupBy(user, bucket)`` aggregate (partial aggregation, reading
+   only the pruned key/clock/amount columns; one row per active user-hour)
+   gives, by windows over a user's buckets, the count of the full middle
+   buckets (``RANGE (k-1) .. 1 PRECEDING`` on the bucket number, so empty
+   buckets need no row), the last clock of the previous non-empty bucket, and
+   the per-user totals.  It is joined back on ``(user, bucket)`` -- the window
+   output is already partitioned that way, so only the small side moves (or
+   it is broadcast when AQE measures it small).
 
 The input is read by two branches (rows and the per-bucket aggregate), so it
 must be deterministic -- a table, or a plan without ``limit``/``sample``/``rand``
@@ -60,15 +60,25 @@ NULL_SPREAD = 64
 
 @dataclass(frozen=True)
 class ClockSpec:
-    """Which clock drives the sequence features and how to read it."""
+    """Which clock drives the sequence features and how to read it.
+
+    ``bucket`` is the partitioning width in clock units; it must divide
+    ``frame``.  Smaller buckets split hot users finer (still one context copy
+    per row) at the cost of more rows in the per-bucket aggregate."""
 
     column: str
     frame: int
     unit: float
+    bucket: int
+
+    def __post_init__(self) -> None:
+        if self.bucket <= 0 or self.frame % self.bucket:
+            raise ValueError("bucket width must divide the frame")
 
 
-PACKED = ClockSpec("trans_seconds", PACKED_FRAME, PACKED_UNIT)
-EPOCH = ClockSpec("epoch_seconds", EPOCH_FRAME, EPOCH_UNIT)
+# Packed clock: 100 units = one hour (..DDHH00 .. ..DDHH59); the frame spans 100 of them.
+PACKED = ClockSpec("trans_seconds", PACKED_FRAME, PACKED_UNIT, 100)
+EPOCH = ClockSpec("epoch_seconds", EPOCH_FRAME, EPOCH_UNIT, 3600)
 
 
 def add_user_key(df: DataFrame, parts: Sequence[str] = USER_KEY_PARTS, name: str = "user_id") -> DataFrame:
@@ -102,26 +112,27 @@ def sequence_features(
     Adds ``prev_clock``, ``hours_since_last_trans``, ``is_rapid_transaction``,
     ``trans_count_last_24h`` and (``with_totals``) ``user_transaction_count``,
     ``user_avg_amt``."""
-    clock, frame = spec.column, spec.frame
+    clock, frame, width = spec.column, spec.frame, spec.bucket
+    k = frame // width
     # NULL-clock rows are spread over NULL_SPREAD sub-buckets by a hash of the
     # tie-break key: they need no window (their count is the user's number of
     # NULL-clock rows, their previous clock is NULL), so a user with many
     # unparseable times is not one task.
     null_sub = F.lit(NULL_BUCKET) - F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(NULL_SPREAD))
-    bucket = F.when(F.col(clock).isNull(), null_sub).otherwise(F.floor(F.col(clock) / F.lit(frame)).cast("long"))
+    bucket = F.when(F.col(clock).isNull(), null_sub).otherwise(F.floor(F.col(clock) / F.lit(width)).cast("long"))
     base = df.withColumn("_bucket", bucket)
     keep = {key, clock, tiebreak, "_bucket"}
     wide = [c for c in base.columns if c not in keep]
 
     # One pass over the input: every row is emitted as itself (_own) and, when
-    # its clock is known, as a narrow context copy for the next bucket (wide
+    # its clock is known, as a narrow context copy for bucket b + k (wide
     # columns NULL, so the copy costs a few bytes in the shuffle).
     copies = F.when(F.col(clock).isNull(), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
     doubled = base.select("*", F.explode(copies).alias("_own"))
     own = F.col("_own")
     both = doubled.select(
         F.col(key),
-        (F.col("_bucket") + F.when(own, F.lit(0)).otherwise(F.lit(1))).alias("_bucket"),
+        (F.col("_bucket") + F.when(own, F.lit(0)).otherwise(F.lit(k))).alias("_bucket"),
         F.col(clock),
         F.col(tiebreak),
         own,
@@ -130,9 +141,10 @@ def sequence_features(
 
     ordered = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first(), F.col(tiebreak))
     trailing = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first()).rangeBetween(-frame, 0)
-    windowed = both.withColumn("_lag", F.lag(clock).over(ordered)).withColumn(
-        "trans_count_last_24h", F.count(F.lit(1)).over(trailing)
-    )
+    before_me = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    windowed = both.withColumn(
+        "_lag", F.last(F.when(own, F.col(clock)), ignorenulls=True).over(before_me)
+    ).withColumn("_edge", F.count(F.lit(1)).over(trailing))
     mine = windowed.where(own).drop("_own")
 
     # Small side: one row per user-bucket (partial aggregation map-side, over
@@ -148,6 +160,9 @@ def sequence_features(
         F.col("_bucket"),
         F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_prev_last"),
         F.sum(F.when(F.col("_bucket") <= NULL_BUCKET, F.col("_n")).otherwise(F.lit(0))).over(by_user).alias("_null_n"),
+        F.coalesce(
+            F.sum("_n").over(Window.partitionBy(key).orderBy("_bucket").rangeBetween(-(k - 1), -1)), F.lit(0)
+        ).alias("_mid"),
     ]
     if with_totals:
         info_cols.append(F.sum("_n").over(by_user).alias("user_transaction_count"))
@@ -160,8 +175,8 @@ def sequence_features(
     joined = mine.join(info, on=[key, "_bucket"], how="left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_last"))
     gap = F.when(prev.isNotNull(), (F.col(clock) - prev) / F.lit(spec.unit)).otherwise(F.lit(-1.0))
-    count = F.when(F.col(clock).isNull(), F.col("_null_n")).otherwise(F.col("trans_count_last_24h"))
+    count = F.when(F.col(clock).isNull(), F.col("_null_n")).otherwise(F.col("_edge") + F.col("_mid"))
     out = joined.withColumns(
         {"prev_clock": prev, "hours_since_last_trans": gap, "trans_count_last_24h": count}
     ).withColumn("is_rapid_transaction", F.when(F.col("hours_since_last_trans").between(0, 1), 1).otherwise(0))
-    return out.drop("_lag", "_prev_last", "_bucket", "_null_n")
+    return out.drop("_lag", "_prev_last", "_bucket", "_null_n", "_edge", "_mid")

@@ -41,6 +41,11 @@ def test_packed_clock_semantics(spark):
     assert [g[2] for g in got] == [0, 1, 1, 0, 0]
 
 
+def test_bucket_must_divide_frame():
+    with pytest.raises(ValueError):
+        behavior.ClockSpec("epoch_seconds", 86400, 3600.0, 7000)
+
+
 def test_real_time_semantics(spark):
     out = behavior.sequence_features(_one_user(spark), spec=behavior.EPOCH)
     got = _by_num(out, "hours_since_last_trans", "trans_count_last_24h", "user_transaction_count", "user_avg_amt")
@@ -74,7 +79,16 @@ def _plain_windows(df, spec):
     return out.withColumn("hours_since_last_trans", gap.otherwise(F.lit(-1.0)))
 
 
-@pytest.mark.parametrize("spec", [behavior.PACKED, behavior.EPOCH], ids=["packed", "epoch"])
+SPECS = [
+    behavior.PACKED,
+    behavior.EPOCH,
+    behavior.ClockSpec("epoch_seconds", 86400, 3600.0, 60),  # k = 1440 minute buckets
+    behavior.ClockSpec("trans_seconds", 10000, 10000.0, 1),  # k = 10000
+    behavior.ClockSpec("epoch_seconds", 86400, 3600.0, 86400),  # k = 1
+]
+
+
+@pytest.mark.parametrize("spec", SPECS, ids=["packed", "epoch", "epoch-minute", "packed-unit", "epoch-day"])
 def test_bucketed_plan_equals_plain_windows(spark, spec):
     keyed = catalog.keyed(spark, SF_SMALL)
     # add rows with a NULL clock (no time part) and exact clock ties
