@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.stats import safe_corr
 from riskloom.operators.quantiles import exact_median_row, exact_quantiles
 
 LABEL = "is_fraud"
@@ -89,48 +88,53 @@ def _complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
+def _centred_moments(data: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row: for every pair (a, b), sum((a - mean_a) * (b - mean_b)).
+
+    Two passes over ``data``: the means (one scalar subquery), then plain sums
+    of centred products -- numerically stable like a two-pass variance, and a
+    handful of double sums per pair, so the aggregate stays inside whole-stage
+    codegen (the covar/stddev buffers of dozens of pairs exceed its field limit)."""
+    means = data.agg(*[F.avg(c).alias(c) for c in cols]).select(F.struct(*cols).alias("m")).scalar()
+    centred = {c: F.col(c) - means.getField(c) for c in cols}
+    return data.agg(*[F.sum(centred[a] * centred[b]).alias(f"s|{a}|{b}") for a, b in pairs])
+
+
+def _corr_from(a: str, b: str) -> Column:
+    sab, saa, sbb = (F.col(f"`s|{x}|{y}`") for x, y in ((a, b), (a, a), (b, b)))
+    return F.try_divide(sab, F.sqrt(saa * sbb))
+
+
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str] = CORRELATION_FEATURES, digits: int = 3
 ) -> DataFrame:
     """A5: Pearson matrix of the present numeric features and the label as
     ``(feature_a, feature_b, corr)``, rows with any NULL removed.
 
-    All k(k+1)/2 pairs are computed in ONE aggregate (a fixed-size row of
-    moments merged once) and unpivoted; constant columns give NULL (ANSI-safe)."""
+    All k(k+1)/2 centred cross-products come from ONE aggregate (after a
+    means pass) and are unpivoted; constant columns give NULL (ANSI-safe)."""
     cols = [c for c in columns if c in df.columns]
     data = _complete(df, cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    # One standard deviation per column and one covariance per pair (k + k(k-1)/2
-    # aggregate functions, not three per pair); r = cov / (sd_a * sd_b).
-    moments = data.agg(
-        *[F.stddev_samp(c).alias(f"sd|{c}") for c in cols],
-        *[F.covar_samp(a, b).alias(f"cov|{a}|{b}") for a, b in pairs if a != b],
-    )
-    def r(a: str, b: str) -> Column:
-        sd_a, sd_b = F.col(f"`sd|{a}`"), F.col(f"`sd|{b}`")
-        cov = sd_a * sd_a if a == b else F.col(f"`cov|{a}|{b}`")
-        return F.try_divide(cov, sd_a * sd_b)
-
-    wide = moments.select(*[r(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    stack_args = []
+    moments = _centred_moments(data, cols, pairs)
+    entries = []
     for a, b in pairs:
-        stack_args += [F.lit(a), F.lit(b), F.col(f"`{a}|{b}`")]
+        r = _corr_from(a, b).cast("double")
+        entries.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), r.alias("corr")))
         if a != b:
-            stack_args += [F.lit(b), F.lit(a), F.col(f"`{a}|{b}`")]
-    n = len(stack_args) // 3
-    long = wide.select(F.inline(F.array(*[F.struct(
-        stack_args[3 * i].alias("feature_a"),
-        stack_args[3 * i + 1].alias("feature_b"),
-        stack_args[3 * i + 2].cast("double").alias("corr"),
-    ) for i in range(n)])))
+            entries.append(F.struct(F.lit(b).alias("feature_a"), F.lit(a).alias("feature_b"), r.alias("corr")))
+    long = moments.select(F.inline(F.array(*entries)))
     return long.select("feature_a", "feature_b", F.bround("corr", digits).alias("corr"))
 
 
 def label_correlations(df: DataFrame, columns: Sequence[str] = CORRELATION_FEATURES, label: str = LABEL) -> DataFrame:
     """Correlation of every present feature with the label, long form, undefined dropped."""
     feats = [c for c in columns if c in df.columns and c != label]
-    data = _complete(df, feats + [label])
-    wide = data.agg(*[safe_corr(F.col(c), F.col(label)).alias(c) for c in feats])
+    cols = feats + [label]
+    data = _complete(df, cols).select(*[F.col(c).cast("double").alias(c) for c in cols])
+    pairs = [(c, label) for c in feats] + [(c, c) for c in cols]
+    moments = _centred_moments(data, cols, pairs)
+    wide = moments.select(*[_corr_from(c, label).alias(c) for c in feats])
     long = wide.unpivot([], feats, "feature", "corr")
     return long.where(F.col("corr").isNotNull() & ~F.isnan("corr"))
 

@@ -62,10 +62,14 @@ def exact_quantiles(
             F.array(*[F.struct(F.lit(v).alias("_col"), F.col(v).cast("double").alias("_v")) for v in values])
         ).alias("_kv"),
     ).select(*by, F.col("_kv._col").alias("_col"), F.col("_kv._v").alias("_v"))
-    data = stacked.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
-    stats = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    valid = F.col("_v").isNotNull() & ~F.isnan("_v")
+    data = stacked.where(valid)
+
+    # every group gets a stats row (count 0 when it has no value)
+    stats = stacked.groupBy(*keys).agg(
+        F.count_if(valid).alias("_n"),
+        F.min(F.when(valid, F.col("_v"))).alias("_lo"),
+        F.max(F.when(valid, F.col("_v"))).alias("_hi"),
     )
     width = (F.col("_hi") - F.col("_lo")) / F.lit(BINS)
     bin_of = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
@@ -128,10 +132,8 @@ def exact_quantiles(
         *[F.max(F.when(F.col("_i") == i, interp)).alias(_q_name(p)) for i, p in enumerate(probs)]
     )
     # groups with no non-NULL value still get a row (NULL quantiles)
-    all_groups = stacked.select(*keys).distinct()
-    out = all_groups.join(wide, on=keys, how="left")
-    return out.select(*by, F.col("_col").alias("column"), F.coalesce("_n", F.lit(0)).alias("n"),
-                      *[_q_name(p) for p in probs])
+    out = stats.select(*keys, "_n").join(wide.drop("_n"), on=keys, how="left")
+    return out.select(*by, F.col("_col").alias("column"), F.col("_n").alias("n"), *[_q_name(p) for p in probs])
 
 
 def exact_median_row(df: DataFrame, values: Sequence[str]) -> DataFrame:

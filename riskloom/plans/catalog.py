@@ -251,11 +251,11 @@ def q_amount_summary(spark, sf):
 
 
 def q_correlation_matrix(spark, sf):
-    return profiling.correlation_matrix(features(spark, sf))
+    return profiling.correlation_matrix(stored_features(spark, sf))
 
 
 def q_label_correlation_top5(spark, sf):
-    return profiling.label_correlation_top(features(spark, sf), 5)
+    return profiling.label_correlation_top(stored_features(spark, sf), 5)
 
 
 def q_stats_by_class(spark, sf):
