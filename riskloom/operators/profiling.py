@@ -96,8 +96,9 @@ def _centred_moments(data: DataFrame, cols: Sequence[str], pairs: Sequence[tuple
     handful of double sums per pair, so the aggregate stays inside whole-stage
     codegen (the covar/stddev buffers of dozens of pairs exceed its field limit)."""
     means = data.agg(*[F.avg(c).alias(c) for c in cols]).select(F.struct(*cols).alias("m")).scalar()
-    centred = {c: F.col(c) - means.getField(c) for c in cols}
-    return data.agg(*[F.sum(centred[a] * centred[b]).alias(f"s|{a}|{b}") for a, b in pairs])
+    # centre once per row (one subquery reference per column), then plain sums
+    centred = data.select(*[(F.col(c) - means.getField(c)).alias(c) for c in cols])
+    return centred.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"s|{a}|{b}") for a, b in pairs])
 
 
 def _corr_from(a: str, b: str) -> Column:
