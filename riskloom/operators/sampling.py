@@ -11,7 +11,8 @@ identical whatever the partitioning, the number of executors or a retried task
 2. rows in lower bins are kept, rows in higher bins dropped, and only the one
    boundary bin (about N / 65 536 rows) is ranked by ``(hash, key)``.
 
-Both thresholds are scalar subqueries, so the operators stay lazy.
+The cut bin and the rows before it are one scalar subquery over the bounded
+histogram, so the selection stays a lazy plan.
 """
 
 from __future__ import annotations
@@ -71,30 +72,31 @@ def class_filter(df: DataFrame, value: int, label: str = LABEL) -> DataFrame:
     return df.where(F.col(label) == value)
 
 
-def _class_counts(df: DataFrame, label: str) -> Column:
-    counts = df.agg(
+def class_counts(df: DataFrame, label: str = LABEL) -> tuple[int, int]:
+    """(positives, negatives): ONE aggregate whose result is two numbers."""
+    row = df.agg(
         F.count_if(F.col(label) == 1).alias("n1"),
         F.count_if(F.col(label) == 0).alias("n0"),
-    )
-    return counts.select(F.struct("n1", "n0").alias("c")).scalar()
+    ).first()
+    return int(row["n1"]), int(row["n0"])
 
 
 def undersample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
     """B1 + B6: every minority row plus exactly as many majority rows, the
     smallest by (hash, key).  Minority = the smaller class (label 1 on a tie);
-    with an empty class the input is returned unchanged."""
-    c = _class_counts(df, label)
-    n1, n0 = c.getField("n1"), c.getField("n0")
-    minority = F.when(n1 <= n0, F.lit(1)).otherwise(F.lit(0))
-    n_min = F.least(n1, n0)
-    degenerate = n_min == 0
+    with an empty class the input is returned unchanged.
+
+    The class sizes are one aggregate (two numbers reach the driver); the
+    selection itself stays distributed (``flag_smallest``)."""
+    n1, n0 = class_counts(df, label)
+    n_min = min(n1, n0)
+    if n_min == 0:
+        return df
+    minority = 1 if n1 <= n0 else 0
     labelled = df.where(F.col(label).isin(0, 1))
     keep_minor = labelled.where(F.col(label) == minority)
     major = labelled.where(F.col(label) != minority)
-    keep_major = smallest_n(major, n_min, key=key)
-    balanced = keep_minor.unionByName(keep_major)
-    passthrough = df.where(degenerate)
-    return balanced.where(~degenerate).unionByName(passthrough)
+    return keep_minor.unionByName(smallest_n(major, n_min, key=key))
 
 
 def oversample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
@@ -105,21 +107,22 @@ def oversample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
     sizes as "repeat, union, cut to n_major", but a constant-size plan
     (``explode(sequence)``) instead of one union per copy.  Minority = the
     smaller class; with an empty class the input is returned unchanged."""
-    c = _class_counts(df, label)
-    n1, n0 = c.getField("n1"), c.getField("n0")
-    minority = F.when(n1 <= n0, F.lit(1)).otherwise(F.lit(0))
-    n_min = F.least(n1, n0)
-    n_maj = F.greatest(n1, n0)
-    degenerate = n_min == 0
-    labelled = df.where(F.col(label).isin(0, 1) & ~degenerate)
+    n1, n0 = class_counts(df, label)
+    n_min, n_maj = min(n1, n0), max(n1, n0)
+    if n_min == 0:
+        return df
+    minority = 1 if n1 <= n0 else 0
+    q, r = divmod(n_maj, n_min)
+    labelled = df.where(F.col(label).isin(0, 1))
     major = labelled.where(F.col(label) != minority)
     minor = labelled.where(F.col(label) == minority)
-    q = F.floor(n_maj / n_min).cast("int")
-    r = (n_maj - q * n_min).cast("long")
-    flagged = flag_smallest(with_hash(minor, key), r, key=key).drop("_h")
-    copies = q + F.when(F.col("_sel"), 1).otherwise(0)
+    if r:
+        flagged = flag_smallest(with_hash(minor, key), F.lit(r), key=key).drop("_h")
+    else:
+        flagged = minor.withColumn("_sel", F.lit(False))
+    copies = F.lit(q) + F.when(F.col("_sel"), 1).otherwise(0)
     repeated = flagged.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", "_sel")
-    return major.unionByName(repeated).unionByName(df.where(degenerate))
+    return major.unionByName(repeated)
 
 
 def split(df: DataFrame, train_pct: int = TRAIN_PCT, key: str = KEY, name: str = "split") -> DataFrame:
