@@ -36,15 +36,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared file system folder and is only read.
     Where it is unset (local tests), a fresh scratch folder is created and set.
     """
-    configured = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (e.g. Spark Connect): use the conf only
+        sc = None
+    configured = sc.getCheckpointDir() if sc is not None else None
     if configured:
         return configured
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="riskloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    if sc is None:
+        return conf_dir
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -62,10 +62,12 @@ def spread_scan(df: DataFrame) -> DataFrame:
     A large input already has far more splits than slots and is returned
     untouched -- no extra shuffle at scale.  The round-robin repartition is
     retry-safe (Spark sorts rows before distributing them)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the scan as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
