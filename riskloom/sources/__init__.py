@@ -2,6 +2,7 @@
 
 from riskloom.sources.files import (
     drop_vector_columns,
+    land_csv,
     materialize,
     read_csv,
     read_table,
@@ -14,6 +15,7 @@ from riskloom.sources.fixtures import RAW_COLUMNS, mixed_layout_dates, raw_trans
 __all__ = [
     "RAW_COLUMNS",
     "drop_vector_columns",
+    "land_csv",
     "materialize",
     "mixed_layout_dates",
     "raw_transactions",

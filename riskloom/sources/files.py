@@ -107,6 +107,23 @@ def save_table(
     writer.save(path)
 
 
+def land_csv(
+    spark: SparkSession,
+    csv_path: str,
+    out_path: str,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
+    partition_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """S1 + K1: scan the raw CSV once (all strings) and land it as parquet.
+
+    CSV scans are not vectorised and cannot prune columns; every later stage
+    reads the landed columnar copy instead (pushdown, pruning, and partition
+    pruning when ``partition_by`` is given)."""
+    save_table(read_csv(spark, csv_path, columns, multi_line), out_path, fmt="parquet", partition_by=partition_by)
+    return spark.read.parquet(out_path)
+
+
 def vector_columns(df: DataFrame) -> list[str]:
     if VectorUDT is None:
         return []

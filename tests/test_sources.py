@@ -51,3 +51,16 @@ def test_materialize_cuts_lineage(spark):
     m = files.materialize(df, "mat")
     assert "Scan parquet" in m._jdf.queryExecution().executedPlan().toString()
     assert m.count() == 100
+
+
+def test_land_csv_as_parquet(spark):
+    from riskloom.sources import fixtures
+
+    from conftest import SF_SMALL
+
+    raw = fixtures.raw_transactions(spark, SF_SMALL)
+    csv_path = scratch_path(spark, "land-src")
+    files.save_table(raw, csv_path, fmt="csv")
+    landed = files.land_csv(spark, csv_path, scratch_path(spark, "landed"), columns=fixtures.RAW_COLUMNS, multi_line=True)
+    assert "Scan parquet" in landed.select("amt")._jdf.queryExecution().executedPlan().toString()
+    assert landed.exceptAll(raw).count() == 0 and raw.exceptAll(landed).count() == 0
