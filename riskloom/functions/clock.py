@@ -23,12 +23,6 @@ def date_clean(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, '"', ""))
 
 
-def date_part(clean: Column) -> Column:
-    return token(clean, " ", 0)
-
-
-def time_part(clean: Column) -> Column:
-    return token(clean, " ", 1)
 
 
 def parse_from_parts(dp: Column, tp: Column, slash: Column, dash: Column, colon: Column, iso_dates: bool = True) -> dict[str, Column]:

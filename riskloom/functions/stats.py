@@ -26,8 +26,3 @@ def hash32(key: Column, salt: str | None = None) -> Column:
     if salt:
         k = F.concat(k, F.lit(salt))
     return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint")
-
-
-def pct(flag_avg: Column) -> Column:
-    """A rate as a percentage."""
-    return flag_avg * F.lit(100.0)

@@ -62,9 +62,6 @@ def engineer_features(
     return out if keep_prev else out.drop("prev_clock")
 
 
-def features_from_raw(raw: DataFrame, clock: str = "epoch", iso_dates: bool = True) -> DataFrame:
-    return engineer_features(prepare(raw), clock=clock, iso_dates=iso_dates)
-
 
 def eda_reports(features: DataFrame) -> dict[str, DataFrame]:
     """A1-A12 over the whole feature table (lazy DataFrames)."""
