@@ -168,7 +168,7 @@ BASE_PACKED = BASE_CAL + [_seq("feat", "trans_seconds", 10000, 10000.0)]
 
 
 def _r6(c: str) -> str:
-    return f"round({c}, 6) AS {c}"
+    return f"(round({c}, 6) + CAST(0 AS DOUBLE)) AS {c}"
 
 
 FEATURE_OUTPUT = [
@@ -216,7 +216,7 @@ def _correlation_matrix() -> str:
             rows.append(f"SELECT '{b}', '{a}', \"{a}|{b}\" FROM m")
     return (
         chain(*BASE_FEAT, f"m AS (SELECT {aggs} FROM feat WHERE {_complete(cols)})")
-        + "SELECT feature_a, feature_b, CAST(round_even(c, 3) AS DOUBLE) AS corr FROM ("
+        + "SELECT feature_a, feature_b, CAST((round_even(c, 3) + CAST(0 AS DOUBLE)) AS DOUBLE) AS corr FROM ("
         + " UNION ALL ".join(rows)
         + ")"
     )
@@ -228,7 +228,7 @@ def _label_corr_top5() -> str:
     rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, \"{c}\" AS c FROM m" for c in feats)
     return (
         chain(*BASE_FEAT, f"m AS (SELECT {aggs} FROM feat WHERE {_complete(CORR_FEATURES)})")
-        + f"""SELECT CAST(rank AS INTEGER) AS rank, feature, CAST(round_even(c, 3) AS DOUBLE) AS corr FROM (
+        + f"""SELECT CAST(rank AS INTEGER) AS rank, feature, CAST((round_even(c, 3) + CAST(0 AS DOUBLE)) AS DOUBLE) AS corr FROM (
   SELECT *, row_number() OVER (ORDER BY abs(c) DESC, feature) AS rank
   FROM ({rows}) WHERE c IS NOT NULL AND NOT isnan(c)) WHERE rank <= 5"""
     )
@@ -236,15 +236,15 @@ def _label_corr_top5() -> str:
 
 def _stats_by_class() -> str:
     parts = [
-        "CAST(round_even(avg(CAST(amt AS DOUBLE)), 2) AS DOUBLE) AS amt_mean",
-        "CAST(round_even(quantile_cont(CAST(amt AS DOUBLE), 0.5), 2) AS DOUBLE) AS amt_median",
-        "CAST(round_even(stddev_samp(CAST(amt AS DOUBLE)), 2) AS DOUBLE) AS amt_std",
+        "CAST((round_even(avg(CAST(amt AS DOUBLE)), 2) + CAST(0 AS DOUBLE)) AS DOUBLE) AS amt_mean",
+        "CAST((round_even(quantile_cont(CAST(amt AS DOUBLE), 0.5), 2) + CAST(0 AS DOUBLE)) AS DOUBLE) AS amt_median",
+        "CAST((round_even(stddev_samp(CAST(amt AS DOUBLE)), 2) + CAST(0 AS DOUBLE)) AS DOUBLE) AS amt_std",
         "count(amt) AS amt_count",
     ]
     for c in ("user_avg_amt", "user_transaction_count", "trans_count_last_24h"):
         parts += [
-            f"CAST(round_even(avg(CAST({c} AS DOUBLE)), 2) AS DOUBLE) AS {c}_mean",
-            f"CAST(round_even(quantile_cont(CAST({c} AS DOUBLE), 0.5), 2) AS DOUBLE) AS {c}_median",
+            f"CAST((round_even(avg(CAST({c} AS DOUBLE)), 2) + CAST(0 AS DOUBLE)) AS DOUBLE) AS {c}_mean",
+            f"CAST((round_even(quantile_cont(CAST({c} AS DOUBLE), 0.5), 2) + CAST(0 AS DOUBLE)) AS DOUBLE) AS {c}_median",
         ]
     return chain(*BASE_FEAT) + f"SELECT is_fraud, {', '.join(parts)} FROM feat WHERE is_fraud IS NOT NULL GROUP BY is_fraud"
 
@@ -262,7 +262,7 @@ def _segment_rates() -> str:
     ]
     rows = " UNION ALL ".join(
         f"""SELECT '{s}' AS segment, '{b}' AS bucket, count(*) AS n_rows,
-  CAST(round_even(avg(CAST(is_fraud AS DOUBLE)) * 100.0, 4) AS DOUBLE) AS fraud_pct
+  CAST((round_even(avg(CAST(is_fraud AS DOUBLE)) * 100.0, 4) + CAST(0 AS DOUBLE)) AS DOUBLE) AS fraud_pct
   FROM lab WHERE {cond}"""
         for s, b, cond in segs
     )
@@ -358,7 +358,7 @@ def _scaled() -> str:
         f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in FEATURES11
     )
     cols = ", ".join(
-        f"round(CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 0.0 ELSE (CAST(coalesce({c}, 0) AS DOUBLE) - m_{c}) / s_{c} END, 6) AS z_{c}"
+        f"(round(CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 0.0 ELSE (CAST(coalesce({c}, 0) AS DOUBLE) - m_{c}) / s_{c} END, 6) + CAST(0 AS DOUBLE)) AS z_{c}"
         for c in FEATURES11
     )
     return (
@@ -368,7 +368,7 @@ def _scaled() -> str:
 
 
 def _feature_matrix() -> str:
-    cols = ", ".join(f"round(CAST(coalesce({c}, 0) AS DOUBLE), 6) AS f_{c}" for c in FEATURES11)
+    cols = ", ".join(f"(round(CAST(coalesce({c}, 0) AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS f_{c}" for c in FEATURES11)
     return chain(*BASE_FEAT) + f"SELECT trans_num, {cols} FROM feat"
 
 
@@ -455,43 +455,43 @@ def build() -> dict[str, str]:
     q["epoch_clock"] = chain(*BASE_CAL) + "SELECT trans_num, epoch_seconds FROM cal"
     q["user_key"] = chain(*BASE_TYPED) + "SELECT trans_num, concat_ws('_', city, job, dob) AS user_id FROM typed"
     q["user_totals"] = chain(*BASE_FEAT) + (
-        "SELECT trans_num, user_id, user_transaction_count, round(user_avg_amt, 6) AS user_avg_amt FROM feat"
+        "SELECT trans_num, user_id, user_transaction_count, (round(user_avg_amt, 6) + CAST(0 AS DOUBLE)) AS user_avg_amt FROM feat"
     )
     q["prev_event"] = chain(*BASE_PACKED) + "SELECT trans_num, user_id, trans_seconds, prev_clock FROM feat"
     q["gap_features"] = chain(*BASE_PACKED) + (
-        "SELECT trans_num, round(hours_since_last_trans, 6) AS hours_since_last_trans, is_rapid_transaction FROM feat"
+        "SELECT trans_num, (round(hours_since_last_trans, 6) + CAST(0 AS DOUBLE)) AS hours_since_last_trans, is_rapid_transaction FROM feat"
     )
     q["trailing_count_packed"] = chain(*BASE_PACKED) + "SELECT trans_num, trans_count_last_24h FROM feat"
     q["trailing_count_24h"] = chain(*BASE_FEAT) + "SELECT trans_num, trans_count_last_24h FROM feat"
     q["gap_hours"] = chain(*BASE_FEAT) + (
-        "SELECT trans_num, epoch_seconds, prev_clock, round(hours_since_last_trans, 6) AS hours_since_last_trans, "
+        "SELECT trans_num, epoch_seconds, prev_clock, (round(hours_since_last_trans, 6) + CAST(0 AS DOUBLE)) AS hours_since_last_trans, "
         "is_rapid_transaction FROM feat"
     )
     q["features"] = chain(*BASE_FEAT) + f"SELECT {_feat_cols(FEATURE_OUTPUT)} FROM feat"
     q["class_distribution"] = chain(*BASE_FEAT) + (
         "SELECT is_fraud, count(*) AS n_rows, "
-        "CAST(round_even(CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER (), 4) AS DOUBLE) AS pct "
+        "CAST((round_even(CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER (), 4) + CAST(0 AS DOUBLE)) AS DOUBLE) AS pct "
         "FROM feat WHERE is_fraud IS NOT NULL GROUP BY is_fraud"
     )
     q["amount_summary"] = chain(*BASE_FEAT) + (
-        "SELECT count(amt) AS n, round(avg(CAST(amt AS DOUBLE)), 6) AS mean, "
-        "round(stddev_samp(CAST(amt AS DOUBLE)), 6) AS stddev, min(CAST(amt AS DOUBLE)) AS min, "
-        "round(quantile_cont(CAST(amt AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST(amt AS DOUBLE), 0.5), 6) AS p50, "
-        "round(quantile_cont(CAST(amt AS DOUBLE), 0.75), 6) AS p75, max(CAST(amt AS DOUBLE)) AS max "
+        "SELECT count(amt) AS n, (round(avg(CAST(amt AS DOUBLE)), 6) + CAST(0 AS DOUBLE)) AS mean, "
+        "(round(stddev_samp(CAST(amt AS DOUBLE)), 6) + CAST(0 AS DOUBLE)) AS stddev, min(CAST(amt AS DOUBLE)) AS min, "
+        "(round(quantile_cont(CAST(amt AS DOUBLE), 0.25), 6) + CAST(0 AS DOUBLE)) AS p25, (round(quantile_cont(CAST(amt AS DOUBLE), 0.5), 6) + CAST(0 AS DOUBLE)) AS p50, "
+        "(round(quantile_cont(CAST(amt AS DOUBLE), 0.75), 6) + CAST(0 AS DOUBLE)) AS p75, max(CAST(amt AS DOUBLE)) AS max "
         "FROM feat WHERE is_fraud IS NOT NULL"
     )
     q["correlation_matrix"] = _correlation_matrix()
     q["label_correlation_top5"] = _label_corr_top5()
     q["stats_by_class"] = _stats_by_class()
     q["rate_by_hour_top5"] = chain(*BASE_FEAT) + """SELECT CAST(rank AS INTEGER) AS rank, hour, n_rows,
-  CAST(round_even(rate * 100.0, 4) AS DOUBLE) AS fraud_pct FROM (
+  CAST((round_even(rate * 100.0, 4) + CAST(0 AS DOUBLE)) AS DOUBLE) AS fraud_pct FROM (
   SELECT hour, count(*) AS n_rows, avg(CAST(is_fraud AS DOUBLE)) AS rate,
     row_number() OVER (ORDER BY avg(CAST(is_fraud AS DOUBLE)) DESC, hour) AS rank
   FROM feat WHERE is_fraud IS NOT NULL AND hour IS NOT NULL GROUP BY hour) WHERE rank <= 5"""
     q["segment_rates"] = _segment_rates()
     q["split_audit"] = chain(*BASE_FEAT, f"sp AS (SELECT *, {SPLIT} AS split FROM feat)") + (
         "SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE is_fraud = 1) AS n_positive, "
-        "CAST(round_even(CAST(count(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) * 100.0 / count(*), 4) AS DOUBLE) "
+        "CAST((round_even(CAST(count(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) * 100.0 / count(*), 4) + CAST(0 AS DOUBLE)) AS DOUBLE) "
         "AS positive_pct FROM sp GROUP BY split"
     )
     q["class_filter"] = chain(*BASE_CAL) + "SELECT trans_num, amt, is_fraud FROM cal WHERE is_fraud = 1"
@@ -512,7 +512,7 @@ def build() -> dict[str, str]:
                 "trans_num",
                 "CAST(is_fraud AS DOUBLE) AS is_fraud",
                 *[
-                    (f"round(coalesce({c}, 0), 6) AS {c}" if c in ("user_avg_amt", "hours_since_last_trans") else f"coalesce({c}, 0) AS {c}")
+                    (f"(round(coalesce({c}, 0), 6) + CAST(0 AS DOUBLE)) AS {c}" if c in ("user_avg_amt", "hours_since_last_trans") else f"coalesce({c}, 0) AS {c}")
                     for c in FEATURES11
                 ],
             ]
@@ -521,17 +521,17 @@ def build() -> dict[str, str]:
     )
     q["confusion_matrix"] = chain(*BASE_CAL, SCORED, CM) + "SELECT model, tn, fp, fn, tp FROM cm"
     q["classification_metrics"] = chain(*EVAL_BASE) + (
-        "SELECT model, " + ", ".join(f"round({c}, 6) AS {c}" for c in _METRIC_COLS) + ", tn, fp, fn, tp FROM met"
+        "SELECT model, " + ", ".join(f"(round({c}, 6) + CAST(0 AS DOUBLE)) AS {c}" for c in _METRIC_COLS) + ", tn, fp, fn, tp FROM met"
     )
-    q["roc_auc"] = chain(*BASE_CAL, SCORED, AUC) + "SELECT model, round(roc_auc, 6) AS roc_auc FROM auc"
+    q["roc_auc"] = chain(*BASE_CAL, SCORED, AUC) + "SELECT model, (round(roc_auc, 6) + CAST(0 AS DOUBLE)) AS roc_auc FROM auc"
     q["model_comparison"] = chain(*EVAL_BASE) + (
         "SELECT model, "
         + ", ".join(
-            f"CAST(round_even({c}, 4) AS DOUBLE) AS {c}" for c in ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
+            f"CAST((round_even({c}, 4) + CAST(0 AS DOUBLE)) AS DOUBLE) AS {c}" for c in ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
         )
         + " FROM met"
     )
-    q["best_model"] = chain(*EVAL_BASE) + """SELECT metric, model, round(value, 6) AS value FROM (
+    q["best_model"] = chain(*EVAL_BASE) + """SELECT metric, model, (round(value, 6) + CAST(0 AS DOUBLE)) AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC NULLS LAST, model) AS rk FROM (
     SELECT 'accuracy' AS metric, model, accuracy AS value FROM met
     UNION ALL SELECT 'f1_score', model, f1_score FROM met

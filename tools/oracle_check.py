@@ -29,6 +29,8 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
+        if v == 0.0 and math.copysign(1.0, v) < 0:
+            return "-0.0"  # a hash of the printed value would tell -0.0 from 0.0
         return float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
