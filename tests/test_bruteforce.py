@@ -114,3 +114,29 @@ def test_windows_match_python(spark, seed):
             w = want[t]
             assert (n, cnt) == (w[0], w[2]), t
             assert avg == pytest.approx(w[1]) and gap == pytest.approx(w[3]), t
+
+
+def test_packed_window_is_real_24h_truncated_at_month_start(spark):
+    """SURVEY property: packed W6 = count over [max(month start, t - 24 h), t]
+    on real time -- checked on every ``orders`` row (dates across 1995-2001)."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("trans_num"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.date_format("o_orderdate", "M/d/yyyy HH:mm").alias("trans_date_trans_time"),
+        F.col("o_totalprice").alias("amt"),
+    )
+    feats = behavior.sequence_features(calendar.calendar_features(o), spec=behavior.PACKED)
+    got = rows(feats, "trans_num", "user_id", "year", "month", "day", "hour", "minute", "trans_count_last_24h")
+    by_user = {}
+    for t, u, y, mo, d, h, mi, _ in got:
+        by_user.setdefault(u, []).append(dt.datetime(y, mo, d, h, mi))
+    for t, u, y, mo, d, h, mi, cnt in got:
+        now = dt.datetime(y, mo, d, h, mi)
+        lo = max(now.replace(day=1, hour=0, minute=0), now - dt.timedelta(hours=24))
+        assert cnt == sum(1 for x in by_user[u] if lo <= x <= now), t
