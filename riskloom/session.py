@@ -57,3 +57,49 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def cluster_settings(
+    input_bytes: int,
+    task_slots: int,
+    target_partition_bytes: int = 256 * 1024**2,
+    shuffle_growth: float = 1.3,
+    max_shuffle_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Spill-aware sizing for a run over ``input_bytes`` of parquet.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * the one wide shuffle (behaviour windows) carries about the input plus a
+      narrow context copy per row (``shuffle_growth``).  It is cut into whole
+      waves of ``task_slots`` partitions near the target size, capped at
+      ``max_shuffle_partitions`` (map-output tracking on the driver grows with
+      mappers x reducers; beyond the cap partitions grow and spill instead);
+      AQE coalesces smaller stages;
+    * AQE skew-join splitting for the user joins; broadcasts only under the
+      default measured-size threshold.
+
+    Returns settings to pass to ``SparkSession.builder.config`` or
+    ``apply_settings``."""
+    shuffle_bytes = int(input_bytes * shuffle_growth)
+    waves = max(1, -(-shuffle_bytes // (target_partition_bytes * task_slots)))
+    waves = max(1, min(waves, max_shuffle_partitions // task_slots))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(waves * task_slots),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> dict[str, str]:
+    """Set each setting unless the cluster configured it at launch (its own
+    settings take precedence); returns what was set."""
+    launched = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in settings.items():
+        if not launched.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

@@ -64,3 +64,16 @@ def test_land_csv_as_parquet(spark):
     landed = files.land_csv(spark, csv_path, scratch_path(spark, "landed"), columns=fixtures.RAW_COLUMNS, multi_line=True)
     assert "Scan parquet" in landed.select("amt")._jdf.queryExecution().executedPlan().toString()
     assert landed.exceptAll(raw).count() == 0 and raw.exceptAll(landed).count() == 0
+
+
+def test_cluster_settings_for_100_tb():
+    from riskloom.session import cluster_settings
+
+    s = cluster_settings(100 * 1024**4, task_slots=8000)
+    parts = int(s["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts <= 100_000  # whole waves, capped
+    assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_settings(10 * 1024**3, task_slots=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8000  # one wave
+    mid = cluster_settings(10 * 1024**4, task_slots=4000)
+    assert 10 * 1024**4 * 1.3 / int(mid["spark.sql.shuffle.partitions"]) <= 256 * 1024**2
