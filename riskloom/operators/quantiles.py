@@ -41,7 +41,7 @@ def exact_quantiles(
     """One row per (``by`` group, value column) with one column per prob.
 
     Output columns: ``*by``, ``column``, ``n`` and ``q_<p>`` for each prob
-    (e.g. ``q_0_5``).  NULL values are ignored; a group with no value gives
+    (e.g. ``q_0_5``).  NULL and NaN values are ignored; a group with no value gives
     NULL quantiles.
 
     ``small_groups`` (default: True when ``by`` is empty) declares that the
