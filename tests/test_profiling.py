@@ -72,3 +72,23 @@ def test_split_audit_handles_parts(spark):
     df = spark.createDataFrame([("train", 1), ("train", 0), ("test", 0)], "split string, is_fraud int")
     got = {r[0]: r[1:] for r in rows(profiling.split_audit(df))}
     assert got == {"train": (2, 1, 50.0), "test": (1, 0, 0.0)}
+
+
+def test_reports_prune_columns_and_push_filters(spark):
+    import re
+
+    from riskloom.plans import catalog
+
+    from conftest import SF_SMALL
+
+    stored = catalog.stored_features(spark, SF_SMALL)
+
+    def read_schemas(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [set(re.findall(r"(\w+):", m)) for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan)], plan
+
+    schemas, plan = read_schemas(profiling.class_distribution(stored))
+    assert schemas and all(s == {"is_fraud"} for s in schemas)
+    assert "PushedFilters: [IsNotNull(is_fraud)]" in plan
+    schemas, _ = read_schemas(profiling.rate_by_hour_top(stored))
+    assert schemas and all(s == {"is_fraud", "hour"} for s in schemas)
