@@ -140,3 +140,57 @@ def test_packed_window_is_real_24h_truncated_at_month_start(spark):
         now = dt.datetime(y, mo, d, h, mi)
         lo = max(now.replace(day=1, hour=0, minute=0), now - dt.timedelta(hours=24))
         assert cnt == sum(1 for x in by_user[u] if lo <= x <= now), t
+
+
+# ------------------------------------------------------------ cleaning / typing
+_WS = " \t\n\x0b\f\r"  # Java's \s
+
+
+def _c1c2(s):
+    if s is None:
+        return None
+    s = s.replace("\\", "").replace('"', "")
+    s = re.sub(f"[{re.escape(_WS)}]+", " ", s).strip(" ")
+    return None if s in ("", "null", "NULL", "None") else s
+
+
+def _c3c4(s):
+    if s is None:
+        return None
+    s = re.sub(r'[\\"\t\r\n]+', " ", s)
+    s = re.sub(f"[{re.escape(_WS)}]+", " ", s)
+    s = re.sub(f"^[{re.escape(_WS)}]+|[{re.escape(_WS)}]+$", "", s)
+    return None if s == "" else s
+
+
+def _p1(s):
+    m = re.match(r"[01]", s) if s is not None else None
+    return int(m.group(0)) if m else None
+
+
+def _p4(s):
+    m = re.search(r"\d+", s) if s is not None else None
+    if not m:
+        return None
+    v = int(m.group(0))
+    return v if v < 2**31 else None
+
+
+def test_cleaning_and_typing_rules_match_python(spark):
+    from riskloom.operators import cleaning
+
+    rnd = random.Random(23)
+    atoms = ["a", "B", " ", "  ", "\t", "\n", "\r", "\x0b", "\\", '"', "null", "NULL", "None", "0", "1", "10", "-", ",", "99999999999"]
+    vals = ["".join(rnd.choice(atoms) for _ in range(rnd.randint(0, 6))) for _ in range(800)] + [None]
+    schema = T.StructType(
+        [T.StructField("i", T.IntegerType())]
+        + [T.StructField(c, T.StringType()) for c in ("job", "merchant", "is_fraud", "city_pop")]
+    )
+    df = spark.createDataFrame([(i, v, v, v, v) for i, v in enumerate(vals)], schema)
+    text = {r[0]: r[1] for r in rows(cleaning.clean_string_columns(df, ["job"]), "i", "job")}
+    merch = {r[0]: r[1] for r in rows(cleaning.clean_merchant(df), "i", "merchant")}
+    typed = {r[0]: r[1:] for r in rows(cleaning.cast_columns(df), "i", "is_fraud", "city_pop")}
+    for i, v in enumerate(vals):
+        assert text[i] == _c1c2(v), repr(v)
+        assert merch[i] == _c3c4(v), repr(v)
+        assert typed[i] == (_p1(v), _p4(v)), repr(v)
