@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, packing
+from riskloom.llm import bpe, exact_dedup, langid, packing, simhash
 from riskloom.llm.common import documents
 
 
@@ -16,11 +16,21 @@ def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: fingerprints of 3-word shingles that differ in at most 2 bits."""
+    return simhash.near_dedup(documents(spark, sf_dir), shingle=3, max_bits=2)
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 5: every text packed into sequences of 2048 ids."""
     return packing.crc_of_ids(packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def q_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: the language of every text."""
+    return langid.identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: groups of equal texts."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("n_chars")
@@ -38,7 +48,9 @@ FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id NULLS LAST)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": q_bpe,
+    "op4_simhash": q_simhash,
     "op5_packing": q_packing,
+    "op6_langid": q_langid,
     "op10_exact_dedup": q_exact_dedup,
 }
 
