@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, langid, packing, simhash
-from riskloom.llm.common import documents
+from riskloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, toxicity
+from riskloom.llm.common import documents, labels
 
 
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,11 @@ def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: toxicity of every text."""
+    return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: fingerprints of 3-word shingles that differ in at most 2 bits."""
     return simhash.near_dedup(documents(spark, sf_dir), shingle=3, max_bits=2)
@@ -31,6 +36,11 @@ def q_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: quality of every text."""
+    return quality.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: groups of equal texts."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("n_chars")
@@ -48,9 +58,11 @@ FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id NULLS LAST)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": q_bpe,
+    "op3_toxicity": q_toxicity,
     "op4_simhash": q_simhash,
     "op5_packing": q_packing,
     "op6_langid": q_langid,
+    "op8_quality": q_quality,
     "op10_exact_dedup": q_exact_dedup,
 }
 
