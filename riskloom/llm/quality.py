@@ -1,8 +1,9 @@
 """Quality by nearest-neighbour voting in a latent-semantic space (operator 8).
 
 A text is a bag of terms: lower-case words, runs of punctuation and the shapes of
-its tokens (capitals, title case, digits and so on), hashed to ``SLOTS`` columns with
-weight ``log(1 + count) * idf``, scaled to length one.  The inverse document
+its tokens (capitals, title case, digits, a repeated token and so on), hashed to ``SLOTS`` columns with
+weight ``log(1 + count) * idf``, scaled so that words and shapes have fixed parts in
+its length of one.  The inverse document
 frequencies count every document.  A truncated singular value decomposition of up
 to ``SAMPLE_ROWS`` labelled rows (the smallest hashes of their ids) gives the latent
 directions; their labelled vectors, ``SAMPLE_ROWS x DIMENSIONS`` numbers, are
@@ -32,7 +33,11 @@ from pyspark.sql.functions import pandas_udf
 from riskloom.llm.common import held_out, rows_of, ship_package
 from riskloom.llm.toxicity import learning_rows
 
-SLOTS = 4096
+#: Columns of hashed words, then of hashed shapes.
+WORD_SLOTS, SHAPE_SLOTS = 3072, 1024
+SLOTS = WORD_SLOTS + SHAPE_SLOTS
+#: Part of a text's squared length that its shapes make up.
+SHAPE_PART = 0.6
 #: Labelled rows that are learned from; bounds the model's cost, not what is scored.
 SAMPLE_ROWS = 4000
 DIMENSIONS = 48
@@ -42,6 +47,8 @@ SHARPNESS = 4
 BLOCK = 256
 CACHE_ENTRIES = 300_000
 
+#: Slot of a token that repeats the one before it.
+REPEATED = WORD_SLOTS
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -61,8 +68,8 @@ class _TermSlots(dict):
     def __missing__(self, token: str) -> int:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        slot = lambda s: xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 11) % SLOTS
-        value = self[token] = slot(token.lower()) * SLOTS + slot("shape " + shape(token))
+        slot = lambda s, n: xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass"), 11) % n
+        value = self[token] = slot(token.lower(), WORD_SLOTS) * SLOTS + WORD_SLOTS + 1 + slot(shape(token), SHAPE_SLOTS - 1)
         return value
 
 
@@ -74,6 +81,7 @@ def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     tokens = TOKEN.findall(text or "")
     both = np.fromiter(map(_slots.__getitem__, tokens), dtype=np.int64, count=len(tokens))
     counts = np.bincount(both // SLOTS, minlength=SLOTS) + np.bincount(both % SLOTS, minlength=SLOTS)
+    counts[REPEATED] += int((both[1:] == both[:-1]).sum())
     slots = np.flatnonzero(counts)
     return slots, counts[slots]
 
@@ -82,7 +90,10 @@ def weigh(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots and weights of a text, of length one."""
     slots, counts = bag(text)
     w = np.log1p(counts) * idf[slots]
-    return slots, (w / (np.linalg.norm(w) or 1.0)).astype(np.float32)
+    cut = np.searchsorted(slots, WORD_SLOTS)
+    for part, size in ((w[:cut], 1 - SHAPE_PART), (w[cut:], SHAPE_PART)):
+        part *= np.sqrt(size) / (np.linalg.norm(part) or 1.0)
+    return slots, w.astype(np.float32)
 
 
 def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:

@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, toxicity
+from riskloom.llm import bpe, exact_dedup, langid, minhash, packing, quality, simhash, toxicity
 from riskloom.llm.common import documents, labels
 
 
+def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: fingerprints of every text and its edited text."""
+    return minhash.compare_with_next(documents(spark, sf_dir))
+
+
 def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: encode and decode every text."""
     return bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
@@ -57,6 +62,7 @@ FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id NULLS LAST)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": q_minhash,
     "op2_bpe": q_bpe,
     "op3_toxicity": q_toxicity,
     "op4_simhash": q_simhash,
