@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, langid, minhash, packing, quality, simhash, toxicity
+from riskloom.llm import bpe, exact_dedup, langid, minhash, packing, quality, secrets, simhash, toxicity
 from riskloom.llm.common import documents, labels
 
 
@@ -41,6 +41,11 @@ def q_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: every candidate with its score."""
+    return secrets.scan(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8: quality of every text."""
     return quality.quality(documents(spark, sf_dir), labels(spark, sf_dir))
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": q_simhash,
     "op5_packing": q_packing,
     "op6_langid": q_langid,
+    "op7_secrets": q_secrets,
     "op8_quality": q_quality,
     "op10_exact_dedup": q_exact_dedup,
 }
