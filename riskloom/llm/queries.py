@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import bpe, exact_dedup, langid, minhash, packing, quality, secrets, simhash, toxicity
+from riskloom.llm import bpe, exact_dedup, langid, minhash, packing, quality, secrets, simhash, suffix_dedup, toxicity
 from riskloom.llm.common import documents, labels
 
 
@@ -51,6 +51,11 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: bytes of repeated 50-byte strings removed."""
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir)).drop("removed")
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: groups of equal texts."""
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("n_chars")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_langid": q_langid,
     "op7_secrets": q_secrets,
     "op8_quality": q_quality,
+    "op9_suffix_dedup": q_suffix_dedup,
     "op10_exact_dedup": q_exact_dedup,
 }
 
