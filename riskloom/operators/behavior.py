@@ -92,11 +92,12 @@ def user_totals(df: DataFrame, key: str = "user_id", amount: str = "amt") -> Dat
     ``groupBy`` combines map-side, so a hot user costs one partial row per task;
     the join back is a shuffle join that AQE's skew-join splits for hot keys
     (or a broadcast when the per-user table is measured small)."""
-    per_user = df.groupBy(key).agg(
+    per_user = df.groupBy(F.col(key).alias("_user")).agg(
         F.count(F.lit(1)).alias("user_transaction_count"),
         F.avg(amount).alias("user_avg_amt"),
     )
-    return df.join(per_user, on=key, how="left")
+    # rows without a key are one user, as in a window
+    return df.join(per_user, F.col(key).eqNullSafe(F.col("_user")), "left").drop("_user")
 
 
 def sequence_features(
@@ -120,8 +121,13 @@ def sequence_features(
     # unparseable times is not one task.
     null_sub = F.lit(NULL_BUCKET) - F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(NULL_SPREAD))
     bucket = F.when(F.col(clock).isNull(), null_sub).otherwise(F.floor(F.col(clock) / F.lit(width)).cast("long"))
-    base = df.withColumn("_bucket", bucket)
-    keep = {key, clock, tiebreak, "_bucket"}
+    # rows without a key are one user, as in a window; two columns that are never NULL stand
+    # for the key, so that the joins below are plain equalities
+    user = ["_user", "_keyless"]
+    base = df.withColumns(
+        {"_bucket": bucket, "_user": F.coalesce(F.col(key).cast("string"), F.lit("")), "_keyless": F.col(key).isNull()}
+    )
+    keep = {clock, tiebreak, "_bucket", *user}
     wide = [c for c in base.columns if c not in keep]
 
     # One pass over the input: every row is emitted as itself (_own) and, when
@@ -131,7 +137,7 @@ def sequence_features(
     doubled = base.select("*", F.explode(copies).alias("_own"))
     own = F.col("_own")
     both = doubled.select(
-        F.col(key),
+        *user,
         (F.col("_bucket") + F.when(own, F.lit(0)).otherwise(F.lit(k))).alias("_bucket"),
         F.col(clock),
         F.col(tiebreak),
@@ -139,8 +145,8 @@ def sequence_features(
         *[F.when(own, F.col(c)).alias(c) for c in wide],
     )
 
-    ordered = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first(), F.col(tiebreak))
-    trailing = Window.partitionBy(key, "_bucket").orderBy(F.col(clock).asc_nulls_first()).rangeBetween(-frame, 0)
+    ordered = Window.partitionBy(*user, "_bucket").orderBy(F.col(clock).asc_nulls_first(), F.col(tiebreak))
+    trailing = Window.partitionBy(*user, "_bucket").orderBy(F.col(clock).asc_nulls_first()).rangeBetween(-frame, 0)
     before_me = ordered.rowsBetween(Window.unboundedPreceding, -1)
     windowed = both.withColumn(
         "_lag", F.last(F.when(own, F.col(clock)), ignorenulls=True).over(before_me)
@@ -153,15 +159,15 @@ def sequence_features(
     aggs = [F.max(clock).alias("_last"), F.count(F.lit(1)).alias("_n")]
     if with_totals and amount:
         aggs += [F.sum(F.col(amount).cast("double")).alias("_sum_amt"), F.count(amount).alias("_n_amt")]
-    per_bucket = base.groupBy(key, "_bucket").agg(*aggs)
-    by_user = Window.partitionBy(key)
+    per_bucket = base.groupBy(*user, "_bucket").agg(*aggs)
+    by_user = Window.partitionBy(*user)
     info_cols = [
-        F.col(key),
+        *[F.col(c) for c in user],
         F.col("_bucket"),
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_prev_last"),
+        F.lag("_last").over(Window.partitionBy(*user).orderBy("_bucket")).alias("_prev_last"),
         F.sum(F.when(F.col("_bucket") <= NULL_BUCKET, F.col("_n")).otherwise(F.lit(0))).over(by_user).alias("_null_n"),
         F.coalesce(
-            F.sum("_n").over(Window.partitionBy(key).orderBy("_bucket").rangeBetween(-(k - 1), -1)), F.lit(0)
+            F.sum("_n").over(Window.partitionBy(*user).orderBy("_bucket").rangeBetween(-(k - 1), -1)), F.lit(0)
         ).alias("_mid"),
     ]
     if with_totals:
@@ -172,11 +178,11 @@ def sequence_features(
             )
     info = per_bucket.select(*info_cols)
 
-    joined = mine.join(info, on=[key, "_bucket"], how="left")
+    joined = mine.join(info, on=[*user, "_bucket"], how="left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_last"))
     gap = F.when(prev.isNotNull(), (F.col(clock) - prev) / F.lit(spec.unit)).otherwise(F.lit(-1.0))
     count = F.when(F.col(clock).isNull(), F.col("_null_n")).otherwise(F.col("_edge") + F.col("_mid"))
     out = joined.withColumns(
         {"prev_clock": prev, "hours_since_last_trans": gap, "trans_count_last_24h": count}
     ).withColumn("is_rapid_transaction", F.when(F.col("hours_since_last_trans").between(0, 1), 1).otherwise(0))
-    return out.drop("_lag", "_prev_last", "_bucket", "_null_n", "_edge", "_mid")
+    return out.drop("_lag", "_prev_last", "_bucket", "_null_n", "_edge", "_mid", *user)

@@ -3,18 +3,18 @@
 Input: one row per (model, scored row) with the label, the 0/1 ``prediction``
 and a ``score`` that ranks positives higher.  Every count-based metric of every
 model comes from ONE grouped aggregate (four ``count_if`` per model) instead of
-one evaluator job per metric per model; the exact ROC AUC uses MLlib's
-distributed sort over distinct scores (``numBins=0``: no down-sampling).
+one evaluator job per metric per model; the exact ROC AUC of all models is one
+pass of running counts over ranges of the scores.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from riskloom.sources.files import materialize
 
 LABEL = "is_fraud"
 MODEL = "model"
@@ -68,33 +68,38 @@ def rates_from_counts(cm: DataFrame) -> DataFrame:
     )
 
 
-def roc_auc(
-    preds: DataFrame,
-    label: str = LABEL,
-    score: str = "score",
-    model: str = MODEL,
-    models: Sequence[str] | None = None,
-) -> DataFrame:
-    """Exact area under ROC per model as ``(model, roc_auc)``.
-
-    Uses MLlib's ``BinaryClassificationMetrics`` (distributed sort of distinct
-    scores, partition-wise cumulative counts) with ``numBins=0`` so no score
-    is down-sampled: ties get half credit, i.e. the Mann-Whitney statistic.
-    The model list is small (one evaluation job per model)."""
-    spark = preds.sparkSession
-    if models is None:
-        models = [r[0] for r in preds.select(model).distinct().collect()]
-    ev = BinaryClassificationEvaluator(
-        labelCol="_y", rawPredictionCol="_s", metricName="areaUnderROC", numBins=0
+def roc_auc(preds: DataFrame, label: str = LABEL, score: str = "score", model: str = MODEL) -> DataFrame:
+    """Exact area under ROC of every model as ``(model, roc_auc)``.
+
+    Ties get half credit (the Mann-Whitney statistic).  Rows are counted by model
+    and score, the counts are dealt out by range, each range adds up its own rows
+    from the totals of the ranges below it: a constant number of jobs for any
+    number of models, and no task holds more than one range.  Without label 1 the area
+    is 0, without label 0 it is 1, as MLlib has it."""
+    y = F.col(label).cast("double")
+    counts = (
+        preds.where(F.col(score).isNotNull() & y.isin(0.0, 1.0))
+        .groupBy(F.col(model).alias("_model"), F.col(score).cast("double").alias("_s"))
+        .agg(F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
+    )
+    ranged = materialize(counts.repartitionByRange("_model", "_s").withColumn("_range", F.spark_partition_id()), "auc-counts")
+    totals = ranged.groupBy("_model", "_range").agg(F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    lower = Window.partitionBy("_model").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("_model")
+    totals = totals.select(
+        F.col("_model").alias("_m"),
+        F.col("_range").alias("_r"),
+        F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_base"),
+        F.sum("_p").over(every).alias("_all_pos"),
+        F.sum("_n").over(every).alias("_all_neg"),
     )
-    rows = []
-    for m in models:
-        part = preds.where((F.col(model) == m) & F.col(score).isNotNull()).select(
-            F.col(label).cast("double").alias("_y"), F.col(score).cast("double").alias("_s")
-        )
-        rows.append((m, float(ev.evaluate(part))))
-    schema = T.StructType([T.StructField(model, T.StringType()), T.StructField("roc_auc", T.DoubleType())])
-    return spark.createDataFrame(rows, schema)
+    inside = Window.partitionBy("_model", "_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_base") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
+    joined = ranged.join(totals, F.col("_model").eqNullSafe(F.col("_m")) & (F.col("_range") == F.col("_r")))
+    wins = joined.withColumn("_wins", F.col("_pos") * (below + F.col("_neg") / 2))
+    summed = wins.groupBy("_model").agg(F.sum("_wins").alias("_w"), F.max("_all_pos").alias("_p"), F.max("_all_neg").alias("_n"))
+    area = F.when(F.col("_p") == 0, 0.0).when(F.col("_n") == 0, 1.0).otherwise(F.try_divide(F.col("_w"), F.col("_p").cast("double") * F.col("_n")))
+    return summed.select(F.col("_model").alias(model), area.alias("roc_auc"))
 
 
 def classification_metrics(

@@ -72,7 +72,8 @@ def impute(
 
     ``by_type=True``: numeric columns get the column median (0 when the column
     has no value at all), string columns ``string_value``, other types
-    ``default_value`` where it casts.  ``by_type=False`` is the reference's
+    ``default_value`` where it casts (dates and times have no such value and
+    stay as they are).  ``by_type=False`` is the reference's
     literal behaviour (its type test never matches), where every column takes
     ``default_value`` -- a NULL string becomes ``'0'``.
 
@@ -84,7 +85,8 @@ def impute(
     exprs: dict[str, Column] = {}
     if not by_type:
         for f in targets:
-            exprs[f.name] = F.coalesce(F.col(f.name), F.lit(default_value).try_cast(f.dataType))
+            if isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType)):
+                exprs[f.name] = F.coalesce(F.col(f.name), F.lit(default_value).try_cast(f.dataType))
         return df.withColumns(exprs) if exprs else df
     numeric = [f.name for f in targets if _is_numeric(f.dataType)]
     if numeric:
@@ -99,8 +101,8 @@ def impute(
             continue
         if isinstance(f.dataType, T.StringType):
             exprs[f.name] = F.coalesce(F.col(f.name), F.lit(string_value))
-        else:
-            exprs[f.name] = F.coalesce(F.col(f.name), F.lit(default_value).try_cast(f.dataType))
+        elif isinstance(f.dataType, T.BooleanType):
+            exprs[f.name] = F.coalesce(F.col(f.name), F.lit(bool(default_value)))
     return df.withColumns(exprs) if exprs else df
 
 

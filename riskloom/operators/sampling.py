@@ -2,17 +2,16 @@
 
 Every selection is driven by a 32-bit md5 hash of the row key, so results are
 identical whatever the partitioning, the number of executors or a retried task
-(``rand``/``sample(seed)`` depend on the layout).  "The n rows smallest by
-(hash, key)" is computed without a global sort or a single-task limit:
-
-1. a histogram of the top 16 hash bits (at most 65 536 rows, partial-aggregated)
-   gives, by a running sum over that bounded table, the bin holding the n-th row
-   and how many rows precede it;
-2. rows in lower bins are kept, rows in higher bins dropped, and only the one
-   boundary bin (about N / 65 536 rows) is ranked by ``(hash, key)``.
-
-The cut bin and the rows before it are one scalar subquery over the bounded
-histogram, so the selection stays a lazy plan.
+(``rand``/``sample(seed)`` depend on the layout).  Rows are ordered by that hash,
+then by a 64-bit hash of the whole row; a row without a key takes the hash of
+the row for both, so such rows are spread like any others.
+
+"The n smallest rows" is computed without a sort: the order value is read 16
+bits at a time, a histogram of each 16 bits (at most 65 536 rows, partial
+aggregation) finds the bin of the n-th row, and the next histogram looks into
+that bin only.  One or two of them settle unique keys; the cut is then a plain
+filter.  Rows that are equal in every column are interchangeable, and only
+they can meet at the cut.
 """
 
 from __future__ import annotations
@@ -24,47 +23,52 @@ from riskloom.functions.stats import hash32
 
 LABEL = "is_fraud"
 KEY = "trans_num"
-HIST_SHIFT = 16  # 32-bit hash -> 65 536 histogram bins
 # Fixed values (reference behaviour): 70/30 split.
 TRAIN_PCT = 70
 SPLIT_SALT = "#split"
 
 
 def with_hash(df: DataFrame, key: str = KEY, name: str = "_h", salt: str | None = None) -> DataFrame:
-    return df.withColumn(name, hash32(F.col(key), salt))
-
-
-def flag_smallest(df: DataFrame, n: Column, key: str = KEY, hash_col: str = "_h", flag: str = "_sel") -> DataFrame:
-    """Add boolean ``flag``: the row is among the ``n`` smallest by (hash, key).
-
-    ``n`` is a Column (literal or scalar subquery).  See the module docstring."""
-    binned = df.withColumn("_bin", F.shiftright(F.col(hash_col), HIST_SHIFT))
-    hist = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_cnt"))
-    # Running sum over the bounded (<= 65 536 rows) histogram.
-    run = hist.withColumn(
-        "_run", F.sum("_cnt").over(Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    cut = run.where(F.col("_run") >= n).agg(
-        F.min_by(F.struct(F.col("_bin").alias("bin"), (F.col("_run") - F.col("_cnt")).alias("before")), F.col("_bin"))
-    )
-    cut_s = cut.scalar()
-    cut_bin = cut_s.getField("bin")
-    need = n - cut_s.getField("before")
-    # No cut bin -> n >= row count -> every row is selected.
-    below = binned.where(cut_bin.isNull() | (F.col("_bin") < cut_bin)).withColumn(flag, F.lit(True))
-    above = binned.where(F.col("_bin") > cut_bin).withColumn(flag, F.lit(False))
-    edge = binned.where(F.col("_bin") == cut_bin)
-    edge = edge.withColumn(
-        flag, F.row_number().over(Window.partitionBy("_bin").orderBy(hash_col, key)) <= need
-    )
-    return below.unionByName(above).unionByName(edge).drop("_bin")
-
-
-def smallest_n(df: DataFrame, n: Column | int, key: str = KEY, salt: str | None = None) -> DataFrame:
-    """Exactly min(n, rows) rows, the smallest by (hash(key), key)."""
-    n_col = F.lit(n) if isinstance(n, int) else n
-    flagged = flag_smallest(with_hash(df, key, salt=salt), n_col, key=key)
-    return flagged.where(F.col("_sel")).drop("_sel", "_h")
+    """Add the 32-bit hash of the key; of the whole row where the key is NULL."""
+    row = F.xxhash64(*df.columns).cast("string")
+    return df.withColumn(name, hash32(F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row#"), row)), salt))
+
+
+def _digits(h: Column, t: Column) -> list[Column]:
+    """The order value (32-bit ``h``, then 64-bit ``t``) in steps of 16 bits."""
+    low = F.lit(0xFFFF)
+    return [F.shiftright(h, 16), h.bitwiseAND(low)] + [F.shiftrightunsigned(t, k).bitwiseAND(low) for k in (48, 32, 16, 0)]
+
+
+def flag_smallest(df: DataFrame, n: int, hash_col: str = "_h", flag: str = "_sel") -> DataFrame:
+    """Add boolean ``flag``: the row is among the ``n`` smallest (exactly
+    ``min(n, rows)`` rows).  See the module docstring."""
+    tie = F.xxhash64(*[c for c in df.columns if c != hash_col])
+    rows = df.withColumn("_t", tie)
+    digits = _digits(F.col(hash_col), F.col("_t"))
+    equal, below, need = F.lit(True), F.lit(False), n
+    for digit in digits:
+        hist = rows.where(equal).groupBy(digit.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+        run = hist.withColumn("run", F.sum("c").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
+        # one row reaches the driver: the first bin by which enough rows are seen
+        cut = run.where(F.col("run") >= need).agg(F.min_by(F.struct("bin", "c", "run"), "bin").alias("cut")).first()["cut"]
+        if cut is None:  # fewer rows than asked for
+            return df.withColumn(flag, F.lit(True))
+        below = below | (equal & (digit < cut["bin"]))
+        equal = equal & (digit == cut["bin"])
+        need -= cut["run"] - cut["c"]
+        if need == cut["c"]:
+            return rows.withColumn(flag, below | equal).drop("_t")
+    # the cut falls among copies of one row: any of them will do
+    copies = rows.where(equal).withColumn(flag, F.row_number().over(Window.partitionBy(hash_col, "_t").orderBy("_t")) <= need)
+    return rows.where(~equal).withColumn(flag, below).unionByName(copies).drop("_t")
+
+
+def smallest_n(df: DataFrame, n: int, key: str = KEY, salt: str | None = None) -> DataFrame:
+    """Exactly min(n, rows) rows, the smallest by hash."""
+    if n <= 0:
+        return df.limit(0)
+    return flag_smallest(with_hash(df, key, salt=salt), n).where(F.col("_sel")).drop("_sel", "_h")
 
 
 def class_filter(df: DataFrame, value: int, label: str = LABEL) -> DataFrame:
@@ -81,43 +85,45 @@ def class_counts(df: DataFrame, label: str = LABEL) -> tuple[int, int]:
     return int(row["n1"]), int(row["n0"])
 
 
-def undersample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
+def undersample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | None = None) -> DataFrame:
     """B1 + B6: every minority row plus exactly as many majority rows, the
-    smallest by (hash, key).  Minority = the smaller class (label 1 on a tie);
-    with an empty class the input is returned unchanged.
+    smallest by hash (``seed`` draws another order).  Minority = the smaller class
+    (label 1 on a tie).  Rows without a 0/1 label are left out; with an empty class
+    the other class is returned whole.
 
     The class sizes are one aggregate (two numbers reach the driver); the
     selection itself stays distributed (``flag_smallest``)."""
     n1, n0 = class_counts(df, label)
     n_min = min(n1, n0)
+    labelled = df.where(F.col(label).isin(0, 1))
     if n_min == 0:
-        return df
+        return labelled
     minority = 1 if n1 <= n0 else 0
-    labelled = df.where(F.col(label).isin(0, 1))
     keep_minor = labelled.where(F.col(label) == minority)
     major = labelled.where(F.col(label) != minority)
-    return keep_minor.unionByName(smallest_n(major, n_min, key=key))
+    return keep_minor.unionByName(smallest_n(major, n_min, key=key, salt=_salt(seed)))
 
 
-def oversample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
+def oversample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | None = None) -> DataFrame:
     """B2: exactly 1:1 by repeating minority rows.
 
     With ``q, r = divmod(n_major, n_minor)`` each minority row appears ``q``
-    times, plus once more for the ``r`` smallest by (hash, key) -- the same
-    sizes as "repeat, union, cut to n_major", but a constant-size plan
+    times, plus once more for the ``r`` smallest by hash -- the same sizes as
+    "repeat, union, cut to n_major", but a constant-size plan
     (``explode(sequence)``) instead of one union per copy.  Minority = the
-    smaller class; with an empty class the input is returned unchanged."""
+    smaller class.  Rows without a 0/1 label are left out; with an empty class the
+    other class is returned whole."""
     n1, n0 = class_counts(df, label)
     n_min, n_maj = min(n1, n0), max(n1, n0)
+    labelled = df.where(F.col(label).isin(0, 1))
     if n_min == 0:
-        return df
+        return labelled
     minority = 1 if n1 <= n0 else 0
     q, r = divmod(n_maj, n_min)
-    labelled = df.where(F.col(label).isin(0, 1))
     major = labelled.where(F.col(label) != minority)
     minor = labelled.where(F.col(label) == minority)
     if r:
-        flagged = flag_smallest(with_hash(minor, key), F.lit(r), key=key).drop("_h")
+        flagged = flag_smallest(with_hash(minor, key, salt=_salt(seed)), r).drop("_h")
     else:
         flagged = minor.withColumn("_sel", F.lit(False))
     copies = F.lit(q) + F.when(F.col("_sel"), 1).otherwise(0)
@@ -125,15 +131,22 @@ def oversample(df: DataFrame, label: str = LABEL, key: str = KEY) -> DataFrame:
     return major.unionByName(repeated)
 
 
-def split(df: DataFrame, train_pct: int = TRAIN_PCT, key: str = KEY, name: str = "split") -> DataFrame:
-    """``hash(key) % 100 < train_pct`` -> 'train', else 'test'.
+def _salt(seed: int | None, base: str = "") -> str | None:
+    """The hash salt of a seed; none without one."""
+    return base or None if seed is None else f"{base}#seed{seed}"
+
+
+def split(df: DataFrame, train_pct: int = TRAIN_PCT, key: str = KEY, name: str = "split", seed: int | None = None) -> DataFrame:
+    """``hash(key) % 100 < train_pct`` -> 'train', else 'test'; ``seed`` draws
+    another split.
 
     Stable when rows are added, independent of partitioning; copies of a row
-    always fall on the same side."""
-    h = hash32(F.col(key), SPLIT_SALT)
-    return df.withColumn(name, F.when(h % 100 < train_pct, F.lit("train")).otherwise(F.lit("test")))
+    always fall on the same side.  Rows without a key are split by their contents."""
+    hashed = with_hash(df, key, "_split_hash", _salt(seed, SPLIT_SALT))
+    side = F.when(F.col("_split_hash") % 100 < train_pct, F.lit("train")).otherwise(F.lit("test"))
+    return hashed.withColumn(name, side).drop("_split_hash")
 
 
-def train_test(df: DataFrame, train_pct: int = TRAIN_PCT, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    s = split(df, train_pct, key, name="_split")
+def train_test(df: DataFrame, train_pct: int = TRAIN_PCT, key: str = KEY, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    s = split(df, train_pct, key, name="_split", seed=seed)
     return s.where(F.col("_split") == "train").drop("_split"), s.where(F.col("_split") == "test").drop("_split")

@@ -291,7 +291,7 @@ bal AS (
   UNION ALL
   SELECT maj.* EXCLUDE (rn) FROM maj, par WHERE par.n_min > 0 AND maj.rn <= par.n_min
   UNION ALL
-  SELECT s.* FROM {src} s, par WHERE par.n_min = 0)"""
+  SELECT s.* FROM {src} s, par WHERE par.n_min = 0 AND s.is_fraud IN (0, 1))"""
 
 
 def _oversample(src: str) -> str:
@@ -305,7 +305,7 @@ bal AS (
   SELECT mino.* EXCLUDE (rn) FROM mino, par,
     generate_series(1, CAST(par.n_maj // par.n_min + CASE WHEN mino.rn <= par.n_maj % par.n_min THEN 1 ELSE 0 END AS BIGINT)) AS g(i)
   UNION ALL
-  SELECT s.* FROM {src} s, par WHERE par.n_min = 0)"""
+  SELECT s.* FROM {src} s, par WHERE par.n_min = 0 AND s.is_fraud IN (0, 1))"""
 
 
 SCORED = """scored AS (
@@ -497,7 +497,7 @@ def build() -> dict[str, str]:
     q["class_filter"] = chain(*BASE_CAL) + "SELECT trans_num, amt, is_fraud FROM cal WHERE is_fraud = 1"
     q["sample_n"] = chain(*BASE_FEAT) + (
         f"SELECT trans_num, is_fraud, amt FROM (SELECT *, row_number() OVER (ORDER BY {_hash('trans_num')}, trans_num) AS rn "
-        "FROM feat) WHERE rn <= 10000"
+        "FROM feat) WHERE rn <= 500"
     )
     q["undersample"] = chain(*BASE_FEAT, _undersample("feat")) + "SELECT trans_num, is_fraud, amt FROM bal"
     q["oversample"] = chain(*BASE_FEAT, _oversample("feat")) + "SELECT trans_num, is_fraud, amt FROM bal"

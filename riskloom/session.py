@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "riskloom") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "riskloom", driver_memory: str = "8g") -> SparkSession:
     """A local session configured like a small cluster: AQE on, UI off, UTC clock."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -21,7 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -33,8 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared file system folder and is only read.
-    Where it is unset (local tests), a fresh scratch folder is created and set.
+    On a cluster the setting names a shared file system folder and is only read;
+    without it this raises, since a machine-local folder would lose rows there.
+    With a local master (tests) a fresh scratch folder is created and set.
     """
     try:
         sc = spark.sparkContext
@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="riskloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is None:
@@ -64,25 +66,20 @@ def cluster_settings(
     task_slots: int,
     target_partition_bytes: int = 256 * 1024**2,
     shuffle_growth: float = 1.3,
-    max_shuffle_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Spill-aware sizing for a run over ``input_bytes`` of parquet.
 
     * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
     * the one wide shuffle (behaviour windows) carries about the input plus a
       narrow context copy per row (``shuffle_growth``).  It is cut into whole
-      waves of ``task_slots`` partitions near the target size, capped at
-      ``max_shuffle_partitions`` (map-output tracking on the driver grows with
-      mappers x reducers; beyond the cap partitions grow and spill instead);
-      AQE coalesces smaller stages;
+      waves of ``task_slots`` partitions near the target size; AQE coalesces
+      smaller stages;
     * AQE skew-join splitting for the user joins; broadcasts only under the
       default measured-size threshold.
 
-    Returns settings to pass to ``SparkSession.builder.config`` or
-    ``apply_settings``."""
+    Returns settings to pass to ``SparkSession.builder.config``."""
     shuffle_bytes = int(input_bytes * shuffle_growth)
     waves = max(1, -(-shuffle_bytes // (target_partition_bytes * task_slots)))
-    waves = max(1, min(waves, max_shuffle_partitions // task_slots))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(waves * task_slots),
@@ -91,15 +88,3 @@ def cluster_settings(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
-
-
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> dict[str, str]:
-    """Set each setting unless the cluster configured it at launch (its own
-    settings take precedence); returns what was set."""
-    launched = spark.sparkContext.getConf()
-    applied = {}
-    for key, value in settings.items():
-        if not launched.contains(key):
-            spark.conf.set(key, value)
-            applied[key] = value
-    return applied

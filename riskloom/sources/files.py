@@ -54,22 +54,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that yields fewer input splits than the cluster has
-    task slots (e.g. one small file with a single row group), so the CPU-heavy
-    text parsing that follows uses every core.
-
-    A large input already has far more splits than slots and is returned
-    untouched -- no extra shuffle at scale.  The round-robin repartition is
-    retry-safe (Spark sorts rows before distributing them)."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the cluster's shared checkpoint folder and
     read it back.

@@ -49,10 +49,33 @@ def test_oversample_copies(spark):
     assert Counter(r[0] for r in out)[first] == 4
 
 
-def test_no_positives_returns_input(spark):
+def test_no_positives_returns_the_other_class(spark):
     df = _labelled(spark, 0, 5)
-    assert sampling.undersample(df).count() == 6
-    assert sampling.oversample(df).count() == 6
+    assert sampling.undersample(df).count() == 5
+    assert sampling.oversample(df).count() == 5
+
+
+def test_rows_without_or_with_repeated_keys_are_kept(spark):
+    data = [(None if i < 20 else f"k{i % 30}", i) for i in range(100)]
+    df = spark.createDataFrame(data, "trans_num string, amt int")
+    for n in (10, 50, 99, 100, 200):
+        assert sampling.smallest_n(df, n).count() == min(n, 100)
+    same_row = spark.createDataFrame([("a", 1)] * 40, "trans_num string, amt int")
+    assert sampling.smallest_n(same_row, 7).count() == 7
+    pos = [(None, 1)] * 25 + [("x", 0)] * 75
+    labelled = spark.createDataFrame(pos, "trans_num string, is_fraud int")
+    assert Counter(r[1] for r in rows(sampling.undersample(labelled))) == {1: 25, 0: 25}
+    uneven = spark.createDataFrame([(None, 1)] * 25 + [("x", 0)] * 73, "trans_num string, is_fraud int")
+    assert Counter(r[1] for r in rows(sampling.oversample(uneven))) == {1: 73, 0: 73}
+    assert sampling.split(df).count() == 100
+
+
+def test_seeds_draw_other_rows(spark):
+    df = spark.range(300).select(F.col("id").cast("string").alias("trans_num"), (F.col("id") % 5 == 0).cast("int").alias("is_fraud"))
+    draw = lambda s: {r[0] for r in rows(sampling.undersample(df, seed=s), "trans_num")}
+    assert draw(1) == draw(1) != draw(2)
+    side = lambda s: dict(rows(sampling.split(df, seed=s), "trans_num", "split"))
+    assert side(1) == side(1) != side(2)
 
 
 def test_minority_is_the_smaller_class(spark):

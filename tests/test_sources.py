@@ -71,9 +71,43 @@ def test_cluster_settings_for_100_tb():
 
     s = cluster_settings(100 * 1024**4, task_slots=8000)
     parts = int(s["spark.sql.shuffle.partitions"])
-    assert parts % 8000 == 0 and parts <= 100_000  # whole waves, capped
+    assert parts % 8000 == 0  # whole waves
+    assert 100 * 1024**4 * 1.3 / parts <= 256 * 1024**2
     assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_settings(10 * 1024**3, task_slots=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 8000  # one wave
     mid = cluster_settings(10 * 1024**4, task_slots=4000)
     assert 10 * 1024**4 * 1.3 / int(mid["spark.sql.shuffle.partitions"]) <= 256 * 1024**2
+
+
+def test_no_machine_local_folder_outside_a_local_master():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from riskloom.session import ensure_checkpoint_dir
+
+    conf = {"spark.master": "spark://host:7077"}
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
+
+
+def test_typed_fill_leaves_dates_and_times(spark):
+    from riskloom.operators.missing import impute
+
+    df = spark.sql("SELECT CAST(NULL AS DATE) AS d, CAST(NULL AS TIMESTAMP) AS t, CAST(NULL AS INT) AS n, CAST(NULL AS STRING) AS s, CAST(NULL AS BOOLEAN) AS b")
+    for by_type in (True, False):
+        row = impute(df, by_type=by_type).first()
+        assert row.d is None and row.t is None and row.n == 0 and row.b is False and row.s is not None
+
+
+def test_rows_without_a_user_are_one_user(spark):
+    from riskloom.operators.behavior import EPOCH, sequence_features, user_totals
+
+    df = spark.createDataFrame([(None, "a", 0, 1.0), (None, "b", 3600, 3.0), ("u", "c", 10, 5.0)], "user_id string, trans_num string, epoch_seconds long, amt double")
+    got = {r.trans_num: r for r in sequence_features(df, EPOCH).collect()}
+    assert (got["b"].user_transaction_count, got["b"].user_avg_amt, got["b"].trans_count_last_24h, got["b"].hours_since_last_trans) == (2, 2.0, 2, 1.0)
+    assert got["a"].user_id is None and got["c"].user_transaction_count == 1
+    totals = {r.trans_num: r.user_transaction_count for r in user_totals(df).collect()}
+    assert totals == {"a": 2, "b": 2, "c": 1}
