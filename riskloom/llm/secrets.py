@@ -183,6 +183,8 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         (quoted.format(name, "@"), hexed, 1),
         (quoted.format(name, "@"), mixed, 1),
         (f"{name}: @", mixed, 1),
+        (f"{name}: @", hexed, 1),
+        (f"my_{name} = '@'", hexed, 1),
         (f"{name}=@", hexed, 1),
         ("@", "AKIA" + _digest(seed, _UPPER, 16), 1),
         (f"{name} @", "ghp_" + _digest(seed, _ALNUM, 36), 1),
