@@ -95,8 +95,10 @@ def sketch(text: str | None) -> np.ndarray | None:
         source[empty[found]] = walk[found, first[found]]
         empty = empty[~found]
         step += _WALK
-    # the bin number is in the high bits, so the low bits are those of the value
-    return (least[source] & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint8)
+    # mixed with the bin's own number, so that a value that many bins borrow does not
+    # repeat the same chance match in each of them
+    low = _mix(least[source] + np.arange(BINS, dtype=np.uint64) * _C)
+    return (low & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint8)
 
 
 def pack(bins: np.ndarray | None) -> str:

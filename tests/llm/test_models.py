@@ -1,0 +1,249 @@
+"""Operators 3, 6, 7 and 8: held-out accuracy, brute force of the methods, edge rows."""
+
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from riskloom.llm import langid, quality, secrets, toxicity
+
+from .conftest import EDGES
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def fold(i, n):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % n
+
+
+# ------------------------------------------------------------------ language
+def test_forward_sums_all_segmentations():
+    rows = {"▁": [0.1], "▁a": [0.2], "a": [0.05], "b": [0.3], "ab": [0.07], "▁ab": [0.02], "ba": [0.04]}
+    byte_rows = [[0.001 * (b + 1)] for b in range(256)]
+
+    def brute(text):
+        total = 0.0
+        for n in range(len(text)):
+            for cuts in itertools.combinations(range(1, len(text)), n):
+                parts = [text[a:b] for a, b in zip((0, *cuts), (*cuts, len(text)))]
+                p = 1.0
+                for part in parts:
+                    if part in rows:
+                        p *= rows[part][0]
+                    elif len(part) == 1:
+                        p *= np.prod([byte_rows[b][0] for b in part.encode()])
+                    else:
+                        p = 0.0
+                total += p
+        return total
+
+    for word in ("ab", "aba", "abcab", "bb", "é"):
+        assert np.exp(langid.log_likelihood(word, rows, byte_rows, 1)[0]) == pytest.approx(brute("▁" + word))
+    long = langid.log_likelihood("ab" * 3000, rows, byte_rows, 1)[0]
+    assert np.isfinite(long) and long < -1000
+
+
+def test_expected_uses_explain_the_word():
+    pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4}
+    found = {}
+    langid.expected_uses("ab", pieces, list(range(5, 261)), np.full(261, 0.1), found, 2.0)
+    spelled = {0: 1, 1: 2, 2: 1, 3: 1, 4: 2}
+    assert sum(n * spelled[r] for r, n in found.items()) == pytest.approx(2.0 * 3)
+
+
+def test_language(spark, tables, make):
+    docs, _ = tables
+    got = langid.identify(docs, PIECES, sample_docs=60).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == docs.count() and all(r.held_out == (fold(r.doc_id, 4) == 2) for r in got)
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_edges(make):
+    rows = [(i, t, lang) for (i, t), lang in zip(EDGES, itertools.cycle(["en", None, ""]))]
+    got = {r.doc_id: r for r in langid.identify(make(rows), PIECES).collect()}
+    assert got[1].lang_pred == got[2].lang_pred == got[3].lang_pred == "und" and got[1].score == 0.0
+    assert got[9].lang_pred in ("en", "und")
+    none = langid.identify(make([(1, "abc", None)]), PIECES).collect()
+    assert none[0].lang_pred == "und"
+    assert langid.identify(make([]), PIECES).count() == 0
+    kept = langid.accepted(make([(k, t, "en") for k, t in enumerate(["some words", "123", None, "more words"])]), PIECES)
+    assert kept.columns[-1] == "score" and {r.doc_id for r in kept.collect()} == {0, 3}
+
+
+# ------------------------------------------------------------------ toxicity
+def test_ftrl_equals_its_definition():
+    state = toxicity.Ftrl(np.zeros(6), np.zeros(6))
+    z, n = [0.0] * 6, [0.0] * 6
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        slots = np.unique(rng.integers(0, 6, 3))
+        y = float(0 in slots)
+        state.learn(slots, y)
+        w = {int(i): weight(i) for i in slots}
+        g = 1 / (1 + np.exp(-sum(w.values()))) - y
+        for i in map(int, slots):
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    assert np.allclose(state.z, z) and np.allclose(state.n, n)
+    once = toxicity.Ftrl(np.zeros(2), np.zeros(2))
+    once.learn(np.array([0]), 1.0)
+    assert (once.weights(np.arange(2)) == 0).all()  # one row is no evidence yet
+
+
+def test_slots_are_words_pairs_and_skips():
+    one = lambda t: set(toxicity.slots_of(t).tolist())
+    assert len(toxicity.slots_of("a b c")) == 3 + 2 + 1
+    assert one("A") < one("a b") and one("a x b") & one("a y b") >= one("a") | one("b")
+    assert len(one("a x b") & one("a y b")) == 3  # the skip-gram too
+    assert len(toxicity.slots_of(None)) == 0
+
+
+def test_toxicity(tables):
+    docs, labels = tables
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.held_out == (fold(r.doc_id, 5) == 0) for r in got)
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    text = {r.doc_id: r.text for r in docs.collect()}
+    held = [r for r in got if r.held_out and r.doc_id in known]
+    assert np.mean([r.predicted == known[r.doc_id] for r in held]) > 0.9
+    hit = [r.score for r in got if r.doc_id in known and known[r.doc_id] and "idiot" in text[r.doc_id].lower()]
+    clean = [r.predicted for r in got if known.get(r.doc_id) == 0]
+    assert np.mean(np.array(hit) > 0.3) > 0.7 and np.mean(clean) < 0.02
+
+
+def _labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("score", [toxicity.toxicity, quality.quality])
+def test_scores_of_edges(spark, make, score):
+    some = _labels(spark, [(i, i % 2, i % 2) for i in range(1, 12)] + [(4, None, None), (9, 1, 1), (9, 0, 0), (77, 1, 1)])
+    got = score(make(EDGES), some).collect()
+    assert len(got) == len(EDGES) and all(0 <= r.score <= 1 for r in got)
+    empty = {r.doc_id: r.score for r in got}
+    assert empty[1] == empty[2] == empty[3]
+    none = score(make(EDGES), _labels(spark, [])).collect()
+    assert len(none) == len(EDGES) and {r.score for r in none} == {0.0}
+    assert score(make([]), some).count() == 0
+
+
+# ------------------------------------------------------------------ quality
+def test_quality(tables):
+    docs, labels = tables
+    got = quality.quality(docs, labels).collect()
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    held = [r for r in got if r.held_out and r.doc_id in known]
+    assert len(got) == docs.count() and all(r.predicted == (r.score >= 0.3) for r in got)
+    assert np.mean([r.predicted == known[r.doc_id] for r in held]) > 0.95
+    assert np.mean([r.predicted for r in got if known.get(r.doc_id) == 1]) > 0.99
+
+
+def test_votes_equal_brute_force():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["aa", "Bb", "CC", "d1", "!!", "ee"], 12)) for _ in range(80)]
+    idf = np.linspace(0.5, 2.0, quality.SLOTS)
+    table = np.zeros((len(texts), quality.SLOTS), dtype=np.float32)
+    for i, t in enumerate(texts):
+        slots, w = quality.weigh(t, idf)
+        table[i, slots] = w
+    directions = quality.latent_directions(table, 5)
+    _, _, right = np.linalg.svd(table, full_matrices=False)
+    assert np.allclose(np.abs((directions.T @ right[:5].T)).max(axis=1), 1, atol=0.05)
+    vectors = quality._unit(table @ directions)
+    labels = (rng.random(80) > 0.5).astype(np.float32)
+    model = quality.Model(idf, directions, vectors, labels)
+    got = quality.votes(model, texts[:10] + [None])
+    for i in range(10):
+        cosines = vectors @ vectors[i]
+        near = np.argsort(-cosines)[: quality.NEIGHBOURS]
+        w = np.maximum(cosines[near], 0) ** quality.SHARPNESS
+        assert abs(got[i] - (w * labels[near]).sum() / w.sum()) < 0.1  # ties may fall either way
+    assert got[10] == pytest.approx(labels.mean())
+
+
+# ------------------------------------------------------------------ secrets
+SECRET = "4f3c2b1a9d8e7f60514a3b2c1d0e9f8a7b6c5d4e"
+
+
+@pytest.fixture(scope="module")
+def found(tables):
+    docs, _ = tables
+    return secrets.scan(docs, PIECES).toPandas()
+
+
+def test_candidates():
+    text = f'see https://x.example/a1 and token = "{SECRET}" or key: abcdefghijkl. short1 longwordwithoutdigits'
+    values = [text[c.start : c.start + c.length] for c in secrets.candidates(text)]
+    assert SECRET in values and "abcdefghijkl" in values and "longwordwithoutdigits" not in values
+    assert secrets.candidates(None) == [] and secrets.candidates("") == []
+
+
+def test_secrets_of_the_documents(tables, found):
+    docs, _ = tables
+    import re
+
+    want = {(r.doc_id, m.start(1)) for r in docs.collect() for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or "")}
+    got = {(r.doc_id, r.start) for r in found.itertuples() if r.predicted}
+    assert want and len(want & got) >= 0.97 * len(want)
+
+
+def test_secret_and_harmless_contexts(spark, tables, make):
+    docs, _ = tables
+    rows = [
+        (1, f'the words before token = "{SECRET}" and after'), (2, f"as of commit {SECRET} the tree"), (3, "a plain text with a longwordofletters"),
+        (4, 'password = "xxxxxxxxxxxxxxxxxxxx" here'), (5, None), (6, ""), (7, f"api_key: {SECRET}"), (None, f'secret = "{SECRET}"'),
+    ]
+    extra = make([(None if i is None else -i, t) for i, t in rows]).select(*docs.columns)
+    clean = secrets.redact(docs.unionByName(extra), PIECES)
+    got = {r.doc_id: r for r in clean.where("doc_id < 0 or doc_id is null").collect()}
+    assert clean.columns == docs.columns and clean.count() == docs.count() + len(rows)
+    for k in (-1, -7, None):
+        assert SECRET not in got[k].text and secrets.REDACTED in got[k].text and got[k].n_chars == len(got[k].text)
+    for i, t in rows[1:6]:
+        assert got[-i].text == t
+
+
+def test_forest_equals_the_model(spark, tables):
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from pyspark.ml.functions import array_to_vector
+
+    docs, _ = tables
+    findings = secrets.labelled_findings(docs, secrets.read_vocabulary(PIECES), sample_docs=60).cache()
+    paths = []
+    original = secrets.scratch_path
+    secrets.scratch_path = lambda s, n: paths.append(original(s, n)) or paths[-1]
+    try:
+        forest = secrets.learn(findings)
+    finally:
+        secrets.scratch_path = original
+    model = RandomForestClassificationModel.load(paths[-1])
+    rows = findings.limit(300).collect()
+    scores = forest.score(np.array([r.features for r in rows]))
+    table = spark.createDataFrame([(r.features,) for r in rows], "f array<double>").coalesce(1)
+    want = [r.probability[1] for r in model.transform(table.select(array_to_vector("f").alias("features"))).collect()]
+    assert np.allclose(scores, want, atol=1e-6)
+
+
+def test_secrets_of_small_tables(make):
+    assert secrets.scan(make([]), PIECES).count() == 0
+    assert secrets.redact(make([(1, None), (1, None)]), PIECES).count() == 2
