@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskloom.functions.text import token
-
 # Fixed values (reference behaviour): year = first 19xx/20xx run of the date part.
 YEAR_PATTERN = r"(19|20)\d{2}"
 ISO_PREFIX = r"^\d{4}-"
@@ -52,14 +50,6 @@ def parse_from_parts(dp: Column, tp: Column, slash: Column, dash: Column, colon:
     }
 
 
-def parse_fields(c: Column, iso_dates: bool = True) -> dict[str, Column]:
-    """T1-T4 on a text column as plain expressions (single-expression form of
-    ``parse_from_parts``; the operator stages the splits instead)."""
-    clean = date_clean(c)
-    dp, tp = token(clean, " ", 0), token(clean, " ", 1)
-    return parse_from_parts(dp, tp, F.split(dp, "/"), F.split(dp, "-"), F.split(tp, ":"), iso_dates)
-
-
 def packed_clock(year: Column, month: Column, day: Column, hour: Column, minute: Column) -> Column:
     """Y*10^8 + M*10^6 + D*10^4 + H*100 + Min as long; NULL if any part is NULL.
 

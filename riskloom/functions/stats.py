@@ -1,4 +1,4 @@
-"""Statistical and hashing expressions that are safe under ANSI mode."""
+"""Hashing expressions."""
 
 from __future__ import annotations
 
@@ -6,16 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson r that is NULL (not an error) for constant columns or a single row.
-
-    ``corr`` raises DIVIDE_BY_ZERO under ANSI on a constant column; the
-    covariance / (std * std) form divides with ``try_divide`` instead.
-    """
-    xd, yd = x.cast("double"), y.cast("double")
-    return F.try_divide(F.covar_samp(xd, yd), F.stddev_samp(xd) * F.stddev_samp(yd))
-
-
 def hash32(key: Column, salt: str | None = None) -> Column:
     """Unsigned 32-bit hash of a key: first 8 hex digits of md5, as bigint.
 

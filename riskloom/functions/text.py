@@ -29,11 +29,6 @@ def null_if_sentinel(c: Column) -> Column:
     return F.when(c.isin(*NULL_SENTINELS), F.lit(None).cast("string")).otherwise(c)
 
 
-def clean_text(c: Column) -> Column:
-    """C1 followed by C2."""
-    return null_if_sentinel(normalize_text(c))
-
-
 def merchant_spacing(c: Column) -> Column:
     r"""Runs of backslash/quote/tab/CR/LF become ONE space (replace, not
     delete), whitespace collapses, ends are stripped.
@@ -57,9 +52,3 @@ def clean_merchant_text(c: Column) -> Column:
 def join_key(*cols: Column | str, sep: str = "_") -> Column:
     """Concatenate with a separator, skipping NULL parts (all NULL -> '')."""
     return F.concat_ws(sep, *[F.col(c) if isinstance(c, str) else c for c in cols])
-
-
-def token(c: Column, sep_regex: str, index: int) -> Column:
-    """The ``index``-th (0-based) token of a regex split; absent token -> NULL
-    (ANSI-safe replacement of ``split(...)[i]``)."""
-    return F.get(F.split(c, sep_regex), index)

