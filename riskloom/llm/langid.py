@@ -279,9 +279,9 @@ def identify(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS) -
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "p.lang_pred", "p.score")
 
 
-def accepted(docs: DataFrame, vocabulary: str, least: float = 0.5, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows whose language is told with a posterior of at least ``least``, with
-    all their columns."""
+def accepted(docs: DataFrame, vocabulary: str, least: float = 0.0, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows whose language can be told, with all their columns; with ``least``, only those
+    with at least that posterior."""
     model = learn(docs, vocabulary, sample_docs)
     p = "_language_prediction"
     scored = docs.withColumn(p, prediction(docs.sparkSession, model, F.col("text")))
