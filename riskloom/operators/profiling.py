@@ -52,9 +52,11 @@ def amount_summary(df: DataFrame, column: str = "amt", label: str = LABEL, exact
     """A3: count, mean, stddev, min, quartiles, max of the amount in one aggregate.
 
     Exact quartiles come from bounded histogram passes (a scalar subquery);
-    ``exact=False`` takes them from the quantile sketch instead."""
+    ``exact=False`` takes them from the quantile sketch instead.  NaN counts as missing
+    in every figure."""
     x = F.col(column).cast("double")
     data = _labelled(df, label)
+    data = data.withColumn(column, F.when(~F.isnan(x), F.col(column)))
     if exact:
         qs = exact_quantiles(data, [column], [0.25, 0.5, 0.75])
         q = qs.select(F.array("q_0_25", "q_0_5", "q_0_75")).scalar()

@@ -92,3 +92,9 @@ def test_reports_prune_columns_and_push_filters(spark):
     assert "PushedFilters: [IsNotNull(is_fraud)]" in plan
     schemas, _ = read_schemas(profiling.rate_by_hour_top(stored))
     assert schemas and all(s == {"is_fraud", "hour"} for s in schemas)
+
+
+def test_amount_summary_counts_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1), (float("nan"), 1), (None, 0)], "amt double, is_fraud int")
+    r = profiling.amount_summary(df).first()
+    assert (r.n, r["mean"], r["max"], r.p50) == (2, 1.5, 2.0, 1.5)
