@@ -23,6 +23,7 @@ and ids are packed each; other columns are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_right
@@ -44,6 +45,10 @@ END_ID = 1
 #: Words of a generation whose ids a worker keeps; it holds two generations.
 CACHE_ENTRIES = 250_000
 
+#: Marks that are split from letters before them; none begins a special token.
+MARKS = "!#$%&()*+,-./:;=?@[]^_`{}~"
+LATIN_END = "\u0250"
+
 
 class Use(NamedTuple):
     """Pieces of one length, ranks ``rank`` to ``rank + items - 1``: ``per_window``
@@ -141,6 +146,11 @@ def place(length: int, rank: int, uses: dict[int, list[Use]], starts: dict[int,
         length, rank = length - use.used, use.tail_rank + (rank - use.rank)
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return np.array(ids, dtype="<u4").tobytes()
+
+
 class WordIds:
     """Ids of a tokenizers file that never join characters across white space.
     Words met lately are looked up."""
@@ -152,32 +162,71 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        suffix = json.loads(content)["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(True) + 1, dtype=bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab(False).items() if suffix and t.endswith(suffix)]] = True
+        # ids of each, as little-endian 32-bit numbers
+        self.cores: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
-        fresh = []
+        """Keep the ids of words; a run of Latin letters is looked up, in lower case,
+        apart from the marks that follow it, as the file's rules split them."""
+        whole, cut, cores = [], [], set()
         for w in words:
             ids = self.older.get(w)
-            if ids is None:
-                fresh.append(w)
-            else:
+            if ids is not None:
                 self.words[w] = ids
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.words[w] = tuple(e.ids)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts."""
+                continue
+            core = w.rstrip(MARKS)
+            if core.isalpha() and max(core) < LATIN_END and "\u0130" not in core:
+                key = core.lower()
+                cut.append((w, key, w[len(core) :]))
+                if key not in self.cores:
+                    cores.add(key)
+            else:
+                whole.append(w)
+        if len(self.cores) > CACHE_ENTRIES:
+            self.cores = {key: self.cores[key] for _, key, _ in cut if key in self.cores}
+        self._learn_cores(list(cores))
+        for w, key, marks in cut:
+            ids = self.cores[key]
+            if marks:
+                if marks not in self.marks:
+                    self.marks[marks] = packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
+                ids += self.marks[marks]
+            self.words[w] = ids
+        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            self.words[w] = packed(e.ids)
+
+    def _learn_cores(self, cores: list[str]) -> None:
+        """Ids of runs of letters, many in one call: a word ends at an id that the
+        vocabulary marks as a word's end."""
+        blocks = [cores[i : i + 128] for i in range(0, len(cores), 128)]
+        for block, e in zip(blocks, self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(block) and ends[-1] == len(ids):
+                raw, bounds = ids.tobytes(), (4 * ends).tolist()
+                parts = map(raw.__getitem__, map(slice, [0, *bounds], bounds))
+            else:  # a vocabulary without such marks
+                parts = (packed(x.ids) for x in self.tokenizer.encode_batch_fast(block, add_special_tokens=False))
+            self.cores.update(zip(block, parts))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, as little-endian 32-bit numbers."""
         if len(self.words) > CACHE_ENTRIES:
             self.older, self.words = self.words, {}
         # U+001C to U+001F are white space to str.split only
         odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
         split = [[t] if o else t.split() for t, o in zip(texts, odd)]
-        missing = {w for ws in split for w in ws if w not in self.words}
+        missing = set(chain.from_iterable(split)).difference(self.words)
         if missing:
             self._learn(missing)
         get = self.words.__getitem__
-        out = [np.fromiter(chain.from_iterable(map(get, ws)), dtype=np.uint32) for ws in split]
+        out = [b"".join(map(get, ws)) for ws in split]
         for ws, o in zip(split, odd):
             if o:
                 self.words.pop(ws[0], None)  # a whole text is no word to keep
@@ -206,16 +255,17 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     content = Path(tokenizer).read_text(encoding="utf-8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task, seen = load(content), TaskContext.get().partitionId(), {}
+        words, task, seen, end = load(content), TaskContext.get().partitionId(), {}, packed([end_id])
         for keys, texts in rows_of(batches, "doc_id", "text"):
             out: list[tuple] = []
             for key, ids in zip(keys, words.encode([t or "" for t in texts])):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for at in range(0, len(ids), capacity):
-                    part = ids[at : at + capacity]
-                    rank = seen.get(len(part), 0)
-                    seen[len(part)] = rank + 1
-                    out.append((task, rank, key, at, len(part), len(ids), part.tobytes()))
+                ids += end
+                total = len(ids) // 4
+                for at in range(0, total, capacity):
+                    size = min(capacity, total - at)
+                    rank = seen.get(size, 0)
+                    seen[size] = rank + 1
+                    out.append((task, rank, key, at, size, total, ids[4 * at : 4 * (at + size)]))
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["task", "rank", "doc_id", "start", "length", "doc_tokens", "ids"]
@@ -262,4 +312,4 @@ def crc_of_ids(packed: DataFrame) -> DataFrame:
 
 def checksum(ids: list[int]) -> int:
     """crc32 of ids as little-endian unsigned 32-bit numbers."""
-    return zlib.crc32(np.asarray(ids, dtype="<u4").tobytes())
+    return zlib.crc32(packed(ids))
