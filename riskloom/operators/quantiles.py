@@ -3,18 +3,18 @@
 Spark's exact ``percentile`` keeps a map of every distinct value of a group and
 merges the partial maps of a group in one task.  This operator computes the
 same numbers (linear interpolation between the closest ranks,
-``pos = p * (n - 1)``) from plain aggregates and windows over bounded tables:
+``pos = p * (n - 1)``) by narrowing the range that holds each needed rank:
 
 1. per group (and per value column -- several columns are unpivoted into one
    long table and handled in the same pass): ``count``, ``min``, ``max``;
-2. an equal-width histogram of ``BINS`` bins between min and max (partial
-   aggregation; at most ``BINS`` rows per group) and a running count over it
-   locate the bin that holds each needed rank;
-3. only rows inside those target bins are counted per distinct value, and a
-   running count over those values picks the exact order statistics.
-
-The input is scanned by several branches: pass a table (or a materialised
-intermediate), not an expensive lazy plan.
+2. a histogram of ``BINS`` bins over the range of a rank (partial aggregation; at most
+   ``BINS`` rows each) finds the bin that holds it; the smallest and largest value
+   *in that bin* are the next range;
+3. a rank is found when its range is one value.  The ends of a range always fall into
+   different bins, so every pass narrows it; an outlier costs one pass.
+
+No step sorts rows or keeps distinct values.  Each pass scans the input once: pass a
+table (or a materialised intermediate), not an expensive lazy plan.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.sources.files import materialize
+
 BINS = 65536
 
 
@@ -67,21 +69,12 @@ def exact_quantiles(
         F.min(F.when(valid, F.col("_v"))).alias("_lo"),
         F.max(F.when(valid, F.col("_v"))).alias("_hi"),
     )
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(BINS)
-    bin_of = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(BINS - 1))
-    ).cast("long")
-    binned = data.join(side(stats.select(*keys, "_lo", "_hi")), on=keys, how="inner").withColumn("_bin", bin_of)
-
-    hist = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"))
-    run = hist.withColumn(
-        "_end", F.sum("_c").over(Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("_start", F.col("_end") - F.col("_c"))
-
     # Needed 0-based ranks: floor and ceil of p * (n - 1) for every prob.
-    ranks = stats.select(
+    ranks = stats.where("_n > 0").select(
         *keys,
         "_n",
+        F.col("_lo"),
+        F.col("_hi"),
         F.explode(
             F.array(
                 *[
@@ -90,31 +83,41 @@ def exact_quantiles(
                 ]
             )
         ).alias("_p"),
-    ).select(*keys, "_n", F.col("_p._i").alias("_i"), F.col("_p._pos").alias("_pos"))
-    ranks = ranks.select(
-        *keys,
-        "_n",
-        "_i",
-        "_pos",
-        F.explode(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long"))).alias("_k"),
-    ).distinct()
-
-    targets = ranks.join(run, on=keys, how="inner").where(
-        (F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_end"))
     )
-    target_bins = targets.select(*keys, "_bin").distinct()
-
-    in_bins = binned.join(side(target_bins), on=keys + ["_bin"], how="left_semi")
-    vals = in_bins.groupBy(*keys, "_bin", "_v").agg(F.count(F.lit(1)).alias("_vc"))
-    vals = vals.withColumn(
-        "_vend",
-        F.sum("_vc").over(Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)),
-    ).withColumn("_vstart", F.col("_vend") - F.col("_vc"))
-
-    picked = targets.join(vals, on=keys + ["_bin"], how="inner").where(
-        (F.col("_k") - F.col("_start") >= F.col("_vstart")) & (F.col("_k") - F.col("_start") < F.col("_vend"))
-    ).select(*keys, "_n", "_i", "_pos", "_k", "_v")
+    targets = materialize(
+        ranks.select(*keys, "_n", "_p.*", "_lo", "_hi")
+        .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))))
+        .withColumn("_before", F.lit(0).cast("long")),
+        "quantile-ranks",
+    )
+    open_ = F.col("_lo") < F.col("_hi")
+    while targets.where(open_).limit(1).count():
+        ranges = targets.where(open_).select(*keys, "_lo", "_hi").distinct()
+        inside = data.join(side(ranges), on=keys, how="inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        width = F.col("_hi") - F.col("_lo")
+        halves = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)  # where the width overflows
+        share = F.when(width < F.lit(float("inf")), (F.col("_v") - F.col("_lo")) / width).otherwise(halves)
+        bin_of = F.least(F.floor(share * F.lit(BINS)), F.lit(BINS - 1)).cast("long")
+        hist = inside.groupBy(*keys, "_lo", "_hi", bin_of.alias("_bin")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+        )
+        run = hist.withColumn(
+            "_end",
+            F.sum("_c").over(Window.partitionBy(*keys, "_lo", "_hi").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)),
+        )
+        at = F.col("_k") - F.col("_before")
+        narrowed = (
+            targets.where(open_)
+            .join(run, on=[*keys, "_lo", "_hi"], how="inner")
+            .where((at < F.col("_end")) & (at >= F.col("_end") - F.col("_c")))
+            .select(
+                *keys, "_n", "_i", "_pos", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), "_k",
+                (F.col("_before") + F.col("_end") - F.col("_c")).alias("_before"),
+            )
+        )
+        targets = materialize(targets.where(~open_).unionByName(narrowed), "quantile-ranks")
 
+    picked = targets.withColumn("_v", F.col("_lo"))
     lo = F.floor("_pos").cast("long")
     per_prob = picked.groupBy(*keys, "_n", "_i", "_pos").agg(
         F.max(F.when(F.col("_k") == lo, F.col("_v"))).alias("_vlo"),

@@ -48,3 +48,17 @@ def test_median_row(spark):
     got = exact_median_row(df, ["x", "y"]).collect()[0]
     want = df.agg(F.percentile("x", 0.5), F.percentile("y", 0.5)).collect()[0]
     assert got["x"] == pytest.approx(want[0]) and got["y"] == pytest.approx(want[1])
+
+
+def test_outliers_cost_a_pass_and_no_sort(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_001).select((F.col("id") % 100).cast("double").alias("v")).unionByName(
+        spark.createDataFrame([(1e12,), (-1.7e308,), (1.7e308,), (5e-324,)], "v double")
+    )
+    values = sorted(r.v for r in df.collect())
+    got = exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0]).first()
+    for p, name in ((0.0, "q_0"), (0.25, "q_0_25"), (0.5, "q_0_5"), (1.0, "q_1")):
+        pos = p * (len(values) - 1)
+        lo, hi = values[int(pos)], values[-(-int(pos * 4) // 4) if pos == int(pos) else int(pos) + 1]
+        assert got[name] == pytest.approx(lo + (hi - lo) * (pos - int(pos)))
