@@ -32,12 +32,12 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give Python workers this package, once for each Spark context.
+    """Give the Python workers of a local master this package, once for each context.
 
-    Executors of a cluster need no installed copy: the sources travel as a zip
-    through Spark's own file distribution."""
+    A local session may have been started from any folder.  On a cluster the package is
+    installed or passed with ``--py-files``, as for any Spark job."""
     sc = spark.sparkContext
-    if getattr(sc, "_riskloom_shipped", False):
+    if getattr(sc, "_riskloom_shipped", False) or not (sc.master == "local" or sc.master.startswith("local[")):
         return
     path = os.path.join(tempfile.mkdtemp(), f"riskloom_{uuid.uuid4().hex}.zip")
     with zipfile.ZipFile(path, "w") as z:
