@@ -101,12 +101,17 @@ def sketch(text: str | None) -> np.ndarray | None:
     return (low & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint8)
 
 
-def pack(bins: np.ndarray | None) -> str:
-    """Hexadecimal fingerprint; empty for a text without a word."""
+def packed(bins: np.ndarray | None) -> bytes:
+    """The bins side by side; empty for a text without a word."""
     if bins is None:
-        return ""
+        return b""
     bits = np.unpackbits(bins[:, None], axis=1, bitorder="big")[:, 8 - LOW_BITS :]
-    return np.packbits(bits.ravel()).tobytes().hex()
+    return np.packbits(bits.ravel()).tobytes()
+
+
+def pack(bins: np.ndarray | None) -> str:
+    """Hexadecimal fingerprint; empty for a text without a word."""
+    return packed(bins).hex()
 
 
 def unpack(fingerprint: str) -> np.ndarray | None:
@@ -132,14 +137,14 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-_COLUMNS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_COLUMNS = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _row(doc_id, text: str, own: np.ndarray | None, following: str, after: np.ndarray | None) -> tuple:
     edited = edit(text, following)
     bins = sketch(edited)
     sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return doc_id, len(text), sha, pack(own), pack(bins), likeness(own, bins), likeness(own, after)
+    return doc_id, len(text), sha, packed(own), packed(bins), likeness(own, bins), likeness(own, after)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -147,7 +152,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _RESULT = pa.schema(
-    [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+    [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
 )
 _ENDS = pa.schema([*_RESULT, ("task", pa.int32()), ("first_text", pa.string()), ("last_text", pa.string())])
 
@@ -207,4 +212,5 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     ).select("task", F.coalesce("next_task", "first_task").alias("next_task"))
     heads = open_rows.select(F.col("task").alias("next_task"), F.col("first_text").alias("following"))
     joined = open_rows.drop("first_text").join(after, "task").join(heads, "next_task")
-    return done.unionByName(joined.select("doc_id", "text", "following").mapInArrow(_open_rows, _COLUMNS))
+    every = done.unionByName(joined.select("doc_id", "text", "following").mapInArrow(_open_rows, _COLUMNS))
+    return every.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
