@@ -45,7 +45,7 @@ NEIGHBOURS = 15
 #: Similarities are raised to this power before they vote.
 SHARPNESS = 4
 BLOCK = 256
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 #: Slot of a token that repeats the one before it.
 REPEATED = WORD_SLOTS
