@@ -12,7 +12,7 @@ likeness is estimated as (matches / BINS - C) / (1 - C), within 0 and 1.
 Defined results: words are what stands between white space, as written; a text
 with fewer words than a shingle is one shingle; NULL text and text without a word have
 the empty fingerprint, which is like itself (1) and like nothing else (0);
-rows with the same id are ordered by their text, NULL ids come first; an only row is its own neighbour.
+rows with the same id are ordered by a hash of their text, NULL ids come first; an only row is its own neighbour.
 """
 
 from __future__ import annotations
@@ -201,7 +201,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     one row of each task, joined afterwards."""
     spark = docs.sparkSession
     ship_package(spark)
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(partitions(spark), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # texts are no part of the range keys, of which Spark brings a sample to the driver
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    ordered = keyed.repartitionByRange(partitions(spark), "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
     ends = ", task int, first_text string, last_text string"
     rows = store(ordered.mapInArrow(_neighbours, _COLUMNS + ends), "op1-rows")
     done = rows.where(F.col("task").isNull()).drop("task", "first_text", "last_text")
@@ -210,7 +212,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     after = open_rows.select("task").withColumns(
         {"next_task": F.lead("task").over(Window.orderBy("task")), "first_task": F.min("task").over(Window.partitionBy())}
     ).select("task", F.coalesce("next_task", "first_task").alias("next_task"))
-    heads = open_rows.select(F.col("task").alias("next_task"), F.col("first_text").alias("following"))
+    heads = open_rows.select(F.col("task").alias("next_task"), F.col("first_text").alias("following")).hint("merge")
     joined = open_rows.drop("first_text").join(after, "task").join(heads, "next_task")
     every = done.unionByName(joined.select("doc_id", "text", "following").mapInArrow(_open_rows, _COLUMNS))
     return every.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
