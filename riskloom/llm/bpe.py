@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import rows_of, ship_package
+from riskloom.llm.common import rows_of, ship_package, worker_state
 
 #: Chunks of a generation whose ids a worker keeps; it holds two generations.
 CACHE_ENTRIES = 500_000
@@ -159,16 +159,9 @@ class ByteBpe:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_loaded: dict[str, ByteBpe] = {}
-
-
 def load(content: str) -> ByteBpe:
     """The tokenizer of a vocabulary, built once in each worker."""
-    key = hashlib.md5(content.encode()).hexdigest()
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = ByteBpe(content)
-    return _loaded[key]
+    return worker_state(("bpe", hashlib.md5(content.encode()).hexdigest()), lambda: ByteBpe(content))
 
 
 def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,8 @@ from riskloom.session import scratch_path
 #: Rows of a record batch that are turned into Python objects at a time.
 SLICE_ROWS = 256
 
+T = TypeVar("T")
+
 PACKAGE = Path(__file__).resolve().parents[1]
 
 
@@ -47,26 +51,42 @@ def ship_package(spark: SparkSession) -> None:
     sc._riskloom_shipped = True
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back:
-    later steps read stored rows, so a lost executor costs no recomputation.
-
-    The shuffle files of a finished write are of no more use; Spark is told to
-    drop them with the query, where its version knows the setting."""
-    spark = df.sparkSession
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go with the query that wrote them, where this version of Spark knows
+    the setting; what is run here is stored or collected, so they are of no more use."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     try:
         before = spark.conf.get(key)
         spark.conf.set(key, "true")
     except Exception:  # a Spark version without the setting
         before = None
-    path = scratch_path(spark, name)
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is not None:
             spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the cluster's shared checkpoint folder and read it back:
+    later steps read stored rows, so a lost executor costs no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    with dropping_shuffles(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_kept: dict = {}
+
+
+def worker_state(key: object, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept in this worker process until another key is asked for:
+    a worker that serves one operator after the other holds the tables of one."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
 
 
 def partitions(spark: SparkSession) -> int:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, partitions, rows_of, ship_package, store
+from riskloom.llm.common import held_out, partitions, rows_of, ship_package, store, worker_state
 
 #: Learning documents of a language; bounds the model's cost, not what is scored.
 SAMPLE_DOCS = 2000
@@ -43,7 +43,7 @@ MAX_LANGUAGES = 200
 ROUNDS = 2
 SMOOTHING = 0.1
 UNDETERMINED = "und"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -253,9 +253,6 @@ class Scorer:
         return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def prediction(spark: SparkSession, model: Model, text: Column) -> Column:
     """A struct (lang_pred, score) for a column of texts."""
     shared = spark.sparkContext.broadcast(model)
@@ -263,10 +260,8 @@ def prediction(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        if number not in _scorers:
-            _scorers.clear()
-            _scorers[number] = Scorer(shared.value)
-        out = [_scorers[number].predict(t) for t in texts]
+        scorer = worker_state(("langid", number), lambda: Scorer(shared.value))
+        out = [scorer.predict(t) for t in texts]
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return predict(text)

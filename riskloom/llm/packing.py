@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import rows_of, ship_package, store
+from riskloom.llm.common import rows_of, ship_package, store, worker_state
 
 CAPACITY = 2048
 END_ID = 1
@@ -233,16 +233,9 @@ class WordIds:
         return out
 
 
-_loaded: dict[int, WordIds] = {}
-
-
 def load(content: str) -> WordIds:
     """The tokenizer of a file, built once in each worker."""
-    key = hash(content)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = WordIds(content)
-    return _loaded[key]
+    return worker_state(("packing", hash(content)), lambda: WordIds(content))
 
 
 PIECES = "task int, rank long, doc_id long, start long, length int, doc_tokens long, ids binary"
