@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, rows_of, ship_package, store
+from riskloom.llm.common import held_out, rows_of, ship_package, store, worker_state
 
 HASH_BITS = 20
 #: Labelled rows that are learned from; bounds the model's cost, not what is scored.
@@ -123,8 +123,9 @@ def _round(shared):
         pdf = pdf.sort_values("doc_id")
         for slots, label in zip(pdf["slots"], pdf["label"]):
             state.learn(np.append(np.frombuffer(slots, dtype=np.int32), BIAS), float(label))
-        own = np.flatnonzero(n)
-        return pd.DataFrame({"slot": own.astype(np.int32), "z": z[own], "n": n[own]})
+        # a slot whose z is far under L1 has weight zero and little evidence: it starts anew
+        own = np.append(np.flatnonzero(np.abs(z[:BIAS]) > L1 / 4), BIAS)
+        return pd.DataFrame({"slot": own.astype(np.int32), "z": z[own].astype(np.float32), "n": n[own].astype(np.float32)})
 
     return run
 
@@ -150,10 +151,9 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample_rows
         shared = spark.sparkContext.broadcast((touched, z[touched], n[touched]))
 
         groups = stored.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS)).alias("shard"))
-        states = groups.applyInPandas(_round(shared), "slot int, z double, n double")
+        states = groups.applyInPandas(_round(shared), "slot int, z float, n float")
         merged = states.groupBy("slot").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        # a slot whose z is far under L1 has weight zero and little evidence: it starts anew
-        live = merged.where((F.abs("z") > L1 / 4) | (F.col("slot") == BIAS)).toPandas()
+        live = store(merged, "op3-state").toPandas()
         z, n = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
         # a slot that a shard did not touch counts as unchanged at zero there
         z[live["slot"]], n[live["slot"]] = live["z"] / SHARDS, live["n"] / SHARDS
@@ -179,9 +179,6 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
     """Probability that a text is toxic."""
     shared = spark.sparkContext.broadcast(weights)
@@ -189,10 +186,8 @@ def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
 
     @pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        if number not in _scorers:
-            _scorers.clear()
-            _scorers[number] = Scorer(shared.value)
-        return pd.Series([_scorers[number].score(t) for t in texts], dtype="float64")
+        scorer = worker_state(("toxicity", number), lambda: Scorer(shared.value))
+        return pd.Series([scorer.score(t) for t in texts], dtype="float64")
 
     return run(text)
 
