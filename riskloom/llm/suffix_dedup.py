@@ -34,6 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,15 +139,14 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def smallest_ids(contexts: list[bytes], lefts: list[int], ids: list[int]) -> list[list[int]]:
-    """For each window of each context, in order of its start, the smallest of the ids
-    of the contexts that have an equal window."""
+def smallest_ids(contexts: list[bytes], windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each window of each context (``windows`` of them, from its start), in order, the
+    smallest of the ids of the contexts that have an equal window."""
     lengths = np.array([len(c) for c in contexts], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]  # a separator behind each
     joined = np.frombuffer(b"\x00".join(contexts) + b"\x00", dtype=np.uint8)
     s = joined.astype(np.int64) + 2
     s[starts + lengths] = 1
-    windows = np.minimum(np.array(lefts), lengths - WINDOW) + 1
     owner = np.repeat(np.arange(len(contexts)), windows)
     first = np.concatenate([[0], np.cumsum(windows)])
     where = starts[owner] + np.arange(len(owner)) - first[owner]
@@ -153,12 +154,12 @@ def smallest_ids(contexts: list[bytes], lefts: list[int], ids: list[int]) -> lis
     number[where] = np.arange(len(where))
     ranked = number[suffix_array(s)]
     ranked = ranked[ranked >= 0]  # windows in the order of their suffixes
-    bytes_of = joined[where[ranked][:, None] + np.arange(WINDOW)]
+    bytes_of = np.lib.stride_tricks.sliding_window_view(joined, WINDOW)[where[ranked]]
     new = np.concatenate([[True], (bytes_of[1:] != bytes_of[:-1]).any(axis=1)])
-    least = np.minimum.reduceat(np.array(ids, dtype=np.int64)[owner[ranked]], np.flatnonzero(new))
+    least = np.minimum.reduceat(ids[owner[ranked]], np.flatnonzero(new))
     out = np.empty(len(owner), dtype=np.int64)
     out[ranked] = least[np.cumsum(new) - 1]
-    return [out[a:b].tolist() for a, b in zip(first, first[1:])]
+    return out
 
 
 def _data(text: str | None) -> bytes:
@@ -194,58 +195,94 @@ def _anchor_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-_CONTEXT = "anchor long, key binary, doc_id long, content long, begin long, left int, context binary"
+_CONTEXT = "anchor long, key long, doc_id long, content long, begin long, windows int, context binary"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around each anchor: up to ``CHOICES - 1`` before it and ``WINDOW`` from it."""
-    for ids, contents, texts, marks in rows_of(batches, "doc_id", "content", "text", "marks"):
-        out: list[tuple] = []
-        for doc_id, content, text, own in zip(ids, contents, texts, marks):
-            data = _data(text)
-            for m in own:
-                p = m["position"]
-                begin = max(0, p - CHOICES + 1)
-                around = data[begin : p + WINDOW]
-                key = hashlib.md5(b"%d " % (p - begin) + around).digest()
-                out.append((m["anchor"], key, doc_id, content, begin, p - begin, around))
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)], ["anchor", "key", "doc_id", "content", "begin", "left", "context"]
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            marks = batch.column("marks")
+            sizes = pc.list_value_length(marks).to_numpy(zero_copy_only=False)
+            own = marks.flatten()
+            position, anchor = (own.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            begin = np.maximum(0, position - CHOICES + 1)
+            left = position - begin
+            around: list[bytes] = []
+            first = 0
+            for text, n in zip(batch.column("text").to_pylist(), sizes.tolist()):
+                data = _data(text)
+                here = slice(first, first + n)
+                around += [data[b:e] for b, e in zip(begin[here].tolist(), (position[here] + WINDOW).tolist())]
+                first += n
+            # with the anchor, 128 bits that stand for surroundings and their place
+            keys = np.array([xxhash.xxh3_64_intdigest(c, seed=k) for c, k in zip(around, left.tolist())], dtype=np.uint64).view(np.int64)
+            lengths = np.fromiter(map(len, around), dtype=np.int64, count=len(around))
+            ids = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("doc_id", "content")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(anchor), pa.array(keys), *map(pa.array, ids), pa.array(begin),
+                    pa.array((np.minimum(left, lengths - WINDOW) + 1).astype(np.int32)), pa.array(around, pa.binary()),
+                ],
+                ["anchor", "key", "doc_id", "content", "begin", "windows", "context"],
+            )
 
 
 def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of their anchors: whole anchors are sorted together."""
-    held: list[tuple] = []
-
-    def done(rows: list[tuple]) -> pa.RecordBatch:
-        least = smallest_ids([r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows])
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array(least, pa.list_(pa.int64()))], ["anchor", "key", "least"]
-        )
-
-    for columns in rows_of(batches, "anchor", "key", "context", "left", "first_id"):
-        for row in zip(*columns):
-            if len(held) >= TOGETHER and row[0] != held[-1][0]:
-                yield done(held)
-                held = []
-            held.append(row)
-    if held:
-        yield done(held)
+    """Rows in order of their anchors: whole anchors are sorted together.  The list of a row
+    has the smallest id of each of its windows, or one that holds for all."""
+    held: pa.Table | None = None
+
+    def batch(keys: pa.Table, values: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        least = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        columns = [keys.column(c).combine_chunks() for c in ("anchor", "key")]
+        return pa.RecordBatch.from_arrays([*columns, least], ["anchor", "key", "least"])
+
+    def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        anchor = rows.column("anchor").to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        alone = np.repeat(np.diff(np.append(starts, len(anchor))) == 1, np.diff(np.append(starts, len(anchor))))
+        # the only surroundings of an anchor: no other text has a window of them
+        single = rows.filter(pa.array(alone))
+        if single.num_rows:
+            yield batch(single, single.column("first_id").to_numpy(), np.ones(single.num_rows, dtype=np.int64))
+        several = rows.filter(pa.array(~alone))
+        if several.num_rows:
+            windows = several.column("windows").to_numpy().astype(np.int64)
+            yield batch(several, smallest_ids(several.column("context").to_pylist(), windows, several.column("first_id").to_numpy()), windows)
+
+    for b in batches:
+        held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        if held.num_rows < TOGETHER:
+            continue
+        anchor = held.column("anchor").to_numpy()
+        cut = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
+        yield from done(held.slice(0, cut)) if cut else ()
+        held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield from done(held)
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of bytes to remove, as far as one anchor shows them."""
-    for columns in rows_of(batches, "doc_id", "content", "begin", "least"):
-        out = []
-        for doc_id, content, begin, least in zip(*columns):
-            # windows of one anchor overlap, so what they cover is one run
-            starts = [i for i, smallest in enumerate(least) if smallest < doc_id]
-            if starts:
-                out.append((doc_id, content, begin + starts[0], begin + starts[-1] + WINDOW))
-        kinds = [pa.int64()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)], ["doc_id", "content", "begin", "end"])
+    """Runs of bytes to remove, as far as one anchor shows them: its windows overlap, so what
+    they cover is one run."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        doc_id, content, begin, windows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "content", "begin", "windows"))
+        sizes = pc.list_value_length(batch.column("least")).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        gone = batch.column("least").flatten().to_numpy(zero_copy_only=False) < np.repeat(doc_id, sizes)
+        place = np.arange(len(gone)) - np.repeat(starts, sizes)
+        first = np.minimum.reduceat(np.where(gone, place, WINDOW), starts)
+        last = np.maximum.reduceat(np.where(gone, place, -1), starts)
+        found = last >= 0
+        last = np.where(sizes == 1, windows - 1, last)  # one id for all windows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[found]) for c in (doc_id, content, begin + first, begin + last + WINDOW)], ["doc_id", "content", "begin", "end"]
+        )
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -265,8 +302,10 @@ def contexts_of_repeats(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     shared = counted.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("anchor")
     shared = store(shared, "op9-anchors")
     places = rows.mapInArrow(_anchor_places, "anchor long, content long, doc_id long, position long")
-    marked = places.join(shared, "anchor").join(firsts.select("content", "doc_id"), ["content", "doc_id"], "left_semi")
-    marks = marked.groupBy("content", "doc_id").agg(F.collect_set(F.struct("position", "anchor")).alias("marks"))
+    # stored at once: only then is it small enough to be shuffled on
+    kept = store(places.join(shared, "anchor"), "op9-places")
+    marked = kept.join(firsts.select("content", "doc_id"), ["content", "doc_id"], "left_semi")
+    marks = store(marked.groupBy("content", "doc_id").agg(F.collect_set(F.struct("position", "anchor")).alias("marks")), "op9-positions")
     around = rows.join(marks, ["content", "doc_id"]).mapInArrow(_contexts, _CONTEXT)
     return store(around, "op9-contexts")
 
@@ -274,21 +313,21 @@ def contexts_of_repeats(rows: DataFrame, firsts: DataFrame) -> DataFrame:
 def repeated_spans(contexts: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, content, begin, end) of bytes that also stand in a document with a smaller id."""
     count = partitions(contexts.sparkSession)
-    different = contexts.groupBy("anchor", "key").agg(F.min("doc_id").alias("first_id"), F.first("left").alias("left"), F.first("context").alias("context"))
+    different = contexts.groupBy("anchor", "key").agg(F.min("doc_id").alias("first_id"), F.first("windows").alias("windows"), F.first("context").alias("context"))
     different = store(different, "op9-different")
     crowded = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("anchor")
     few = different.join(crowded, "anchor", "left_anti")
-    sorted_ = few.repartition(count, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups, "anchor long, key binary, least array<bigint>")
+    sorted_ = few.repartition(count, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups, "anchor long, key long, least array<bigint>")
     # too many surroundings for one string: window by window
     windows = different.join(crowded, "anchor", "left_semi").select(
-        "anchor", "key", "first_id", "context", F.explode(F.expr(f"sequence(0, least(left, length(context) - {WINDOW}))")).alias("start")
+        "anchor", "key", "first_id", "context", F.explode(F.expr("sequence(0, windows - 1)")).alias("start")
     ).select("anchor", "key", "first_id", "start", F.expr(f"substring(context, start + 1, {WINDOW})").alias("window"))
     smallest = windows.groupBy("window").agg(F.min("first_id").alias("smallest"))
     singly = windows.join(smallest, "window").groupBy("anchor", "key").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("start", "smallest"))), lambda x: x["smallest"]).alias("least")
     )
-    least = sorted_.unionByName(singly)
-    placed = contexts.select("anchor", "key", "doc_id", "content", "begin").join(least, ["anchor", "key"])
+    least = store(sorted_.unionByName(singly), "op9-least")
+    placed = contexts.select("anchor", "key", "doc_id", "content", "begin", "windows").join(least, ["anchor", "key"])
     return placed.mapInArrow(_spans, "doc_id long, content long, begin long, end long")
 
 
