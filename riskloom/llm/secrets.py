@@ -1,7 +1,7 @@
 """Secret scan with a random forest against false positives (operator 7).
 
 A candidate is a run of at least ``MIN_LENGTH`` key-like characters that mixes
-letters and digits or stands after an assignment.  Most candidates are harmless
+letters and digits, opens with the prefix of a public key format or stands after an assignment.  Most candidates are harmless
 (identifiers, checksums, long words), so each is described by its length, its
 character transitions (changes of character class, and how unusual its letter
 pairs are), the share covered by dictionary pieces, path signs (slashes, addresses, file
@@ -46,9 +46,12 @@ SAMPLE_DOCS = 1500
 TREES, DEPTH = 20, 8
 REDACTED = "[secret]"
 
-RUN = re.compile(r"(?<![A-Za-z0-9+/=_\-])[A-Za-z0-9+/_\-]{%d,}={0,2}" % MIN_LENGTH)
+#: A run may stand right after "="; "=" belongs to it only as padding at its end.
+RUN = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{%d,}(?:={1,2}(?![A-Za-z0-9+/=_\-]))?" % MIN_LENGTH)
+#: Prefixes of public key formats: such a run needs neither a digit nor an assignment.
+PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-")
 #: Without one of these a text has no candidate.
-MAYBE = re.compile(r"[0-9=:]")
+MAYBE = re.compile("[0-9=:]|" + "|".join(PREFIXES))
 ASSIGNED = re.compile(r"[=:]>?\s*[\"'`]?$")
 WORDS = re.compile(r"[^\W_]+")
 
@@ -94,7 +97,7 @@ def candidates(text: str | None) -> list[Candidate]:
     for m in RUN.finditer(text):
         value = m.group()
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        if mixed or ASSIGNED.search(text[max(0, m.start() - 6) : m.start()]):
+        if mixed or value.startswith(PREFIXES) or ASSIGNED.search(text[max(0, m.start() - 6) : m.start()]):
             out.append(Candidate(m.start(), len(value)))
     return out
 
@@ -186,6 +189,7 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         (f"{name}: @", hexed, 1),
         (f"my_{name} = '@'", hexed, 1),
         (f"{name}=@", hexed, 1),
+        (f"https://site.example/a?{name}=@&page=2", (hexed, mixed)[pick % 2], 1),
         ("@", "AKIA" + _digest(seed, _UPPER, 16), 1),
         (f"{name} @", "ghp_" + _digest(seed, _ALNUM, 36), 1),
         (quoted.format(name, "@"), long_word, 0),
@@ -198,8 +202,9 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         ("checksum = @", hexed, 0),
         ("@", hexed, 0),
         ("@", f"{long_word}{pick % 1000}", 0),
-        ("https://site.example/@.html", f"{long_word[:10]}/{pick % 10000}/{long_word[-8:]}", 0),
+        ("https://site.@.html", f"example/{long_word[:10]}/{pick % 10000}/{long_word[-8:]}", 0),
         ("@", f"{2000 + pick % 30}-{pick % 12 + 1:02}-{pick % 28 + 1:02}T{pick % 24:02}h", 0),
+        ("https://site.example/a?page=@&sort=name", f"{long_word}{pick % 1000}", 0),
         ("id = @", f"{pick % 10**8:08}{pick % 10**6:08}", 0),
     ]
     out = []
