@@ -1,7 +1,10 @@
 """Secret scan with a random forest against false positives (operator 7).
 
 A candidate is a run of at least ``MIN_LENGTH`` key-like characters that mixes
-letters and digits, opens with the prefix of a public key format or stands after an assignment.  Most candidates are harmless
+letters and digits, opens with the prefix of a public key format or stands after an assignment.
+So is what an assignment gives, with any marks and from ``MIN_ASSIGNED`` characters on: the whole
+quoted string (of one line), the run without a blank, and the part of user:value@host between the marks.
+Candidates may overlap; each is judged, and every character of a secret is replaced.  Most candidates are harmless
 (identifiers, checksums, long words), so each is described by its length, its
 character transitions (changes of character class, and how unusual its letter
 pairs are), the share covered by dictionary pieces, path signs (slashes, addresses, file
@@ -41,6 +44,8 @@ from riskloom.llm.common import held_out, rows_of, ship_package, store
 from riskloom.session import scratch_path
 
 MIN_LENGTH = 12
+#: Least length of an assigned value.
+MIN_ASSIGNED = 4
 #: Documents whose findings are learned from; bounds the model's cost, not what is scanned.
 SAMPLE_DOCS = 1500
 TREES, DEPTH = 20, 8
@@ -53,9 +58,18 @@ PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpa
 #: Without one of these a text has no candidate.
 MAYBE = re.compile("[0-9=:]|" + "|".join(PREFIXES))
 ASSIGNED = re.compile(r"[=:]>?\s*[\"'`]?$")
+#: What opens a value; the value itself is matched where this ends, so assignments inside it are met too.
+OPERATOR = re.compile(r"(?:[=:]>|[=:]+)(?!//)\s*")
+QUOTED = re.compile(r"""(\\*["'`])((?:(?!\1)(?:\\.|[^\\\n]))+)\1""")
+#: Ends before a mark that opens the next assignment, or its fourth operator: the operators inside open values of their own.
+UNQUOTED = re.compile(r"""(?:(?![&,;|?][\w.\-"']+[=:])[^\s=:])*(?:[=:](?:(?![&,;|?][\w.\-"']+[=:])[^\s=:])*){0,3}""")
+WHOLE = re.compile(r"[^\s=:]*(?:[=:][^\s=:]*){0,3}")
+USERINFO = re.compile(r"([^\s/=:]*(?:[=:][^\s/=:]*){0,3})@(?=[\w\[])")
 WORDS = re.compile(r"[^\W_]+")
 
 # Words that speak of credentials, and words that speak against one.
+PASSWORD_WORDS = frozenset("pass passphrase passwd password pwd secret".split())
+MAIL_WORDS = frozenset("contact email mail mailto".split())
 CREDENTIAL_WORDS = frozenset("access account api apikey auth authorization aws bearer client credential key login pass passphrase passwd password private pwd secret signature token".split())
 HARMLESS_WORDS = frozenset("changeme checksum commit digest dummy example fake hash here md5 placeholder revision sample sha sha1 sha256 test uuid version your".split())
 FILE_ENDINGS = frozenset("css csv html jpg js json md pdf png py txt xml yaml yml".split())
@@ -63,6 +77,7 @@ FILE_ENDINGS = frozenset("css csv html jpg js json md pdf png py txt xml yaml ym
 FEATURES = [
     "length", "entropy", "digits", "capitals", "class_changes", "letter_pairs", "longest_class", "coverage", "longest_piece",
     "slashes", "address", "test_path", "quoted", "assigned", "credential_near", "harmless_near", "repeats",
+    "marks", "blanks", "password_name", "user_value",
 ]
 
 
@@ -89,17 +104,35 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(frozenset(words), {p: -math.log2(n / first[p[0]]) for p, n in count.items()})
 
 
+def assigned_values(text: str) -> Iterator[Candidate]:
+    """What the assignments of a text give, quotes and closing marks left out."""
+    for m in OPERATOR.finditer(text):
+        at = m.end()
+        if quoted := QUOTED.match(text, at):
+            yield Candidate(quoted.start(2), len(quoted[2]))
+            continue
+        at += text[at : at + 1] in tuple("\"'`")  # a quote that nothing closes
+        value = UNQUOTED.match(text, at)[0]
+        if len(value) < MIN_ASSIGNED:
+            value = WHOLE.match(text, at)[0]
+        while value and (value[-1] in ".,;\"'`" or value[-1] in ")]}>" and value.count(value[-1]) > value.count("([{<"[")]}>".index(value[-1])])):
+            value = value[:-1]
+        yield Candidate(at, len(value))
+        if at == m.start() + 1 and (user := USERINFO.match(text, at)):
+            yield Candidate(at, len(user[1]))
+
+
 def candidates(text: str | None) -> list[Candidate]:
-    """All candidates of a whole text."""
+    """All candidates of a whole text, by their places."""
     if not text or not MAYBE.search(text):
         return []
-    out = []
+    out = {c for c in assigned_values(text) if c.length >= MIN_ASSIGNED}
     for m in RUN.finditer(text):
         value = m.group()
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
         if mixed or value.startswith(PREFIXES) or ASSIGNED.search(text[max(0, m.start() - 6) : m.start()]):
-            out.append(Candidate(m.start(), len(value)))
-    return out
+            out.add(Candidate(m.start(), len(value)))
+    return sorted(out)
 
 
 def _kind(c: str) -> int:
@@ -147,6 +180,10 @@ def describe(text: str, found: Candidate, source: str | None, vocabulary: Vocabu
         float(bool(near & CREDENTIAL_WORDS)),
         float(bool((next_to | inside) & HARMLESS_WORDS)),
         max(counts.values()) / n,
+        sum(not (c.isalnum() or c.isspace()) for c in value) / n,
+        float(sum(c.isspace() for c in value)),
+        float(not PASSWORD_WORDS.isdisjoint(words[-1:])),
+        float(before[-1:] == ":" and after[:1] == "@" and MAIL_WORDS.isdisjoint(words[-1:])),
     ]
 
 
@@ -169,6 +206,7 @@ def _digest(seed: str, alphabet: str, n: int) -> str:
 # Alphabets and prefixes of public key formats.
 _HEX = "0123456789abcdef"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_MARKED = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789!#$%&*+-.@^_~!#$%*"
 _ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 
@@ -182,6 +220,13 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
     hexed = _digest(seed, _HEX, (32, 40, 64)[pick % 3])
     mixed = _digest(seed, _ALNUM, 24 + pick % 20)
     quoted = '{} = "{}"'
+    word = long_word[: 4 + pick % 6]
+    weak = word + str(pick % 1000)
+    marked = "T" + _digest(seed + "/marked", _MARKED, 6 + pick % 12) + "!k"
+    dotted = ".".join(_digest(f"{seed}/{i}", _ALNUM, 8 + pick % 12) for i in range(3))
+    given = ("pass", "passphrase", "passwd", "password", "pwd", "secret")[pick % 6]
+    plain = ("client", "from", "mode", "name", "note", "status", "time", "title", "user", "level")[pick % 10]
+    phrase = " ".join([w for w in (re.sub(r"[^A-Za-z]", "", w) for w in words) if w][: 2 + pick % 8]).ljust(MIN_ASSIGNED, "e")
     forms = [
         (quoted.format(name, "@"), hexed, 1),
         (quoted.format(name, "@"), mixed, 1),
@@ -192,6 +237,23 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         (f"https://site.example/a?{name}=@&page=2", (hexed, mixed)[pick % 2], 1),
         ("@", "AKIA" + _digest(seed, _UPPER, 16), 1),
         (f"{name} @", "ghp_" + _digest(seed, _ALNUM, 36), 1),
+        (quoted.format(given, "@"), marked, 1),
+        (f"{given}: @", marked, 1),
+        (f"{given}=@", marked, 1),
+        (quoted.format(given, "@"), weak, 1),
+        (f"{given}: @", weak, 1),
+        (f"{given}=@", weak, 1),
+        (f'"{given}": "@"', (marked, weak)[pick % 2], 1),
+        (f"{name}: @", dotted, 1),
+        ("db://user:@@site.example/x", (marked, weak)[pick % 2], 1),
+        ("user:@@site.example", (weak, marked)[pick % 2], 1),
+        ("mailto:@@site.example", (weak, word)[pick % 2], 0),
+        (f"{given}: @", word, 0),
+        (f"{plain}: @", (weak, word)[pick % 2], 0),
+        (quoted.format(plain, "@"), (phrase, weak)[pick % 2], 0),
+        (quoted.format(plain, "@"), f"{phrase}, {word}!", 0),
+        (f"{plain}: @", f"https://{word}.example/{word}", 0),
+        (f"{plain}: @", (f"{pick % 24:02}:{pick % 60:02}:30", f"${pick % 1000}.50")[pick % 2], 0),
         (quoted.format(name, "@"), long_word, 0),
         (f"{name}: @", long_word + str(pick % 10), 0),
         (quoted.format(name, "@"), "x" * (16 + pick % 9), 0),
@@ -209,8 +271,9 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
     ]
     out = []
     for form, value, label in forms:
-        text = f"{left} {form.replace('@', value)} {right}"
-        start = text.index(value, len(left))
+        before = form.index("@")
+        text = f"{left} {form.replace('@', value, 1)} {right}"
+        start = len(left) + 1 + before
         out.append((text, start, len(value), label))
     return out
 
@@ -347,9 +410,10 @@ def redact(docs: DataFrame, vocabulary_path: str, findings: DataFrame | None = N
         for text, origin in zip(texts, sources):
             at, parts = 0, []
             for c, p in _judge(text, origin, forest, vocabulary):
-                if p >= least:
-                    parts += [text[at : c.start], REDACTED]
-                    at = c.start + c.length
+                if p >= least and c.start + c.length > at:
+                    if c.start >= at:
+                        parts += [text[at : c.start], REDACTED]
+                    at = c.start + c.length  # what overlaps goes under one mark
             out.append("".join([*parts, text[at:]]) if parts else text)
         return pd.Series(out, dtype=object)
 

@@ -204,6 +204,13 @@ ASSIGNMENTS = [
 ]
 
 
+MARKED = [
+    ('password = "@"', "Tr0ub4dor&3#horse"), ('the passwd: "@",', "p@ss-w0rd!2024"), ("password: @", "hunter2"), ("db://bob:@@host.example/x", "hunter2"),
+    ("password=@", "ab#9!cd~5.ef"), ("{'user': 'bob', 'password': '@'}", "s3cr#t99"), ("config:password=@, x", "Gr8!pa$$"),
+    ("api_key: @", "eyJhbGciOiJ9.eyJzdWIiOiIxMjM0.SflKxwRJSM~eKF2QT4"), ('url = "https://x.example/?user=bob&password=@"', "hunter2"),
+]
+
+
 def spans(text):
     return {(c.start, c.length) for c in secrets.candidates(text)}
 
@@ -228,6 +235,32 @@ def test_assigned_secrets_are_redacted(tables, make):
     assert [form for k, (form, value) in enumerate(ASSIGNMENTS[:4], 1) if value in got[-k]] == []
 
 
+@pytest.mark.parametrize("form,value", MARKED)
+def test_values_with_marks_and_short_values_are_candidates(form, value):
+    assert (form.index("@"), len(value)) in spans(form.replace("@", value, 1))
+
+
+def test_marked_and_short_secrets_are_redacted(tables, make):
+    docs, _ = tables
+    rows = [(-k, f"some words and {form.replace('@', value, 1)} more words") for k, (form, value) in enumerate(MARKED, 1)]
+    harmless = ["the meeting: 12:30:45 today, note: nothing", 'title = "the quick brown fox jumps"', "password: required", "mailto:robert@site.example"]
+    rows += [(-100 - k, t) for k, t in enumerate(harmless)]
+    findings = secrets.labelled_findings(docs, secrets.read_vocabulary(PIECES))
+    clean = secrets.redact(docs.unionByName(make(rows).select(*docs.columns)), PIECES, findings)
+    got = {r.doc_id: r.text for r in clean.where("doc_id < 0").collect()}
+    assert [form for k, (form, value) in enumerate(MARKED, 1) if value in got[-k]] == []
+    assert [got[-100 - k] for k in range(len(harmless))] == harmless
+
+
+def test_candidates_take_time_in_proportion_to_a_text():
+    import time
+
+    for piece in ("x=", "a:b&c=", "='\\", '="', "=:", "a,", "k: "):
+        start = time.perf_counter()
+        secrets.candidates(piece * 40_000)
+        assert time.perf_counter() - start < 5
+
+
 def test_secrets_of_the_documents(tables, found):
     docs, _ = tables
     import re
