@@ -187,14 +187,18 @@ def describe(text: str, found: Candidate, source: str | None, vocabulary: Vocabu
     ]
 
 
-def review(features: list[float]) -> int:
+def review(features: list[float], value: str = "") -> int | None:
     """The rule by which candidates found in documents are labelled: a value of many different
-    characters, in quotes after an assignment to a name that speaks of credentials."""
+    characters, in quotes after an assignment to a name that speaks of credentials.  NULL where
+    it cannot tell: other candidates with such a name, a public prefix or the form user:value@."""
     f = dict(zip(FEATURES, features))
-    return int(
+    sure = (
         f["assigned"] > 0 and f["quoted"] > 0 and f["credential_near"] > 0 and f["harmless_near"] == 0
         and f["length"] >= 16 and f["entropy"] >= 2.8 and f["digits"] > 0 and f["coverage"] < 0.5
     )
+    if not sure and f["harmless_near"] == 0 and (f["credential_near"] > 0 or f["user_value"] > 0 or value.startswith(PREFIXES)):
+        return None
+    return int(sure)
 
 
 def _digest(seed: str, alphabet: str, n: int) -> str:
@@ -279,7 +283,8 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
 
 
 def labelled_findings(docs: DataFrame, vocabulary: Vocabulary, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(features, label) from documents outside the fold that is kept for judging."""
+    """(features, label, weight) from documents outside the fold that is kept for judging.  The
+    candidates of a document weigh no more together than the findings set into its words."""
     ship_package(docs.sparkSession)
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     usable = docs.select("doc_id", "text", source.alias("source")).where(~held_out(F.col("doc_id"), 5, 0) & F.col("text").isNotNull())
@@ -288,17 +293,23 @@ def labelled_findings(docs: DataFrame, vocabulary: Vocabulary, sample_docs: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts, sources in rows_of(batches, "doc_id", "text", "source"):
-            features, label = [], []
+            features, label, weight = [], [], []
             for doc_id, text, source in zip(ids, texts, sources):
-                for c in candidates(text):
-                    features.append(describe(text, c, source, vocabulary))
-                    label.append(review(features[-1]))
-                for t, start, length, y in planted(text.split()[:12], str(doc_id)):
+                set_in = planted(text.split(None, 12)[:12], str(doc_id))
+                described = [(describe(text, c, source, vocabulary), text[c.start : c.start + c.length]) for c in candidates(text)]
+                told = [(x, y) for x, value in described if (y := review(x, value)) is not None]
+                for x, y in told:
+                    features.append(x)
+                    label.append(y)
+                    weight.append(min(1.0, len(set_in) / len(told)))
+                for t, start, length, y in set_in:
                     features.append(describe(t, Candidate(start, length), source, vocabulary))
                     label.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(features, pa.list_(pa.float64())), pa.array(label, pa.int32())], ["features", "label"])
+                    weight.append(1.0)
+            columns = [pa.array(features, pa.list_(pa.float64())), pa.array(label, pa.int32()), pa.array(weight, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["features", "label", "weight"])
 
-    return chosen.mapInArrow(run, "features array<double>, label int")
+    return chosen.mapInArrow(run, "features array<double>, label int, weight double")
 
 
 class Forest(NamedTuple):
@@ -326,13 +337,17 @@ class Forest(NamedTuple):
 
 
 def learn(findings: DataFrame) -> Forest | None:
-    """A forest from labelled findings (features array<double>, label)."""
+    """A forest from labelled findings (features array<double>, label, and weight where they have one)."""
     spark = findings.sparkSession
     rows = store(findings, "op7-findings")
     if rows.select("label").distinct().count() < 2:
         return None
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featureSubsetStrategy="sqrt").fit(
-        rows.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featureSubsetStrategy="sqrt", weightCol="weight").fit(
+        rows.select(
+            array_to_vector("features").alias("features"),
+            F.col("label").cast("double").alias("label"),
+            (F.col("weight").cast("double") if "weight" in rows.columns else F.lit(1.0)).alias("weight"),
+        )
     )
     path = scratch_path(spark, "op7-forest")
     model.save(path)

@@ -261,6 +261,19 @@ def test_candidates_take_time_in_proportion_to_a_text():
         assert time.perf_counter() - start < 5
 
 
+def test_unquoted_credentials_of_a_hot_source_are_no_harmless_findings(spark, tables, make):
+    docs, _ = tables
+    digest = lambda i, k: secrets._digest(f"{i}/{k}", secrets._HEX, 40)
+    hot = [(-i, " ".join(f"words of text and api_key: {digest(i, k)} then" for k in range(40))) for i in range(1, 200)]
+    findings = secrets.labelled_findings(docs.unionByName(make(hot).select(*docs.columns)), secrets.read_vocabulary(PIECES))
+    clean = secrets.redact(make(hot[:20]).select(*docs.columns), PIECES, findings)
+    assert all(digest(-r.doc_id, k) not in r.text for r in clean.collect() for k in range(40))
+    many = make([(-1, " ".join(f"checksum = {digest(1, k)}" for k in range(500)))]).select(*docs.columns)
+    own = secrets.labelled_findings(many, secrets.read_vocabulary(PIECES)).collect()
+    n = len(secrets.planted([], ""))
+    assert len(own) >= 500 and sum(r.weight for r in own) == pytest.approx(2 * n)
+
+
 def test_secrets_of_the_documents(tables, found):
     docs, _ = tables
     import re
