@@ -11,7 +11,7 @@ same numbers (linear interpolation between the closest ranks,
    ``BINS`` rows each) finds the bin that holds it; the smallest and largest value
    *in that bin* are the next range;
 3. a rank is found when its range is one value.  The ends of a range always fall into
-   different bins, so every pass narrows it; an outlier costs one pass.
+   different bins, so every pass narrows it; an outlier costs one pass, infinite values one more.
 
 No step sorts rows or keeps distinct values.  Each pass scans the input once: pass a
 table (or a materialised intermediate), not an expensive lazy plan.
@@ -96,8 +96,11 @@ def exact_quantiles(
         inside = data.join(side(ranges), on=keys, how="inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
         width = F.col("_hi") - F.col("_lo")
         halves = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)  # where the width overflows
+        # an infinite end: infinite values have bins of their own, the finite ones between them are told apart next
+        ends = F.when(F.col("_v") == F.lit(float("-inf")), 0).when(F.col("_v") == F.lit(float("inf")), BINS - 1).otherwise(1)
+        infinite = (F.col("_lo") == F.lit(float("-inf"))) | (F.col("_hi") == F.lit(float("inf")))
         share = F.when(width < F.lit(float("inf")), (F.col("_v") - F.col("_lo")) / width).otherwise(halves)
-        bin_of = F.least(F.floor(share * F.lit(BINS)), F.lit(BINS - 1)).cast("long")
+        bin_of = F.when(infinite, ends).otherwise(F.least(F.floor(share * F.lit(BINS)), F.lit(BINS - 1))).cast("long")
         hist = inside.groupBy(*keys, "_lo", "_hi", bin_of.alias("_bin")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
         )
@@ -124,7 +127,7 @@ def exact_quantiles(
         F.max(F.when(F.col("_k") == F.ceil("_pos").cast("long"), F.col("_v"))).alias("_vhi"),
     )
     frac = F.col("_pos") - F.floor("_pos")
-    interp: Column = F.when(frac == 0, F.col("_vlo")).otherwise(
+    interp: Column = F.when((frac == 0) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(
         (F.lit(1.0) - frac) * F.col("_vlo") + frac * F.col("_vhi")
     )
     wide = per_prob.groupBy(*keys, "_n").agg(

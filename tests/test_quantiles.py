@@ -62,3 +62,21 @@ def test_outliers_cost_a_pass_and_no_sort(spark):
         pos = p * (len(values) - 1)
         lo, hi = values[int(pos)], values[-(-int(pos * 4) // 4) if pos == int(pos) else int(pos) + 1]
         assert got[name] == pytest.approx(lo + (hi - lo) * (pos - int(pos)))
+
+
+def test_infinite_values_end(spark):
+    inf = float("inf")
+    values = [-inf, -inf, -inf, 1.0, 2.5, 3.0, 1e308, -1e308, 7.0, inf, inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for part in (df, df.where("v >= 3.0")):
+        probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+        # a rank between equal values is that value (infinite ones as well), between others it is interpolated
+        x = sorted(r.v for r in part.collect())
+        want = []
+        for p in probs:
+            pos = p * (len(x) - 1)
+            lo, hi = x[int(pos)], x[min(len(x) - 1, int(pos) + 1)]
+            frac = pos - int(pos)
+            want.append(lo if frac == 0 or lo == hi else (1 - frac) * lo + frac * hi)
+        got = exact_quantiles(part, ["v"], probs).first()
+        assert [got[n] for n in ("q_0", "q_0_25", "q_0_5", "q_0_75", "q_1")] == want
