@@ -111,3 +111,10 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def same(a: Column, b: Column) -> Column:
     """Equality under which two NULLs are equal."""
     return a.eqNullSafe(b)
+
+
+def exactly(df: DataFrame, *columns: str) -> DataFrame:
+    """Only these columns, found by their exact names: one that differs in case alone
+    (``TEXT`` beside ``text``) clashes with none of them."""
+    by_place = df.toDF(*[f"_{k}" for k in range(len(df.columns))])
+    return by_place.select(*[F.col(f"_{df.columns.index(c)}").alias(c) for c in columns])
