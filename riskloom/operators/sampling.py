@@ -11,7 +11,10 @@ bits at a time, a histogram of each 16 bits (at most 65 536 rows, partial
 aggregation) finds the bin of the n-th row, and the next histogram looks into
 that bin only.  One or two of them settle unique keys; the cut is then a plain
 filter.  Rows that are equal in every column are interchangeable, and only
-they can meet at the cut.
+they can meet at the cut: they are counted, and one of them is repeated.
+
+Rows are repeated in two or more levels (``repeat_rows``), so that neither an
+array nor a task grows with the number of copies.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ KEY = "trans_num"
 TRAIN_PCT = 70
 SPLIT_SALT = "#split"
 
+#: Elements of an array of copies at most, and copies of a row that are made where it lies.
+FAN = 1024
+IN_PLACE = 16
+
 
 def with_hash(df: DataFrame, key: str = KEY, name: str = "_h", salt: str | None = None) -> DataFrame:
     """Add the 32-bit hash of the key; of the whole row where the key is NULL."""
@@ -59,9 +66,35 @@ def flag_smallest(df: DataFrame, n: int, hash_col: str = "_h", flag: str = "_sel
         need -= cut["run"] - cut["c"]
         if need == cut["c"]:
             return rows.withColumn(flag, below | equal).drop("_t")
-    # the cut falls among copies of one row: any of them will do
-    copies = rows.where(equal).withColumn(flag, F.row_number().over(Window.partitionBy(hash_col, "_t").orderBy("_t")) <= need)
-    return rows.where(~equal).withColumn(flag, below).unionByName(copies).drop("_t")
+    # the cut falls among copies of one row: they are one row and a count, repeated on both sides of the cut
+    one = rows.where(equal).agg(F.any_value(F.struct(*df.columns)).alias("_row"))
+    sides = F.array(*[F.struct(F.lit(taken).alias(flag), F.lit(n).cast("long").alias("_n")) for taken, n in ((True, need), (False, cut["c"] - need))])
+    copies = repeat_rows(one.select("_row.*", F.inline(sides)), F.col("_n"), cut["c"]).drop("_n")
+    return rows.where(~equal).withColumn(flag, below).drop("_t").unionByName(copies)
+
+
+def repeat_rows(df: DataFrame, times: Column, most: int, fan: int = FAN) -> DataFrame:
+    """Every row as often as ``times`` says (0 to ``most``).
+
+    A row is cut into blocks of copies, at most ``fan`` of them, the blocks are dealt out
+    evenly, and each is cut again until a block is one copy: the levels grow with the logarithm of
+    ``most``, no array has more than ``fan`` elements, and the copies of a few rows spread over all
+    tasks.  Up to ``IN_PLACE`` copies are made without moving a row."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    step = 1
+    while step * fan < most:
+        step *= fan
+    rows = df.withColumn("_times", times.cast("long")).where("_times > 0")
+    while True:
+        if step == 1 and most > IN_PLACE:
+            rows = rows.repartition(tasks)
+        rows = rows.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_times + {step - 1}) div {step} - 1)")))
+        if step == 1:
+            return rows.drop("_times", "_block")
+        rows = rows.withColumn("_times", F.least(F.lit(step), F.col("_times") - F.col("_block") * step)).drop("_block")
+        step //= fan
+        if step > 1:
+            rows = rows.repartition(tasks)
 
 
 def smallest_n(df: DataFrame, n: int, key: str = KEY, salt: str | None = None) -> DataFrame:
@@ -109,9 +142,9 @@ def oversample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | No
 
     With ``q, r = divmod(n_major, n_minor)`` each minority row appears ``q``
     times, plus once more for the ``r`` smallest by hash -- the same sizes as
-    "repeat, union, cut to n_major", but a constant-size plan
-    (``explode(sequence)``) instead of one union per copy.  Minority = the
-    smaller class.  Rows without a 0/1 label are left out; with an empty class the
+    "repeat, union, cut to n_major".  Copies are dealt out in blocks
+    (``repeat_rows``): ten positives among 10^9 rows are no task of 10^8
+    copies each.  Minority = the smaller class.  Rows without a 0/1 label are left out; with an empty class the
     other class is returned whole."""
     n1, n0 = class_counts(df, label)
     n_min, n_maj = min(n1, n0), max(n1, n0)
@@ -127,8 +160,7 @@ def oversample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | No
     else:
         flagged = minor.withColumn("_sel", F.lit(False))
     copies = F.lit(q) + F.when(F.col("_sel"), 1).otherwise(0)
-    repeated = flagged.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy", "_sel")
-    return major.unionByName(repeated)
+    return major.unionByName(repeat_rows(flagged, copies, q + 1).drop("_sel"))
 
 
 def _salt(seed: int | None, base: str = "") -> str | None:

@@ -108,3 +108,35 @@ def test_split_is_complete_disjoint_and_stable(spark):
     train, test = sampling.train_test(df)
     assert train.count() + test.count() == df.count()
     assert train.join(test, "trans_num").count() == 0
+
+
+def test_oversample_at_a_ratio_of_a_million(spark):
+    n = 1_000_000
+    df = spark.range(n + 1).select(F.col("id").cast("string").alias("trans_num"), (F.col("id") == 7).cast("int").alias("is_fraud"))
+    out = sampling.oversample(df)
+    positives = out.where("is_fraud = 1").groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("trans_num").alias("k"))
+    got = positives.collect()
+    assert sum(r.n for r in got) == n and {r.k for r in got} == {"7"}
+    assert len(got) >= 4 and max(r.n for r in got) < n / 2  # the copies of one row are spread
+    assert out.where("is_fraud = 0").count() == n
+
+
+def test_repeat_rows_in_levels(spark):
+    df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2), ("d", 16), ("e", 17), ("f", 124), ("g", 125), ("g", 125), ("h", None)], "k string, n int")
+    out = sampling.repeat_rows(df, F.col("n"), 125, fan=5)
+    assert out.columns == ["k", "n"]
+    # every array has at most `fan` elements: one generator for each level
+    assert out._jdf.queryExecution().executedPlan().toString().count("Generate explode(sequence") == 3
+    assert Counter(r[0] for r in rows(out)) == {"b": 1, "c": 2, "d": 16, "e": 17, "f": 124, "g": 250}
+
+
+def test_copies_of_one_row_are_no_window(spark):
+    df = spark.range(30_000).select(F.lit("same").alias("trans_num"), F.lit(1.5).alias("amt"))
+    mixed = df.unionByName(spark.createDataFrame([(f"k{i}", 2.0) for i in range(50)], "trans_num string, amt double"))
+    flagged = sampling.flag_smallest(sampling.with_hash(mixed), 20_000)
+    assert flagged.columns == ["trans_num", "amt", "_h", "_sel"]
+    by = Counter((r.trans_num == "same", r._sel) for r in flagged.collect())
+    assert sum(n for (_, taken), n in by.items() if taken) == 20_000 and sum(by.values()) == 30_050
+    assert by[True, True] + by[True, False] == 30_000
+    parts = flagged.where("trans_num = 'same'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1
