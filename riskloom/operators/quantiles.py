@@ -6,27 +6,31 @@ same numbers (linear interpolation between the closest ranks,
 ``pos = p * (n - 1)``) by narrowing the range that holds each needed rank:
 
 1. per group (and per value column -- several columns are unpivoted into one
-   long table and handled in the same pass): ``count``, ``min``, ``max``;
-2. a histogram of ``BINS`` bins over the range of a rank (partial aggregation; at most
-   ``BINS`` rows each) finds the bin that holds it; the smallest and largest value
-   *in that bin* are the next range;
-3. a rank is found when its range is one value.  The ends of a range always fall into
-   different bins, so every pass narrows it; an outlier costs one pass, infinite values one more.
-
-No step sorts rows or keeps distinct values.  Each pass scans the input once: pass a
-table (or a materialised intermediate), not an expensive lazy plan.
+   long table and handled in the same pass): the count of values;
+2. every value as a 64-bit integer of the same order (``functions.ordered_bits``). A
+   histogram of its first 16 bits (partial aggregation; at most 65 536 rows of a group)
+   finds the bin that holds each needed rank;
+3. the values of these bins are stored, and the next 16 bits are counted inside them only.
+   A rank is found when its bin holds one value, after four passes at the latest, whatever the
+   range of the values: 1e-300, 1e300 and infinite ones lie in one histogram.
+
+No step sorts rows or keeps distinct values.  The first pass and the choice of what is stored scan
+the input: pass a table (or a materialised intermediate), not an expensive lazy plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.stats import ordered_bits
 from riskloom.sources.files import materialize
 
-BINS = 65536
+#: Bits of a pass, from the highest.
+SHIFTS = (48, 32, 16, 0)
 
 
 def _q_name(p: float) -> str:
@@ -49,78 +53,60 @@ def exact_quantiles(
     broadcast; with groups, whose number nothing bounds, the joins are left to AQE."""
     by = list(by)
     small = not by
+    keys = by + ["_col"]
 
-    def side(d: DataFrame) -> DataFrame:
-        return F.broadcast(d) if small else d
+    def matched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+        """Inner join with a side table; two NULLs in a group column are equal."""
+        side = right.withColumnsRenamed({c: f"_r{c}" for c in on})
+        equal = [F.col(c).eqNullSafe(F.col(f"_r{c}")) if c in by else F.col(c) == F.col(f"_r{c}") for c in on]
+        return left.join(F.broadcast(side) if small else side, reduce(Column.__and__, equal)).drop(*[f"_r{c}" for c in on])
 
-    keys = by + ["_col"]
     stacked = df.select(
         *by,
         F.explode(
-            F.array(*[F.struct(F.lit(v).alias("_col"), F.col(v).cast("double").alias("_v")) for v in values])
+            F.array(*[F.struct(F.lit(v).alias("_col"), (F.col(v).cast("double") + 0.0).alias("_v")) for v in values])
         ).alias("_kv"),
     ).select(*by, F.col("_kv._col").alias("_col"), F.col("_kv._v").alias("_v"))
     valid = F.col("_v").isNotNull() & ~F.isnan("_v")
-    data = stacked.where(valid)
+    data = stacked.where(valid).withColumn("_bits", ordered_bits(F.col("_v")))
 
     # every group gets a stats row (count 0 when it has no value)
-    stats = stacked.groupBy(*keys).agg(
-        F.count_if(valid).alias("_n"),
-        F.min(F.when(valid, F.col("_v"))).alias("_lo"),
-        F.max(F.when(valid, F.col("_v"))).alias("_hi"),
-    )
+    stats = stacked.groupBy(*keys).agg(F.count_if(valid).alias("_n"))
     # Needed 0-based ranks: floor and ceil of p * (n - 1) for every prob.
-    ranks = stats.where("_n > 0").select(
-        *keys,
-        "_n",
-        F.col("_lo"),
-        F.col("_hi"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_i"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("_pos"))
-                    for i, p in enumerate(probs)
-                ]
-            )
-        ).alias("_p"),
-    )
-    targets = materialize(
-        ranks.select(*keys, "_n", "_p.*", "_lo", "_hi")
-        .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))))
-        .withColumn("_before", F.lit(0).cast("long")),
-        "quantile-ranks",
-    )
-    open_ = F.col("_lo") < F.col("_hi")
-    while targets.where(open_).limit(1).count():
-        ranges = targets.where(open_).select(*keys, "_lo", "_hi").distinct()
-        inside = data.join(side(ranges), on=keys, how="inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        width = F.col("_hi") - F.col("_lo")
-        halves = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)  # where the width overflows
-        # an infinite end: infinite values have bins of their own, the finite ones between them are told apart next
-        ends = F.when(F.col("_v") == F.lit(float("-inf")), 0).when(F.col("_v") == F.lit(float("inf")), BINS - 1).otherwise(1)
-        infinite = (F.col("_lo") == F.lit(float("-inf"))) | (F.col("_hi") == F.lit(float("inf")))
-        share = F.when(width < F.lit(float("inf")), (F.col("_v") - F.col("_lo")) / width).otherwise(halves)
-        bin_of = F.when(infinite, ends).otherwise(F.least(F.floor(share * F.lit(BINS)), F.lit(BINS - 1))).cast("long")
-        hist = inside.groupBy(*keys, "_lo", "_hi", bin_of.alias("_bin")).agg(
-            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
-        )
-        run = hist.withColumn(
-            "_end",
-            F.sum("_c").over(Window.partitionBy(*keys, "_lo", "_hi").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)),
+    probed = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_prob")) for i, p in enumerate(probs)])
+    ranks = stats.where("_n > 0").withColumn("_p", F.explode(probed))
+    ranks = ranks.select(*keys, "_n", "_p._i", (F.col("_p._prob") * (F.col("_n") - 1)).alias("_pos"))
+    targets = ranks.withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))))
+    targets = materialize(targets.withColumns({"_before": F.lit(0).cast("long"), "_bin": F.lit(0).cast("long")}), "quantile-ranks")
+
+    bins, found = keys, None
+    for shift in SHIFTS:
+        hist = data.groupBy(*bins, F.shiftright("_bits", shift).alias("_next")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
+        order = Window.partitionBy(*bins).orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)
         at = F.col("_k") - F.col("_before")
-        narrowed = (
-            targets.where(open_)
-            .join(run, on=[*keys, "_lo", "_hi"], how="inner")
-            .where((at < F.col("_end")) & (at >= F.col("_end") - F.col("_c")))
-            .select(
-                *keys, "_n", "_i", "_pos", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), "_k",
-                (F.col("_before") + F.col("_end") - F.col("_c")).alias("_before"),
-            )
+        inside = matched(hist.withColumn("_end", F.sum("_c").over(order)), targets.drop("_lo", "_hi"), bins)
+        inside = inside.where((at < F.col("_end")) & (at >= F.col("_end") - F.col("_c")))
+        inside = inside.select(
+            *keys, "_n", "_i", "_pos", "_k", (F.col("_before") + F.col("_end") - F.col("_c")).alias("_before"),
+            F.col("_next").alias("_bin"), "_lo", "_hi",
         )
-        targets = materialize(targets.where(~open_).unionByName(narrowed), "quantile-ranks")
-
-    picked = targets.withColumn("_v", F.col("_lo"))
+        inside = materialize(inside, "quantile-ranks")
+        open_ = F.col("_lo") < F.col("_hi")
+        done, targets = inside.where(~open_), inside.where(open_)
+        found = done if found is None else found.unionByName(done)
+        if not targets.limit(1).count():
+            break
+        # the values of the open bins, for the passes that are left
+        held = targets.select(*keys, "_bin").distinct()
+        bins = [*keys, "_bin"]
+        data = matched(data.withColumn("_bin", F.shiftright("_bits", shift)), held, bins)
+        if shift == SHIFTS[0]:
+            data = materialize(data, "quantile-values")
+
+    assert found is not None
+    picked = found.withColumn("_v", F.col("_lo"))
     lo = F.floor("_pos").cast("long")
     per_prob = picked.groupBy(*keys, "_n", "_i", "_pos").agg(
         F.max(F.when(F.col("_k") == lo, F.col("_v"))).alias("_vlo"),
@@ -134,7 +120,8 @@ def exact_quantiles(
         *[F.max(F.when(F.col("_i") == i, interp)).alias(_q_name(p)) for i, p in enumerate(probs)]
     )
     # groups with no non-NULL value still get a row (NULL quantiles)
-    out = stats.select(*keys, "_n").join(wide.drop("_n"), on=keys, how="left")
+    same = [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in keys]
+    out = stats.join(wide.drop("_n").withColumnsRenamed({c: f"_r{c}" for c in keys}), reduce(Column.__and__, same), "left")
     return out.select(*by, F.col("_col").alias("column"), F.col("_n").alias("n"), *[_q_name(p) for p in probs])
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions.stats import ordered_bits
+from riskloom.operators import quantiles
 from riskloom.operators.quantiles import exact_median_row, exact_quantiles
+from riskloom.sources import files
 
 from conftest import rows
 
@@ -80,3 +85,43 @@ def test_infinite_values_end(spark):
             want.append(lo if frac == 0 or lo == hi else (1 - frac) * lo + frac * hi)
         got = exact_quantiles(part, ["v"], probs).first()
         assert [got[n] for n in ("q_0", "q_0_25", "q_0_5", "q_0_75", "q_1")] == want
+
+
+def _ieee(x):
+    """IEEE 754 bits as a signed number of the same order."""
+    n = struct.unpack(">q", struct.pack(">d", x))[0]
+    return n if n >= 0 else -(n & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def test_ordered_bits_are_the_ieee_bits(spark):
+    rnd = random.Random(3)
+    values = [struct.unpack(">d", rnd.randbytes(8))[0] for _ in range(20_000)]
+    values += [2.0**e for e in range(-1074, 1024)] + [math.nextafter(2.0**e, math.inf) for e in range(-1074, 1024)]
+    values += [math.nextafter(2.0**e, 0.0) for e in range(-1074, 1024)] + [0.0, -0.0, math.inf, -math.inf, 1.7976931348623157e308]
+    values = [v for v in values if not math.isnan(v)]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", ordered_bits(F.col("v")).alias("b")).collect()
+    assert all(r.b == _ieee(r.v) for r in got)
+
+
+def test_four_passes_whatever_the_range(spark, monkeypatch):
+    rnd = random.Random(5)
+    values = [10.0 ** rnd.uniform(-300, 300) * rnd.choice([-1, 1]) for _ in range(4001)] + [1e-300, 1e300, -1e300, math.inf, -math.inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    written = []
+    monkeypatch.setattr(quantiles, "materialize", lambda d, name: written.append(name) or files.materialize(d, name))
+    got = exact_quantiles(df, ["v"], [0.5, 0.001, 0.999]).first()
+    assert len(written) <= 2 + len(quantiles.SHIFTS)  # ranks, one table of each pass, and the values of the open bins
+    x = sorted(values)
+    for p, name in ((0.5, "q_0_5"), (0.001, "q_0_001"), (0.999, "q_0_999")):
+        pos = p * (len(x) - 1)
+        lo, hi = x[int(pos)], x[int(pos) + 1] if pos > int(pos) else x[int(pos)]
+        frac = pos - int(pos)
+        assert got[name] == (lo if frac == 0 else (1 - frac) * lo + frac * hi)
+
+
+def test_a_null_group_has_quantiles(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, x double")
+    got = {r.g: (r.n, r.q_0_5) for r in exact_quantiles(df, ["x"], [0.5], by=["g"]).collect()}
+    assert got == {None: (2, 2.0), "a": (1, 5.0)}
