@@ -9,4 +9,6 @@ from riskloom.operators import (  # noqa: F401
     modeling,
     profiling,
     sampling,
+    sketches,
+    timeline,
 )
