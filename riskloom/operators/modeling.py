@@ -7,7 +7,7 @@ the training rows only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -119,6 +119,24 @@ def score(model: PipelineModel, df: DataFrame, features: Sequence[str] = MODEL_F
     return out.withColumn("score", vector_to_array(F.col("probability"))[1])
 
 
+def score_all(models: Mapping[str, PipelineModel], df: DataFrame, features: Sequence[str] = MODEL_FEATURES, keep: Sequence[str] = ()) -> DataFrame:
+    """E1 for all models in one scan: ``keep`` with ``model``, ``prediction`` and ``score``,
+    a row for each model and row of ``df``.
+
+    The models are transforms in a chain, each with the vectors of the one before dropped and
+    its results under a name of its own; one generator gives the long form."""
+    feats = select_features(df, features)
+    out = zero_fill(df, feats).select(*dict.fromkeys([*keep, *feats]))
+    results = []
+    for i, (name, model) in enumerate(models.items()):
+        before = out.columns
+        out = model.transform(out)
+        own = {f"_p{i}": F.col("prediction"), f"_s{i}": vector_to_array(F.col("probability"))[1]}
+        out = out.select(*before, *[c.alias(n) for n, c in own.items()])
+        results.append(F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction"), F.col(f"_s{i}").alias("score")))
+    return out.select(*keep, F.inline(F.array(*results)))
+
+
 def save_model(model: PipelineModel, base_path: str, name: str) -> str:
     """K3: overwrite-save under ``base_path``; spaces in the name become '_'."""
     path = f"{base_path.rstrip('/')}/{name.replace(' ', '_')}"

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.session import scratch_path
@@ -49,6 +50,29 @@ def read_csv(
     return reader.csv(path)
 
 
+#: What ``read_csv_checked`` tells of a record that does not fit.
+REJECT_COLUMNS = ("raw", "n_fields", "reason", "file")
+
+
+def read_csv_checked(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with a quarantine: (records that have exactly the declared fields, the others).
+
+    The file is scanned once and stored; nothing is padded or truncated silently.  A record
+    that does not fit is a row of the second table: its raw line, the number of its fields
+    (separators outside quotes, plus one), the reason (``short``, ``long``, or ``malformed`` where the
+    number is right but the quoting is not) and its file.  Line-oriented, as ``read_csv``."""
+    schema = string_schema(columns).add("_raw", T.StringType())
+    reader = spark.read.option("header", "true" if header else "false").option("quote", CSV_QUOTE).option("escape", CSV_ESCAPE)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw")
+    stored = materialize(reader.schema(schema).csv(path).withColumn("_file", F.input_file_name()), "csv-checked")
+    fits = stored.where(F.col("_raw").isNull()).drop("_raw", "_file")
+    unquoted = F.regexp_replace("_raw", '"(?:[^"]|"")*+"', "")
+    n_fields = F.regexp_count(unquoted, F.lit(",")) + 1
+    reason = F.when(F.col("n_fields") < len(columns), "short").when(F.col("n_fields") > len(columns), "long").otherwise("malformed")
+    others = stored.where(F.col("_raw").isNotNull()).select(F.col("_raw").alias("raw"), n_fields.alias("n_fields"), F.col("_file").alias("file"))
+    return fits, others.withColumn("reason", reason).select(*REJECT_COLUMNS)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Generic source: parquet by default (vectorised, predicate/column pushdown)."""
     return spark.read.format(fmt).options(**options).load(path)
@@ -74,10 +98,18 @@ def save_table(
     fmt: str = "csv",
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
+    only_touched: bool = False,
 ) -> None:
     """K1: write any format with a save mode; CSV gets a header and keeps the
-    quoting dialect of ``read_csv`` and surrounding whitespace of values."""
+    quoting dialect of ``read_csv`` and surrounding whitespace of values.
+
+    With ``only_touched`` an overwrite replaces the partitions (say, the months) that ``df``
+    has rows of and leaves all others as they are, so a batch can be written again."""
     writer = df.write.format(fmt).mode(mode)
+    if only_touched:
+        if not partition_by or mode != "overwrite":
+            raise ValueError("only_touched is an overwrite of partitions")
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = (
             writer.option("header", "true")

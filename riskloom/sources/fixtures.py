@@ -112,3 +112,14 @@ def mixed_layout_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(d, "yyyy-MM-dd"))
         .alias("trans_date_trans_time"),
     )
+
+
+def uneven_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines of every ``events`` row with five fields (one quoted, with separators and
+    quotes in it), one field less in some and one more in others."""
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    quoted = F.concat(F.lit('"'), F.regexp_replace("props", '"', '""'), F.lit(', ""x"""'))
+    fields = [eid.cast("string"), F.col("event_type"), quoted, F.col("user_id").cast("string")]
+    last = F.when(eid % 17 == 0, F.array()).when(eid % 19 == 0, F.array(F.lit("a"), F.lit("b,c"))).otherwise(F.array(F.lit("a")))
+    return ev.select(F.array_join(F.concat(F.array(*fields), last.cast("array<string>")), ",").alias("value"))

@@ -49,6 +49,12 @@ def test_three_models_learn_a_separable_label_and_round_trip(spark, separable):
     metrics = {r["model"]: r for r in evaluation.classification_metrics(preds).collect()}
     for name in modeling.MODEL_NAMES:
         assert metrics[name]["roc_auc"] > 0.9, name
+    # one scan for all models, and the scores of each model on its own
+    plan = preds._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    for name in modeling.MODEL_NAMES:
+        own = sorted(rows(modeling.score(models[name], test), "trans_num", "prediction", "score"))
+        assert sorted(rows(preds.where(F.col("model") == name), "trans_num", "prediction", "score")) == own
     scored = modeling.score(models["Random Forest"], test)
     assert scored.where((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
     path = modeling.save_model(models["Logistic Regression"], scratch_path(spark, "models"), "Logistic Regression")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from riskloom.session import scratch_path
@@ -111,3 +112,33 @@ def test_rows_without_a_user_are_one_user(spark):
     assert got["a"].user_id is None and got["c"].user_transaction_count == 1
     totals = {r.trans_num: r.user_transaction_count for r in user_totals(df).collect()}
     assert totals == {"a": 2, "b": 2, "c": 1}
+
+
+def test_records_that_do_not_fit_are_kept_apart(spark):
+    path = scratch_path(spark, "rejects")
+    lines = ["a,b,c", "1,2", '3,"x ""y, z""",w', "4,5,6,7", "8,,9", '"q,1",2,3,"4,5"', ",,"]
+    spark.sparkContext.parallelize(lines).coalesce(1).saveAsTextFile(path)
+    fits, others = files.read_csv_checked(spark, path, ["a", "b", "c"])
+    assert sorted(rows(fits), key=str) == sorted([("3", 'x "y, z"', "w"), ("8", None, "9"), (None, None, None)], key=str)
+    assert others.columns == list(files.REJECT_COLUMNS)
+    assert sorted(rows(others, "raw", "n_fields", "reason")) == [('"q,1",2,3,"4,5"', 4, "long"), ("1,2", 2, "short"), ("4,5,6,7", 4, "long")]
+    assert all(r.file for r in others.collect())
+    none, nothing = files.read_csv_checked(spark, path, ["only"])
+    assert none.count() == 0 and nothing.count() == 6  # every record is too long, none is lost
+
+
+def test_an_overwrite_of_touched_months(spark):
+    from pathlib import Path
+
+    path = scratch_path(spark, "months")
+    table = lambda month, n: spark.range(n).selectExpr("id", f"'{month}' AS month")
+    save = lambda df: files.save_table(df, path, fmt="parquet", partition_by=["month"], only_touched=True)
+    held = lambda month: {f.name: f.read_bytes() for f in (Path(path.removeprefix("file:")) / f"month={month}").glob("*.parquet")}
+    save(table("2019-01", 5))
+    save(table("2019-02", 7))
+    first = held("2019-01")
+    save(table("2019-02", 3))  # a retry of the second month
+    assert held("2019-01") == first and first
+    assert dict(rows(files.read_table(spark, path).groupBy("month").count())) == {"2019-01": 5, "2019-02": 3}
+    with pytest.raises(ValueError):
+        files.save_table(table("x", 1), path, fmt="parquet", only_touched=True)
