@@ -22,10 +22,13 @@ from riskloom.operators import (
     modeling,
     profiling,
     sampling,
+    sketches,
+    timeline,
 )
 from riskloom.plans import pipeline
 from riskloom.session import scratch_path
 from riskloom.sources import files, fixtures
+from riskloom.sources.stages import Stages, input_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +111,47 @@ def q_csv_lines(spark, sf):
     return wide.join(short.select("trans_num", F.col("city").alias("city_of_short")), "trans_num")
 
 
+LINE_COLUMNS = ("event_id", "event_type", "props", "user_id", "last")
+
+
+def q_csv_rejects(spark, sf):
+    """S1 with a quarantine: the records of uneven lines that fit, and the others with their reason."""
+    path = scratch_path(spark, "uneven")
+    lines = fixtures.uneven_lines(spark, sf)
+    lines.write.text(path)
+    fits, others = files.read_csv_checked(spark, path, LINE_COLUMNS, header=False)
+    kept = fits.select("event_id", "props", F.lit("fits").alias("reason"), F.lit(len(LINE_COLUMNS)).alias("n_fields"))
+    return kept.unionByName(others.select(F.substring_index("raw", ",", 1).alias("event_id"), F.lit(None).cast("string").alias("props"), "reason", "n_fields"))
+
+
+def q_months_rewritten(spark, sf):
+    """K1: months written in two batches, one of them again with other rows and again with its own; the
+    others stay as they were."""
+    path = scratch_path(spark, "months")
+    cal = files.materialize(calendar_table(spark, sf).select("trans_num", "amt", "is_fraud", "year", "month"), "months-source")
+
+    def save(df):
+        files.save_table(df, path, fmt="parquet", partition_by=["year", "month"], only_touched=True)
+
+    save(cal.where("month <= 6"))
+    save(cal.where("month > 6"))
+    save(cal.where("month = 6").withColumn("amt", F.lit(-1.0).cast("float")))
+    save(cal.where("month = 6"))
+    return files.read_table(spark, path)
+
+
+def q_resumed_features(spark, sf):
+    """The feature stage of a run, read by a second run through the manifest."""
+    source, folder = raw(spark, sf), scratch_path(spark, "resume")
+    digest = input_digest(source, clock="epoch")
+    Stages(spark, folder, digest).keep("features", lambda: features(spark, sf))
+    again = Stages(spark, folder, digest)
+    found = again.keep("features", lambda: features(spark, sf))
+    if again.resumed != ["features"]:
+        raise RuntimeError("the stored stage was not found")
+    return _feature_report(found)
+
+
 def q_drop_vectors(spark, sf):
     """K2: the assembled feature matrix written without vector columns and read back."""
     fm = modeling.feature_matrix(features(spark, sf))
@@ -295,7 +339,72 @@ def q_features(spark, sf):
     return _feature_report(features(spark, sf))
 
 
+def q_features_carried(spark, sf):
+    """W1-W7 by states carried across range partitions; every clock of more than 4 rows is split."""
+    return _feature_report(timeline.sequence_features(keyed(spark, sf), spec=behavior.EPOCH, hot_rows=4))
+
+
+def q_prev_event_carried(spark, sf):
+    s = timeline.sequence_features(keyed(spark, sf), spec=behavior.PACKED)
+    return s.select("trans_num", "user_id", "trans_seconds", "prev_clock", "trans_count_last_24h")
+
+
+def _state(spark, sf):
+    """A state of three batches, by thirds of the time that the events span, and the batches' names."""
+    rows = files.materialize(keyed(spark, sf), "keyed")
+    ends = rows.agg(F.min("epoch_seconds").alias("lo"), F.max("epoch_seconds").alias("hi")).first()
+    lo, step = ends["lo"] or 0, ((ends["hi"] or 0) - (ends["lo"] or 0)) // 3 + 1
+    third = F.coalesce(F.expr(f"(epoch_seconds - {lo}) div {step}"), F.lit(2))  # rows without a time come last
+    state = scratch_path(spark, "timeline-state")
+    for k in range(3):
+        timeline.append(rows.where(third == k), state, str(k))
+    return state
+
+
+def q_features_incremental(spark, sf):
+    """W3-W5, W7 of each batch from the stored state of all batches."""
+    state = _state(spark, sf)
+    parts = [timeline.batch_features(spark, state, str(k), with_totals=False) for k in range(3)]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.select("trans_num", "epoch_seconds", "prev_clock", _r("hours_since_last_trans"), "is_rapid_transaction", "trans_count_last_24h")
+
+
+def q_totals_incremental(spark, sf):
+    """W1, W2 of every user from the hourly sums of three batches."""
+    t = timeline.totals(spark, _state(spark, sf))
+    return t.select(F.col("_user").alias("user_id"), "user_transaction_count", _r("user_avg_amt"))
+
+
 # ------------------------------------------------------------------ profiling
+def q_valid_date_report(spark, sf):
+    """A4: rows read and rows dropped for their date."""
+    return calendar.date_validity_report(calendar.parse_datetime(prepared(spark, sf)))
+
+
+SKETCH_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+def q_median_sketch(spark, sf):
+    """M4, A3 approximate: stored sketches of 16 parts, merged; whether each quantile's rank is
+    within a hundredth of the rows."""
+    t = typed(spark, sf).select("trans_num", F.col("amt").cast("double").alias("amt")).where("amt IS NOT NULL")
+    t = files.materialize(t.withColumn("part", F.pmod(F.xxhash64("trans_num"), F.lit(16))), "sketched")
+    stored = files.materialize(sketches.build(t, ["amt"], by=["part"]), "sketches")
+    q = sketches.quantiles(stored, SKETCH_PROBS).where("column = 'amt'")
+    values = q.select(F.struct(*[c for c in q.columns if c.startswith("q_")]).alias("q")).scalar()
+    names = [c for c in q.columns if c.startswith("q_")]
+    counts = t.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("amt") < values.getField(c)).alias(f"below_{c}") for c in names],
+        *[F.count_if(F.col("amt") <= values.getField(c)).alias(f"upto_{c}") for c in names],
+    )
+    rows = [
+        F.struct(F.lit(p).alias("prob"), F.col("n"), ((F.col(f"below_{c}") <= (p + 0.01) * F.col("n")) & (F.col(f"upto_{c}") >= (p - 0.01) * F.col("n"))).alias("within"))
+        for p, c in zip(SKETCH_PROBS, names)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def q_class_distribution(spark, sf):
     return profiling.class_distribution(features(spark, sf))
 
@@ -345,6 +454,13 @@ def q_undersample(spark, sf):
     return sampling.undersample(stored_features(spark, sf)).select("trans_num", "is_fraud", "amt")
 
 
+def q_balance_train(spark, sf):
+    """Each balance method applied to the training part by name; rows of each class."""
+    train, _ = sampling.train_test(stored_features(spark, sf))
+    parts = [pipeline.balance(train, m).groupBy("is_fraud").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("method", F.lit(m)) for m in ("undersample", "oversample", "none")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("is_fraud IS NOT NULL").select("method", "is_fraud", "n_rows")
+
+
 def q_oversample(spark, sf):
     return sampling.oversample(stored_features(spark, sf)).select("trans_num", "is_fraud", "amt")
 
@@ -357,6 +473,15 @@ def q_feature_matrix(spark, sf):
     return out.select("trans_num", *[_r(f"f_{n}") for n in names])
 
 
+def q_skip_invalid(spark, sf):
+    """The wanted columns that exist are assembled; rows with a NULL among them are left out."""
+    t = calendar.calendar_features(typed(spark, sf))
+    names = cleaning.present(t, ["amt", "absent", "hour", "is_fraud"])
+    fm = modeling.assembler(names).transform(t)
+    out = modeling.vector_columns_as_fields(fm, "features", names, prefix="f_")
+    return out.select("trans_num", *[_r(f"f_{n}") for n in names])
+
+
 def q_scaled_features(spark, sf):
     fm = modeling.feature_matrix(stored_features(spark, sf))
     train = sampling.split(fm).where(F.col("split") == "train")
@@ -497,6 +622,9 @@ QUERIES: dict[str, Query] = {
     "impute_contract": q_impute_contract,
     "features_contract": q_features_contract,
     "run_pipeline": q_run_pipeline,
+    "csv_rejects": q_csv_rejects,
+    "months_rewritten": q_months_rewritten,
+    "resumed_features": q_resumed_features,
     "drop_vectors": q_drop_vectors,
     "typed": q_typed,
     "clean_strings": q_clean_strings,
@@ -520,6 +648,12 @@ QUERIES: dict[str, Query] = {
     "trailing_count_24h": q_trailing_count_24h,
     "gap_hours": q_gap_hours,
     "features": q_features,
+    "features_carried": q_features_carried,
+    "prev_event_carried": q_prev_event_carried,
+    "features_incremental": q_features_incremental,
+    "totals_incremental": q_totals_incremental,
+    "valid_date_report": q_valid_date_report,
+    "median_sketch": q_median_sketch,
     "class_distribution": q_class_distribution,
     "amount_summary": q_amount_summary,
     "correlation_matrix": q_correlation_matrix,
@@ -532,7 +666,9 @@ QUERIES: dict[str, Query] = {
     "sample_n": q_sample_n,
     "undersample": q_undersample,
     "oversample": q_oversample,
+    "balance_train": q_balance_train,
     "feature_matrix": q_feature_matrix,
+    "skip_invalid": q_skip_invalid,
     "scaled_features": q_scaled_features,
     "pipeline_features": q_pipeline_features,
     "lr_scores": q_lr_scores,

@@ -508,6 +508,41 @@ def build() -> dict[str, str]:
         "is_rapid_transaction FROM feat"
     )
     q["features"] = chain(*BASE_FEAT) + f"SELECT {_feat_cols(FEATURE_OUTPUT)} FROM feat"
+    q["features_carried"] = q["features"]
+    q["resumed_features"] = q["features"]
+    q["prev_event_carried"] = chain(*BASE_PACKED) + "SELECT trans_num, user_id, trans_seconds, prev_clock, trans_count_last_24h FROM feat"
+    q["features_incremental"] = chain(*BASE_FEAT) + (
+        "SELECT trans_num, epoch_seconds, prev_clock, (round(hours_since_last_trans, 6) + CAST(0 AS DOUBLE)) AS hours_since_last_trans, "
+        "is_rapid_transaction, trans_count_last_24h FROM feat"
+    )
+    q["totals_incremental"] = chain(*BASE_CAL) + (
+        "SELECT user_id, count(*) AS user_transaction_count, (round(avg(CAST(amt AS DOUBLE)), 6) + CAST(0 AS DOUBLE)) AS user_avg_amt FROM cal GROUP BY user_id"
+    )
+    q["valid_date_report"] = chain(*BASE_TYPED, PREPARED, _parsed("parsed", "prepared", True)) + (
+        "SELECT count(*) AS rows_in, count(*) FILTER (WHERE year IS NULL OR month IS NULL OR day IS NULL) AS rows_invalid_date FROM parsed"
+    )
+    q["median_sketch"] = chain(*BASE_TYPED) + (
+        "SELECT prob::DOUBLE AS prob, (SELECT count(amt) FROM typed) AS n, true AS within FROM (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(prob)"
+    )
+    q["csv_rejects"] = (
+        "SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 17 = 0 OR event_id % 19 = 0 THEN NULL ELSE props || ', \"x\"' END AS props, "
+        "CASE WHEN event_id % 17 = 0 THEN 'short' WHEN event_id % 19 = 0 THEN 'long' ELSE 'fits' END AS reason, "
+        "CAST(CASE WHEN event_id % 17 = 0 THEN 4 WHEN event_id % 19 = 0 THEN 7 ELSE 5 END AS INTEGER) AS n_fields FROM events"
+    )
+    q["months_rewritten"] = chain(*BASE_CAL) + "SELECT trans_num, amt, is_fraud, year, month FROM cal"
+    q["balance_train"] = (
+        chain(
+            *BASE_FEAT,
+            f"tr AS (SELECT * FROM feat WHERE {SPLIT} = 'train' AND is_fraud IS NOT NULL)",
+            "c AS (SELECT is_fraud, count(*) AS n_rows FROM tr GROUP BY is_fraud)",
+        )
+        + "SELECT 'none' AS method, is_fraud, n_rows FROM c UNION ALL SELECT 'undersample', is_fraud, (SELECT min(n_rows) FROM c) FROM c "
+        "UNION ALL SELECT 'oversample', is_fraud, (SELECT max(n_rows) FROM c) FROM c"
+    )
+    q["skip_invalid"] = chain(*BASE_TYPED, _parsed("parsed", "typed", True), CALENDAR) + (
+        "SELECT trans_num, (round(CAST(amt AS DOUBLE), 6) + CAST(0 AS DOUBLE)) AS f_amt, CAST(hour AS DOUBLE) AS f_hour, CAST(is_fraud AS DOUBLE) AS f_is_fraud "
+        "FROM cal WHERE amt IS NOT NULL AND hour IS NOT NULL AND is_fraud IS NOT NULL"
+    )
     q["class_distribution"] = chain(*BASE_FEAT) + (
         "SELECT is_fraud, count(*) AS n_rows, "
         "CAST((round_even(CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER (), 4) + CAST(0 AS DOUBLE)) AS DOUBLE) AS pct "

@@ -42,6 +42,16 @@ KEYS = [
     "typed_contract",
     "impute_contract",
     "features_contract",
+    "features_carried",
+    "features_incremental",
+    "totals_incremental",
+    "csv_rejects",
+    "months_rewritten",
+    "resumed_features",
+    "median_sketch",
+    "balance_train",
+    "skip_invalid",
+    "valid_date_report",
 ]
 
 
@@ -64,7 +74,7 @@ def test_query_matches_oracle(spark, con, key):
 def test_contract(spark):
     qs, sql = entry.QUERIES, {k: v for k, v in entry.oracle_sql().items() if k in entry.QUERIES}
     assert set(qs) <= set(entry.queries())
-    assert len(qs) == 54
+    assert len(qs) == 65
     assert set(sql) == set(qs)
     df = entry.entry(spark)
     assert df.columns == ["rank", "hour", "n_rows", "fraud_pct"]
