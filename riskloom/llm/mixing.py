@@ -8,9 +8,9 @@ weight until no target is above (``water_level``).
 A source whose target is q times its size and a rest takes every document q times, and
 some once more.  Which ones is told by a 60-bit hash of id and text: the source's
 documents in the order of their hashes are taken until the rest is used up.  The order is
-never sorted.  Sizes are summed by source and the first 15 bits of the hash; running
+never sorted.  Sizes are summed by source and the first 12 bits of the hash; running
 sums over these buckets show the one that holds the budget's end; only its rows
-are looked at again, by the next 15 bits, until the bucket is one hash.  What lies below
+are looked at again, by the next 12 bits, until the bucket is one hash.  What lies below
 that hash is taken, a plain filter.  A larger budget takes what a smaller one takes and more.
 
 The hash at the budget's end is taken if this comes nearer to the target: a source misses
@@ -37,7 +37,7 @@ from riskloom.llm.common import exactly, same, store
 
 #: Bits of the hash, and how many of them are read at a time.
 HASH_BITS = 60
-STEP_BITS = 15
+STEP_BITS = 12
 #: Parts that a source is split into where its targets are joined to its documents.
 SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
