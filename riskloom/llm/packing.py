@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -34,20 +35,33 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import rows_of, ship_package, store, worker_state
+from riskloom.llm.common import exactly, rows_of, ship_package, store, worker_state
 
 CAPACITY = 2048
 END_ID = 1
-#: Words of a generation whose ids a worker keeps; it holds two generations.
-CACHE_ENTRIES = 250_000
-
-#: Marks that are split from letters before them; none begins a special token.
+#: Pieces of a generation whose ids a worker keeps; it holds two generations.  Longer ones are not kept.
+CACHE_ENTRIES = 400_000
+CACHE_CHARS = 64
+#: Bytes of text whose words are looked up together.
+GROUP_BYTES = 1 << 21
+
+#: Latin letters whose lower case has one code point for each.
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130")
+_WORD = re.compile(f"[{_LETTERS}]+")
+#: Marks that a splitter parts from letters; none begins a special token or an ending such as 's.
 MARKS = "!#$%&()*+,-./:;=?@[]^_`{}~"
-LATIN_END = "\u0250"
+#: Marks between letters and white space: there a text may be cut.
+_BESIDE = rf"[\s{_LETTERS}]"
+_CUT = rf"(^|{_BESIDE})([{re.escape(MARKS)}]+)({_BESIDE}|$)"
+#: Texts with these are cut at white space only: their lower case may differ from the file's rule.
+_OTHER = r"[^\x00-\x{24f}]|\x{130}"
+#: White space to Arrow only: such a text is not cut at all.
+_SPLIT_ONLY = r"[\x1c-\x1f]"
 
 
 class Use(NamedTuple):
@@ -152,8 +166,8 @@ def packed(ids: list[int]) -> bytes:
 
 
 class WordIds:
-    """Ids of a tokenizers file that never join characters across white space.
-    Words met lately are looked up."""
+    """Ids of a tokenizers file that lower-cases, never joins characters across white space and
+    parts letters from marks.  Pieces met lately are looked up."""
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -166,72 +180,96 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(True) + 1, dtype=bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(False).items() if suffix and t.endswith(suffix)]] = True
         # ids of each, as little-endian 32-bit numbers
-        self.cores: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        """Keep the ids of words; a run of Latin letters is looked up, in lower case,
-        apart from the marks that follow it, as the file's rules split them."""
-        whole, cut, cores = [], [], set()
-        for w in words:
-            ids = self.older.get(w)
+        self.cuts = self._parts_letters_from_marks()
+
+    def _parts_letters_from_marks(self) -> bool:
+        """Whether cut and lower-cased pieces have the ids of the whole text."""
+        probe = 'It\'s "A-b" (C.d), e!! f_G ÀÉ-x... 3.5 h/2 I\'ll\tMe&you @k\n#l [m] n;o  p: q'
+        return b"".join(self._whole(self._spaced(pa.array([probe]))[0].as_py().split())) == self._whole([probe])[0]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def _spaced(texts: pa.Array) -> pa.Array:
+        """The texts with white space at every place where they may be cut.  A mark that stands
+        beside a letter that the mark before has used up is met the second time."""
+        cut = pc.utf8_lower(texts)
+        for _ in range(2):
+            cut = pc.replace_substring_regex(cut, pattern=_CUT, replacement=r"\1 \2 \3")
+        return pc.if_else(pc.match_substring_regex(texts, pattern=_OTHER), texts, cut)
+
+    def _learn(self, pieces: set[str]) -> None:
+        older, known, words, others = self.older, self.known, [], []
+        word = _WORD.fullmatch
+        for w in pieces:
+            ids = older.get(w)
             if ids is not None:
-                self.words[w] = ids
-                continue
-            core = w.rstrip(MARKS)
-            if core.isalpha() and max(core) < LATIN_END and "\u0130" not in core:
-                key = core.lower()
-                cut.append((w, key, w[len(core) :]))
-                if key not in self.cores:
-                    cores.add(key)
+                known[w] = ids
             else:
-                whole.append(w)
-        if len(self.cores) > CACHE_ENTRIES:
-            self.cores = {key: self.cores[key] for _, key, _ in cut if key in self.cores}
-        self._learn_cores(list(cores))
-        for w, key, marks in cut:
-            ids = self.cores[key]
-            if marks:
-                if marks not in self.marks:
-                    self.marks[marks] = packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
-                ids += self.marks[marks]
-            self.words[w] = ids
-        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            self.words[w] = packed(e.ids)
-
-    def _learn_cores(self, cores: list[str]) -> None:
-        """Ids of runs of letters, many in one call: a word ends at an id that the
-        vocabulary marks as a word's end."""
-        blocks = [cores[i : i + 128] for i in range(0, len(cores), 128)]
+                (words if word(w) else others).append(w)
+        known.update(zip(others, self._whole(others)))
+        # words of letters, many in one call: a word ends at an id that the vocabulary marks as a word's end
+        blocks = [words[i : i + 128] for i in range(0, len(words), 128)]
         for block, e in zip(blocks, self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(block) and ends[-1] == len(ids):
                 raw, bounds = ids.tobytes(), (4 * ends).tolist()
-                parts = map(raw.__getitem__, map(slice, [0, *bounds], bounds))
+                known.update(zip(block, map(raw.__getitem__, map(slice, [0, *bounds], bounds))))
             else:  # a vocabulary without such marks
-                parts = (packed(x.ids) for x in self.tokenizer.encode_batch_fast(block, add_special_tokens=False))
-            self.cores.update(zip(block, parts))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, as little-endian 32-bit numbers."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.older, self.words = self.words, {}
-        # U+001C to U+001F are white space to str.split only
-        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        split = [[t] if o else t.split() for t, o in zip(texts, odd)]
-        missing = set(chain.from_iterable(split)).difference(self.words)
+                known.update(zip(block, self._whole(block)))
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces, looked up or learned."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        missing = set(pieces).difference(self.known)
         if missing:
             self._learn(missing)
-        get = self.words.__getitem__
-        out = [b"".join(map(get, ws)) for ws in split]
-        for ws, o in zip(split, odd):
-            if o:
-                self.words.pop(ws[0], None)  # a whole text is no word to keep
+        out = list(map(self.known.__getitem__, pieces))
+        for w in missing:
+            if len(w) > CACHE_CHARS:
+                del self.known[w]
         return out
 
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each begins and ends.  Each
+        different piece is looked up once, its occurrences are filled in by number."""
+        odd = pc.match_substring_regex(texts, pattern=_SPLIT_ONLY).to_numpy(zero_copy_only=False) | (not self.cuts)
+        split = pc.utf8_split_whitespace(pc.if_else(pa.array(odd), "", self._spaced(texts)) if odd.any() else self._spaced(texts))
+        words = split.flatten()
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        some = np.flatnonzero(pc.binary_length(words).to_numpy(zero_copy_only=False))  # at its ends a split leaves empty ones
+        bounds = np.searchsorted(some, bounds)
+        coded = words.take(pa.array(some)).dictionary_encode()
+        blobs = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if odd.any():
+            whole = np.flatnonzero(odd)
+            at = np.insert(at, bounds[whole], len(blobs) + np.arange(len(whole)))
+            blobs += self._whole(texts.take(pa.array(whole)).to_pylist())
+            bounds = bounds + np.concatenate([[0], np.cumsum(odd)])
+        lengths = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // 4
+        starts = np.cumsum(lengths) - lengths
+        ids = np.frombuffer(b"".join(blobs), dtype="<u4")
+        n = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return ids[np.repeat(starts[at] - ends[:-1], n) + np.arange(ends[-1])], ends[bounds]
+
+
+def in_groups(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
 
 def load(content: str) -> WordIds:
     """The tokenizer of a file, built once in each worker."""
@@ -249,22 +287,24 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task, seen, end = load(content), TaskContext.get().partitionId(), {}, packed([end_id])
-        for keys, texts in rows_of(batches, "doc_id", "text"):
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        for group in (g for batch in batches for g in in_groups(batch, GROUP_BYTES)):
             out: list[tuple] = []
-            for key, ids in zip(keys, words.encode([t or "" for t in texts])):
-                ids += end
-                total = len(ids) // 4
+            every, bounds = words.encode(pc.fill_null(group.column("text"), ""))
+            for key, a, b in zip(group.column("doc_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                ids = every[a:b].tobytes() + end
+                total = b - a + 1
                 for at in range(0, total, capacity):
                     size = min(capacity, total - at)
                     rank = seen.get(size, 0)
                     seen[size] = rank + 1
                     out.append((task, rank, key, at, size, total, ids[4 * at : 4 * (at + size)]))
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["task", "rank", "doc_id", "start", "length", "doc_tokens", "ids"]
-            )
+            for at in range(0, len(out), 1024):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out[at : at + 1024]), kinds)], ["task", "rank", "doc_id", "start", "length", "doc_tokens", "ids"]
+                )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -25,6 +27,11 @@ def random_texts(n, seed):
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(0, 50))) for _ in range(n)]
 
 
+#: Marks beside letters, digits, quotes, endings and white space of every kind.
+MARKED = ["it's-a", "a-'s b", 'x"-y', "3.5-z", "(a)(b)", "a...b", "... a", "A-B.C", "-", "a -", "- a", "l'été-là", "İ-x", "x-İ", "Σας-Σ", "a\u0301-b", "a-\u0301",
+          "ﬁ-x", "a\x1c-b", "a\u3000-b", "\xa0-a", "a_b__c", "1-a-2", "a@b.c", "<|endoftext|>-a", "a-<|endoftext|>", "ß-ẞ", "ŉ-x", "ǅ-x", "x" * 70 + "-y"]
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -64,8 +71,20 @@ def test_word_ids_equal_the_library(monkeypatch):
     own, library = packing.WordIds(open(WORD_BPE).read()), Tokenizer.from_file(WORD_BPE)
     texts = random_texts(4000, 3)
     for at in range(0, len(texts), 100):
-        for text, ids in zip(texts[at : at + 100], own.encode(texts[at : at + 100])):
-            assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        ids, bounds = own.encode(pa.array(texts[at : at + 100]))
+        for text, a, b in zip(texts[at : at + 100], bounds, bounds[1:]):
+            assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("name", sorted(f.name for f in Path(WORD_BPE).parent.glob("*.json")))
+def test_word_ids_equal_the_library_for_every_file(name, given):
+    path = public_tokenizers.path(name)
+    own, library = packing.WordIds(open(path).read()), Tokenizer.from_file(path)
+    texts = random_texts(500, 9) + [t or "" for _, t in given][:60] + [t or "" for _, t in EDGES] + MARKED
+    ids, bounds = own.encode(pa.array(texts))
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert own.encode(pa.array([], pa.string()))[0].tolist() == [] and own.encode(pa.array([""]))[1].tolist() == [0, 0]
 
 
 def test_best_fill_is_the_closest():
