@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 from typing import TypeVar
 
@@ -68,13 +69,23 @@ def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and read it back:
     later steps read stored rows, so a lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, name)
     with dropping_shuffles(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for df in stored:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _kept: dict = {}
@@ -113,6 +124,24 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+#: Columns of documents that keep their names inside operators.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def whole_rows(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For an operator that returns rows of its first argument with all their columns: columns
+    that are not those of documents have other names inside it, so that none can clash with
+    a helper column or, by case alone, with a column of documents."""
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args: object, **options: object) -> DataFrame:
+        names = docs.columns
+        inside = [c if c in DOCUMENT_COLUMNS else f"_column_{k}" for k, c in enumerate(names)]
+        return operator(docs.toDF(*inside), *args, **options).select(*inside).toDF(*names)
+
+    return run
+
+
 def exactly(df: DataFrame, *columns: str) -> DataFrame:
     """Only these columns, found by their exact names: one that differs in case alone
     (``TEXT`` beside ``text``) clashes with none of them."""

@@ -4,11 +4,13 @@ A byte goes if a string of ``WINDOW`` bytes that covers it also starts in a docu
 smaller id.  To find these, suffixes are sorted far enough to tell their first ``WINDOW`` bytes.
 
 Where suffixes are sorted together: a window is represented by its smallest hashed
-``GRAM``-byte string (its anchor), which depends on the window's bytes only, so equal windows
-have equal anchors.  Anchors that occur in one text only cannot belong to a repeated window
-and are left out; those are counted by a grouped minimum and maximum, split over tasks.  The
-bytes around every other anchor are brought together by anchor, equal surroundings once with
-their smallest id.
+``GRAM``-byte string, the first one of several (its anchor), which depends on the window's bytes
+only, so equal windows have equal anchors.  Neighbouring windows with one anchor are a run; its
+surroundings are the bytes that they cover.  Anchors that occur in one text only cannot belong to a
+repeated window and are left out.  To tell which these are, tasks pack the anchors of many texts
+into arrays by hash; an anchor that a task meets in two texts is known to be shared there, the
+others meet in Spark, an array of each task for each bucket of hashes.  The surroundings of every
+shared anchor are brought together by anchor, equal ones once with their smallest id.
 
 How they are sorted: the surroundings of whole anchors are joined to one string, whose suffix
 array is built by the difference-cover algorithm (mod 3): suffixes at positions 1 and 2 mod 3
@@ -20,7 +22,8 @@ bytes are equal form a class, which gets its smallest document id.  An anchor wi
 one by Spark instead.
 
 Exact copies of a text are settled first (all but the smallest id lose every byte if they
-have ``WINDOW`` of them), so they add no suffixes.
+have ``WINDOW`` of them), so they add no suffixes.  Long texts are worked on in pieces of
+``PIECE`` windows.
 
 Defined results: NULL text counts as empty; texts shorter than ``WINDOW`` bytes stay;
 rows with the same id do not remove from each other; a NULL id counts as larger than all
@@ -39,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, rows_of, ship_package, store
+from riskloom.llm.common import discard, exactly, partitions, rows_of, ship_package, store
 
 WINDOW = 50
 GRAM = 20
@@ -49,8 +52,12 @@ CHOICES = WINDOW - GRAM + 1
 GROUP = 4096
 #: Surroundings that are joined to one string, as far as whole anchors allow.
 TOGETHER = 8192
-#: Bytes of a document that are hashed at a time.
+#: Bytes that are hashed at a time; a place among them fits the low bits of a hash.
 BLOCK = 1 << 18
+LOW = np.uint64((1 << 19) - 1)
+#: Windows of a piece of a text, and anchors that a task packs at a time.
+PIECE = 1 << 20
+PACKED = 1 << 20
 NO_ID = 2**63 - 1
 
 # Odd multipliers of the rolling combination.
@@ -82,21 +89,19 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the anchors of all windows of a text, and their hashes."""
-    found, hashes = [], []
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor: the first window, the number of windows, the bytes from
+    the first window to the anchor, and the anchor's hash."""
+    parts = []
     for at in range(0, len(data) - WINDOW + 1, BLOCK):
         h = gram_hashes(np.frombuffer(data, dtype=np.uint8, offset=at, count=min(BLOCK + WINDOW - 1, len(data) - at)))
-        least = _sliding(h, CHOICES, np.minimum)  # of each window
-        # a position is an anchor if one of the windows that hold it has no smaller hash
-        pad = np.zeros(CHOICES - 1, dtype=np.uint64)
-        chosen = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), CHOICES, np.maximum) == h)
-        found.append(chosen + at)
-        hashes.append(h[chosen])
-    if not found:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    positions, first = np.unique(np.concatenate(found), return_index=True)
-    return positions.astype(np.int64), np.concatenate(hashes)[first].view(np.int64)
+        ordered = (h & ~LOW) | np.arange(len(h), dtype=np.uint64)  # equal hashes in the order of their places
+        place = (_sliding(ordered, CHOICES, np.minimum) & LOW).astype(np.int64)  # of each window's anchor
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        parts.append((first + at, np.diff(np.append(first, len(place))), place[first] - first, h[place[first]].view(np.int64)))
+    if not parts:
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -169,61 +174,138 @@ def _data(text: str | None) -> bytes:
 def _rows(docs: DataFrame) -> DataFrame:
     """doc_id (NULL: the largest number), text, and a hash ``content`` of the text."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
-
-
-def _anchor_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for contents, texts in rows_of(batches, "content", "text"):
-        found = [np.unique(anchors(_data(t))[1]) for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(found)), pa.array(np.repeat(np.array(contents, dtype=np.int64), [len(f) for f in found]))], ["anchor", "content"]
-        )
-
-
-def _anchor_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, contents, texts in rows_of(batches, "doc_id", "content", "text"):
-        found = [anchors(_data(t)) for t in texts]
-        sizes = [len(p) for p, _ in found]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([h for _, h in found])),
-                pa.array(np.repeat(np.array(contents, dtype=np.int64), sizes)),
-                pa.array(np.repeat(np.array(ids, dtype=np.int64), sizes)),
-                pa.array(np.concatenate([p for p, _ in found])),
-            ],
-            ["anchor", "content", "doc_id", "position"],
-        )
+    return exactly(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
+
+
+_PACKED = "bucket int, sure boolean, first long, anchors binary, texts binary, begins binary, shapes binary"
+
+
+def _pack_anchors(buckets: int):
+    """Anchors of the texts of a task, packed by bucket of their hash.  Texts are numbered on from
+    ``first``.  Rows that are ``sure`` hold anchors that several of these texts have; for
+    other tasks one of them is also among the bucket's, with the text number -1."""
+    kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["bucket", "sure", "first", "anchors", "texts", "begins", "shapes"]
+
+    def pack(first: int, found: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sizes = [len(f[0]) for f in found]
+        begin, windows, left, anchor = (np.concatenate(c) for c in zip(*found))
+        if not len(anchor):
+            return
+        text = np.repeat(np.arange(len(found)), sizes)
+        shape = left * 64 + windows
+        order = np.argsort(anchor, kind="stable")  # of one anchor in the order of the texts
+        ordered, owner = anchor[order], text[order]
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        several = owner[heads] != owner[np.append(heads[1:], len(owner)) - 1]
+        sure = np.empty(len(anchor), dtype=bool)
+        sure[order] = np.repeat(several, np.diff(np.append(heads, len(ordered))))
+        known = ordered[heads[several]]
+        rest = np.flatnonzero(~sure)
+        columns = [
+            np.concatenate([anchor[rest], known]), np.concatenate([text[rest], np.full(len(known), -1)]).astype("<i4"),
+            np.concatenate([begin[rest], np.zeros(len(known), dtype=np.int64)]).astype("<u4"), np.concatenate([shape[rest], np.zeros(len(known), dtype=np.int64)]).astype("<u2"),
+        ]
+        bucket = ((columns[0].view(np.uint64) >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        columns = [c[order] for c in columns]
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        rows = [(k, False, first, *[c[a:b].tobytes() for c in columns]) for k, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())) if b > a]
+        here = np.flatnonzero(sure)
+        for at in range(0, len(here), 65536):
+            some = here[at : at + 65536]
+            rows.append((
+                (first + at // 65536) % buckets, True, first, anchor[some].tobytes(), text[some].astype("<i4").tobytes(),
+                begin[some].astype("<u4").tobytes(), shape[some].astype("<u2").tobytes(),
+            ))
+        for at in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 64]), kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held, size = 0, [], 0
+        for numbers, pieces in rows_of(batches, "t", "data"):
+            for t, data in zip(numbers, pieces):
+                if held and (size >= PACKED or t != first + len(held)):
+                    yield from pack(first, held)
+                    held, size = [], 0
+                if not held:
+                    first = t
+                held.append(anchors(data))
+                size += len(held[-1][0])
+        if held:
+            yield from pack(first, held)
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of their buckets: the places of the anchors that several texts have."""
+
+    def places(anchor, t, begin, shape) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(anchor), 65536):
+            part = slice(at, at + 65536)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(t[part]), pa.array(begin[part].astype(np.int64)), pa.array(shape[part].astype(np.int32)), pa.array(anchor[part])],
+                ["t", "begin", "shape", "anchor"],
+            )
+
+    def arrays(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        unpack = lambda k, kind: np.concatenate([np.frombuffer(r[k], dtype=kind) for r in rows])
+        text = unpack(2, "<i4")
+        t = np.repeat(np.array([r[0] for r in rows], dtype=np.int64), [len(r[2]) // 4 for r in rows]) + text
+        return unpack(1, "<i8"), np.where(text < 0, -1, t), unpack(3, "<u4"), unpack(4, "<u2")
+
+    def done(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        anchor, t, begin, shape = arrays(rows)
+        order = np.lexsort((t, anchor))  # -1, shared in another task, comes first
+        anchor, t, begin, shape = anchor[order], t[order], begin[order], shape[order]
+        heads = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        sizes = np.diff(np.append(heads, len(anchor)))
+        shared = (t[heads] != t[heads + sizes - 1]) & (t[heads + sizes - 1] >= 0)
+        chosen = np.repeat(shared, sizes) & (t >= 0)
+        yield from places(anchor[chosen], t[chosen], begin[chosen], shape[chosen])
+
+    held: list[tuple] = []
+    now = None
+    for buckets, sure, *columns in rows_of(batches, "bucket", "sure", "first", "anchors", "texts", "begins", "shapes"):
+        for bucket, s, row in zip(buckets, sure, zip(*columns)):
+            if s:
+                yield from places(*arrays([row]))
+                continue
+            if held and bucket != now:
+                yield from done(held)
+                held = []
+            now = bucket
+            held.append(row)
+    if held:
+        yield from done(held)
 
 
 _CONTEXT = "anchor long, key long, doc_id long, content long, begin long, windows int, context binary"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each anchor: up to ``CHOICES - 1`` before it and ``WINDOW`` from it."""
+    """The surroundings of each run of windows."""
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
             marks = batch.column("marks")
             sizes = pc.list_value_length(marks).to_numpy(zero_copy_only=False)
-            own = marks.flatten()
-            position, anchor = (own.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            begin = np.maximum(0, position - CHOICES + 1)
-            left = position - begin
+            begin, shape, anchor = (marks.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            left, windows = shape >> 6, shape & 63
             around: list[bytes] = []
             first = 0
-            for text, n in zip(batch.column("text").to_pylist(), sizes.tolist()):
-                data = _data(text)
+            for data, n in zip(batch.column("data").to_pylist(), sizes.tolist()):
                 here = slice(first, first + n)
-                around += [data[b:e] for b, e in zip(begin[here].tolist(), (position[here] + WINDOW).tolist())]
+                around += [data[b:e] for b, e in zip(begin[here].tolist(), (begin[here] + windows[here] + WINDOW - 1).tolist())]
                 first += n
-            # with the anchor, 128 bits that stand for surroundings and their place
+            # with the anchor, 128 bits that stand for surroundings and the anchor's place in them
             keys = np.array([xxhash.xxh3_64_intdigest(c, seed=k) for c, k in zip(around, left.tolist())], dtype=np.uint64).view(np.int64)
-            lengths = np.fromiter(map(len, around), dtype=np.int64, count=len(around))
-            ids = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("doc_id", "content")]
+            ids = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("doc_id", "content", "offset")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(anchor), pa.array(keys), *map(pa.array, ids), pa.array(begin),
-                    pa.array((np.minimum(left, lengths - WINDOW) + 1).astype(np.int32)), pa.array(around, pa.binary()),
+                    pa.array(anchor), pa.array(keys), pa.array(ids[0]), pa.array(ids[1]), pa.array(ids[2] + begin),
+                    pa.array(windows.astype(np.int32)), pa.array(around, pa.binary()),
                 ],
                 ["anchor", "key", "doc_id", "content", "begin", "windows", "context"],
             )
@@ -296,25 +378,36 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def pieces(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The first row of each text, cut into pieces that overlap by what a window needs, numbered
+    ``t`` within the stored partitions."""
+    once = rows.join(firsts.select("content", "doc_id"), ["content", "doc_id"], "left_semi").withColumn("data", F.col("text").cast("binary")).drop("text")
+    once = once.where(F.length("data") >= WINDOW)
+    parts = F.expr(f"sequence(0L, (length(data) - {WINDOW}) div {PIECE})")
+    cut = once.withColumn("_k", F.explode(parts)).select(
+        "doc_id", "content", (F.col("_k") * PIECE).alias("offset"), F.expr(f"substring(data, int(_k * {PIECE} + 1), {PIECE + WINDOW - 1})").alias("data")
+    )
+    return store(cut.withColumn("t", F.monotonically_increasing_id()), "op9-pieces", "zstd")
+
+
 def contexts_of_repeats(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """The surroundings of every anchor that occurs in two different texts, in the first row of each text."""
-    counted = rows.select("content", "text").mapInArrow(_anchor_hashes, "anchor long, content long")
-    shared = counted.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("anchor")
-    shared = store(shared, "op9-anchors")
-    places = rows.mapInArrow(_anchor_places, "anchor long, content long, doc_id long, position long")
-    # stored at once: only then is it small enough to be shuffled on
-    kept = store(places.join(shared, "anchor"), "op9-places")
-    marked = kept.join(firsts.select("content", "doc_id"), ["content", "doc_id"], "left_semi")
-    marks = store(marked.groupBy("content", "doc_id").agg(F.collect_set(F.struct("position", "anchor")).alias("marks")), "op9-positions")
-    around = rows.join(marks, ["content", "doc_id"]).mapInArrow(_contexts, _CONTEXT)
-    return store(around, "op9-contexts")
+    texts = pieces(rows, firsts)
+    count = partitions(rows.sparkSession)
+    packed = texts.select("t", "data").mapInArrow(_pack_anchors(count), _PACKED)
+    places = packed.repartition(count, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "t long, begin long, shape int, anchor long")
+    kept = store(places, "op9-places", "zstd")
+    marks = kept.groupBy("t").agg(F.collect_list(F.struct("begin", "shape", "anchor")).alias("marks"))
+    out = store(texts.join(marks, "t").select("doc_id", "content", "offset", "data", "marks").mapInArrow(_contexts, _CONTEXT), "op9-contexts", "zstd")
+    discard(texts, kept)
+    return out
 
 
 def repeated_spans(contexts: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, content, begin, end) of bytes that also stand in a document with a smaller id."""
     count = partitions(contexts.sparkSession)
     different = contexts.groupBy("anchor", "key").agg(F.min("doc_id").alias("first_id"), F.first("windows").alias("windows"), F.first("context").alias("context"))
-    different = store(different, "op9-different")
+    different = store(different, "op9-different", "zstd")
     crowded = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("anchor")
     few = different.join(crowded, "anchor", "left_anti")
     sorted_ = few.repartition(count, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups, "anchor long, key long, least array<bigint>")
@@ -326,7 +419,8 @@ def repeated_spans(contexts: DataFrame, group: int = GROUP) -> DataFrame:
     singly = windows.join(smallest, "window").groupBy("anchor", "key").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("start", "smallest"))), lambda x: x["smallest"]).alias("least")
     )
-    least = store(sorted_.unionByName(singly), "op9-least")
+    least = store(sorted_.unionByName(singly), "op9-least", "zstd")
+    discard(different)
     placed = contexts.select("anchor", "key", "doc_id", "content", "begin", "windows").join(least, ["anchor", "key"])
     return placed.mapInArrow(_spans, "doc_id long, content long, begin long, end long")
 
@@ -359,7 +453,9 @@ def suffix_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
     ids = store(rows.select("doc_id", "content", F.sha2("text", 256).alias("sha")), "op9-ids")
     firsts = store(ids.groupBy("sha").agg(F.min("doc_id").alias("doc_id"), F.first("content").alias("content")), "op9-firsts")
     copies = ids.join(firsts.select("sha", F.col("doc_id").alias("first_id")), "sha").where("doc_id > first_id")
-    spans = repeated_spans(contexts_of_repeats(rows, firsts), group)
+    contexts = contexts_of_repeats(rows, firsts)
+    spans = store(repeated_spans(contexts, group), "op9-spans", "zstd")
+    discard(contexts)
     removed = spans.groupBy("doc_id", "content").agg(F.collect_list(F.struct("begin", "end")).alias("spans")).withColumn("copy", F.lit(False))
     gone = copies.select("doc_id", "content", F.lit(None).cast("array<struct<begin:bigint,end:bigint>>").alias("spans"), F.lit(True).alias("copy")).dropDuplicates(["doc_id", "content"])
     marks = store(removed.unionByName(gone), "op9-marks")

@@ -191,16 +191,32 @@ def passages():
     return rows + [(50 + k, "ab" * rng.randrange(10, 60)) for k in range(6)] + [(60, shared[0]), (61, shared[0][:49]), (3, shared[1])]
 
 
-@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 2])
-def test_suffix_dedup(make, group):
-    got = lambda df: sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()), key=str)
-    rows = [r for r in EDGES if r[0] not in (7, 8)] + passages() + [(70, "y" * 3000), (71, "y" * 200)]
-    assert got(suffix_dedup.suffix_dedup(make(rows), group)) == brute_suffix(rows)
+def got_suffix(df):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("group,piece", [(suffix_dedup.GROUP, suffix_dedup.PIECE), (2, 64)])
+def test_suffix_dedup(make, monkeypatch, group, piece):
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    rows = EDGES + passages() + [(70, "y" * 3000), (71, "y" * 200)]
+    if piece == 64:  # hundreds of pieces of each long row are enough
+        rows = [(i, t[:20_000] if t else t) for i, t in rows]
+    assert got_suffix(suffix_dedup.suffix_dedup(make(rows), group)) == brute_suffix(rows)
+
+
+def test_suffix_dedup_of_a_hot_passage(make):
+    # a passage of a third of all rows, whole copies, and rows that repeat an id
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    hot = text(25)
+    rows = [(k, f"{text(12)} {hot} {text(12)}" if k % 3 == 0 else text(40)) for k in range(240)]
+    rows += [(300 + k, rows[1][1]) for k in range(20)] + [(5, rows[5][1]), (6, rows[9][1]), (400, hot), (None, rows[2][1])]
+    assert got_suffix(suffix_dedup.suffix_dedup(make(rows))) == brute_suffix(rows)
 
 
 def test_suffix_dedup_given_and_empty(spark, make, given):
-    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(documents(spark, SF)).collect()), key=str)
-    assert got == brute_suffix(given)
+    assert got_suffix(suffix_dedup.suffix_dedup(documents(spark, SF))) == brute_suffix(given)
     assert suffix_dedup.suffix_dedup(make([])).count() == 0
 
 
@@ -211,10 +227,20 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
 
 
+def windows_of(data):
+    """(window, place of its anchor, its hash) of every window."""
+    begin, windows, left, anchor = suffix_dedup.anchors(data)
+    return [(b + k, b + at, h) for b, n, at, h in zip(begin.tolist(), windows.tolist(), left.tolist(), anchor.tolist()) for k in range(n)]
+
+
 def test_anchors_do_not_depend_on_blocks(monkeypatch):
     rng = random.Random(3)
     data = bytes(rng.choice(b"abc ") for _ in range(3000))
-    whole = suffix_dedup.anchors(data)
+    whole = windows_of(data)
+    assert [w for w, _, _ in whole] == list(range(len(data) - 49))
     monkeypatch.setattr(suffix_dedup, "BLOCK", 64)
-    assert all((a == b).all() for a, b in zip(whole, suffix_dedup.anchors(data)))
-    assert len(suffix_dedup.anchors(b"x" * 49)[0]) == 0
+    assert windows_of(data) == whole
+    # equal windows have equal anchors at the same place
+    again = windows_of(b"xyz" + data[100:700])
+    assert [(a - 3 + 100, h) for w, a, h in again if w >= 3] == [(a, h) for w, a, h in whole if 100 <= w <= 700 - 50]
+    assert windows_of(b"x" * 49) == []
