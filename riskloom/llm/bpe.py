@@ -12,7 +12,8 @@ text chunks they met lately, so a frequent word is merged once.
 
 Defined results: NULL text counts as empty and has no ids; special tokens of the
 vocabulary that occur in a text get their own id, as the tokenizers library does
-by default; repeated rows and ids are encoded each; other columns are ignored.
+by default; repeated rows and ids are encoded each; other columns are ignored; an
+empty table gives no row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import rows_of, ship_package, worker_state
+from riskloom.llm.common import exactly, rows_of, ship_package, worker_state
 
 #: Chunks of a generation whose ids a worker keeps; it holds two generations.
 CACHE_ENTRIES = 500_000
@@ -176,7 +177,7 @@ def tokenize(docs: DataFrame, vocabulary: str) -> DataFrame:
                 [pa.array(keys, pa.int64()), pa.array([bpe.encode(t or "") for t in texts], pa.list_(pa.int32()))], ["doc_id", "ids"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def detokenize(tokens: DataFrame, vocabulary: str) -> DataFrame:
@@ -214,6 +215,6 @@ def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

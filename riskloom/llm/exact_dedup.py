@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, rows_of, same, ship_package, store
+from riskloom.llm.common import exactly, partitions, rows_of, same, ship_package, store, whole_rows
 
 # Two primes under 2**31 and a base for each; byte products and
 # sums of a chunk then stay under 2**63.
@@ -177,7 +177,7 @@ def exact_classes(docs: DataFrame, huge_chars: int = HUGE_CHARS, piece_chars: in
     h0, h1, n, class which are equal for equal normalised texts only."""
     spark = docs.sparkSession
     ship_package(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    docs = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     small = docs.where(F.col("text").isNull() | (F.length("text") <= huge_chars))
     big = huge_fingerprints(docs, huge_chars, piece_chars)
 
@@ -240,6 +240,7 @@ def exact_dedup(docs: DataFrame, **options) -> DataFrame:
     )
 
 
+@whole_rows
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.  Of rows that
     share id, normalised text and length one stays."""

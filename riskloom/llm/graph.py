@@ -5,6 +5,9 @@ knows (large star), then every node and its smaller neighbours to the smallest
 of them (small star).  Rounds end when a round changes nothing; the number of
 rounds grows with the logarithm of the longest chain.  All steps are grouped
 minimums and joins; each round is stored, so lineage stays short.
+
+Defined results: repeated links and links of a node to itself change nothing; a link with a NULL
+end is left out; other columns are ignored; a table without links gives no row.
 """
 
 from __future__ import annotations

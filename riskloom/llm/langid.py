@@ -11,13 +11,19 @@ its own is spelled by the vocabulary's byte pieces.
 The probabilities are learned by expectation maximisation: forward and backward
 passes give the expected number of uses of each piece, summed by Spark over the
 distinct words of the learning texts.  Learning takes up to ``SAMPLE_DOCS``
-documents of each of up to ``MAX_LANGUAGES`` languages (the smallest hashes of
-their ids, in expectation); every text is scored, whole.
+documents of each of up to ``max_languages`` languages, the most frequent ones (the
+documents of the smallest hashes of their ids, in expectation); every text is scored, whole.
+
+A posterior tells the languages apart but not text from junk.  ``accepted`` compares the best
+language's likelihood with that of the same letters drawn one by one, at the
+frequencies that they have in all learning texts: a text that the letters without an
+order explain better, by ``JUNK_MARGIN`` or more in logarithms, is rejected.
 
 Defined results: NULL text and text without a letter give ``und`` with score 0,
-as does a table from which no language can be learned; ties go to the language
-that sorts first; repeated rows are scored each; rows with a NULL or empty
-language are never learned from.
+as does a table from which no language can be learned (``accepted`` keeps all its
+rows, for nothing speaks against them); ties go to the language that sorts first; repeated
+rows are scored each; rows with a NULL or empty language are never learned from; other
+columns are ignored, or kept as they are by ``accepted``; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -34,12 +40,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, partitions, rows_of, ship_package, store, worker_state
+from riskloom.llm.common import exactly, held_out, partitions, rows_of, ship_package, store, whole_rows, worker_state
 
 #: Learning documents of a language; bounds the model's cost, not what is scored.
 SAMPLE_DOCS = 2000
-#: The most frequent languages are learned.
+#: The most frequent languages are learned; bounds the size of the model, which is broadcast.
 MAX_LANGUAGES = 200
+#: How much better, in logarithms, letters without an order must explain a text that is junk.
+JUNK_MARGIN = 12.0
 ROUNDS = 2
 SMOOTHING = 0.1
 UNDETERMINED = "und"
@@ -57,6 +65,7 @@ class Model(NamedTuple):
     pieces: dict[str, int]  # piece -> row of ``probabilities``
     byte_rows: list[int]  # rows of the 256 byte pieces
     probabilities: np.ndarray  # pieces x languages
+    letters: dict[str, float]  # logarithm of each letter's frequency; MARK stands for a word's start
 
 
 def read_pieces(path: str) -> tuple[dict[str, int], list[int]]:
@@ -126,6 +135,28 @@ def log_likelihood(word: str, rows: dict[str, list[float]], byte_rows: list[list
     return [math.log(alpha[n][k]) + scale[k] for k in every]
 
 
+def _sum_of_logs(values: list[float]) -> float:
+    top = max(values, default=-math.inf)
+    return top if top == -math.inf else top + math.log(math.fsum(math.exp(v - top) for v in values))
+
+
+def _expected_uses_by_logs(grid: list, p: np.ndarray, into: dict[int, float], weight: float) -> None:
+    """``expected_uses`` of a word whose forward values leave the range of plain numbers."""
+    n = len(grid) - 1
+    values = [[math.fsum(math.log(p[r]) for r in rows) for _, rows in here] for here in grid]
+    forward = [0.0]
+    for end in range(1, n + 1):
+        forward.append(_sum_of_logs([forward[start] + v for (start, _), v in zip(grid[end], values[end])]))
+    ways: list[list[float]] = [[] for _ in range(n)] + [[0.0]]
+    for end in range(n, 0, -1):
+        back = _sum_of_logs(ways[end])
+        for (start, rows), v in zip(grid[end], values[end]):
+            ways[start].append(back + v)
+            uses = weight * math.exp(forward[start] + v + back - forward[n])
+            for r in rows:
+                into[r] = into.get(r, 0.0) + uses
+
+
 def expected_uses(word: str, pieces: dict[str, int], byte_rows: list[int], p: np.ndarray, into: dict[int, float], weight: float) -> None:
     """Add ``weight`` times the expected uses of each piece in ``word``."""
     grid = edges(word, pieces, byte_rows)
@@ -141,8 +172,8 @@ def expected_uses(word: str, pieces: dict[str, int], byte_rows: list[int], p: np
             here.append(value)
             forward[end] += forward[start] * value
         values.append(here)
-    if forward[n] < 1e-280:
-        return  # too long for plain numbers, and too rare to matter
+    if forward[n] < 1e-280:  # too long for plain numbers
+        return _expected_uses_by_logs(grid, p, into, weight)
     backward = [0.0] * n + [1.0]
     for end in range(n, 0, -1):
         for (start, _), value in zip(grid[end], values[end - 1]):
@@ -157,7 +188,7 @@ def expected_uses(word: str, pieces: dict[str, int], byte_rows: list[int], p: np
 
 def learning_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
     """(lang, word, n) of the learning documents."""
-    usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
+    usable = exactly(docs, "doc_id", "text", "lang").select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         ~held_out(F.col("doc_id"), 4, 2) & F.col("text").isNotNull() & (F.length("lang") > 0)
     )
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
@@ -181,14 +212,25 @@ def learning_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_language
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS) -> Model:
+def letter_frequencies(words: DataFrame) -> dict[str, float]:
+    """Logarithms of the letters' shares in all learning words, each with its start; a number for each
+    character of Unicode at most."""
+    letters = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c"), "word", "n").where("c <> ''")
+    times = F.length("word") - F.length(F.replace("word", F.col("c")))
+    counts = {r.c: r.n for r in letters.groupBy("c").agg(F.sum(F.col("n") * times).alias("n")).collect()}
+    counts[MARK] = words.agg(F.sum("n")).first()[0] or 0
+    total = sum(counts.values()) + SMOOTHING
+    return {c: math.log(n / total) for c, n in counts.items() if n}
+
+
+def learn(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, rounds: int = ROUNDS, max_languages: int = MAX_LANGUAGES) -> Model:
     """Piece probabilities of every language; what reaches the driver is a number
     for each language and piece."""
     spark = docs.sparkSession
     ship_package(spark)
     pieces, byte_rows = read_pieces(vocabulary)
     size = 1 + max([*pieces.values(), *byte_rows])
-    words = store(learning_words(docs, sample_docs), "op6-words")
+    words = store(learning_words(docs, sample_docs, max_languages), "op6-words")
     languages = [r.lang for r in words.select("lang").distinct().orderBy("lang").collect()]
     column = {lang: k for k, lang in enumerate(languages)}
     p = np.full((size, len(languages)), 1.0 / size)
@@ -214,7 +256,7 @@ def learn(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, roun
         counts = np.full(p.shape, SMOOTHING)
         counts[uses["row"], uses["k"]] += uses["uses"]
         p = counts / counts.sum(axis=0)
-    return Model(languages, pieces, byte_rows, p)
+    return Model(languages, pieces, byte_rows, p, letter_frequencies(words))
 
 
 class Scorer:
@@ -225,59 +267,69 @@ class Scorer:
         values = model.probabilities.tolist()
         self.rows = {piece: values[r] for piece, r in model.pieces.items()}
         self.byte_rows = [values[r] for r in model.byte_rows]
+        self.letters = model.letters
+        self.unseen = min(model.letters.values(), default=0.0)
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.languages)))
+        # of each word: the logarithms for each language, and for letters without an order
+        self.scores = np.zeros((1024, len(self.languages) + 1))
 
     def _learn(self, words: set[str]) -> None:
         for w in words:
             at = len(self.known)
             if at == len(self.scores):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[at] = log_likelihood(w, self.rows, self.byte_rows, len(self.languages))
+            self.scores[at, :-1] = log_likelihood(w, self.rows, self.byte_rows, len(self.languages))
+            self.scores[at, -1] = sum(self.letters.get(c, self.unseen) for c in MARK + w)
             self.known[w] = at
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """The language, its posterior, and how much better the language explains the text than
+        letters without an order."""
         words = words_of(text)
         if not words or not self.languages:
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0.0
         if len(self.known) > CACHE_ENTRIES:
             self._forget()
         missing = {w for w in words if w not in self.known}
         if missing:
             self._learn(missing)
         total = self.scores[np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
+        total, unordered = total[:-1], total[-1]
         best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum()), float(total[best] - unordered)
 
 
 def prediction(spark: SparkSession, model: Model, text: Column) -> Column:
-    """A struct (lang_pred, score) for a column of texts."""
+    """A struct (lang_pred, score, evidence) for a column of texts."""
     shared = spark.sparkContext.broadcast(model)
     number = shared._jbroadcast.id() if shared._jbroadcast else id(shared)
 
-    @pandas_udf("lang_pred string, score double")
+    @pandas_udf("lang_pred string, score double, evidence double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         scorer = worker_state(("langid", number), lambda: Scorer(shared.value))
         out = [scorer.predict(t) for t in texts]
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+        return pd.DataFrame(out, columns=["lang_pred", "score", "evidence"])
 
     return predict(text)
 
 
-def identify(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def identify(docs: DataFrame, vocabulary: str, sample_docs: int = SAMPLE_DOCS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
-    model = learn(docs, vocabulary, sample_docs)
-    scored = docs.select(F.col("doc_id").cast("long"), prediction(docs.sparkSession, model, F.col("text")).alias("p"))
+    model = learn(docs, vocabulary, sample_docs, max_languages=max_languages)
+    scored = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), prediction(docs.sparkSession, model, F.col("text")).alias("p"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "p.lang_pred", "p.score")
 
 
-def accepted(docs: DataFrame, vocabulary: str, least: float = 0.0, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows whose language can be told, with all their columns; with ``least``, only those
-    with at least that posterior."""
-    model = learn(docs, vocabulary, sample_docs)
-    p = "_language_prediction"
-    scored = docs.withColumn(p, prediction(docs.sparkSession, model, F.col("text")))
-    return scored.where((F.col(p)["lang_pred"] != UNDETERMINED) & (F.col(p)["score"] >= least)).drop(p)
+@whole_rows
+def accepted(docs: DataFrame, vocabulary: str, margin: float = JUNK_MARGIN, sample_docs: int = SAMPLE_DOCS, max_languages: int = MAX_LANGUAGES) -> DataFrame:
+    """The rows whose language can be told and that are better explained by it than by letters
+    without an order, with all their columns."""
+    model = learn(docs, vocabulary, sample_docs, max_languages=max_languages)
+    if not model.languages:
+        return docs
+    p = F.col("_prediction")
+    scored = docs.withColumn("_prediction", prediction(docs.sparkSession, model, F.col("text")))
+    return scored.where((p["lang_pred"] != UNDETERMINED) & (p["evidence"] > -margin)).drop("_prediction")

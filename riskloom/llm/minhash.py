@@ -12,7 +12,8 @@ likeness is estimated as (matches / BINS - C) / (1 - C), within 0 and 1.
 Defined results: words are what stands between white space, as written; a text
 with fewer words than a shingle is one shingle; NULL text and text without a word have
 the empty fingerprint, which is like itself (1) and like nothing else (0);
-rows with the same id are ordered by a hash of their text, NULL ids come first; an only row is its own neighbour.
+rows with the same id are ordered by a hash of their text, NULL ids come first; an only row is its own neighbour;
+other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, rows_of, ship_package, store
+from riskloom.llm.common import exactly, partitions, rows_of, ship_package, store
 
 SHINGLE = 5
 BINS = 512
@@ -190,7 +191,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for ids, texts in rows_of(batches, "doc_id", "text"):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([pack(sketch(t)) for t in texts])], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string")
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship_package(spark)
     # texts are no part of the range keys, of which Spark brings a sample to the driver
-    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    keyed = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     ordered = keyed.repartitionByRange(partitions(spark), "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
     ends = ", task int, first_text string, last_text string"
     rows = store(ordered.mapInArrow(_neighbours, _COLUMNS + ends), "op1-rows")

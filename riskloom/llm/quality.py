@@ -13,7 +13,8 @@ computed in blocks, and its ``NEIGHBOURS`` nearest vote with their similarities.
 Defined results: NULL text counts as empty; a text without a term has no direction
 and gets the share of label 1 among the learned rows; without learned rows every score is 0;
 of several labels of an id the largest counts; labels other than 0 and 1 are
-not learned from; repeated rows are scored each.
+not learned from; repeated rows are scored each, and learned from once; other columns
+are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, rows_of, ship_package
+from riskloom.llm.common import exactly, held_out, rows_of, ship_package
 from riskloom.llm.toxicity import learning_rows
 
 #: Columns of hashed words, then of hashed shapes.
@@ -107,7 +108,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
             counts[SLOTS] += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOTS + 1), pa.int32()), pa.array(counts)], ["slot", "n"])
 
-    got = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    got = exactly(docs, "text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SLOTS + 1)
     counts[got["slot"]] = got["n"]
     return int(counts[SLOTS]), counts[:SLOTS]
@@ -157,8 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "quality", sample_ro
             )
 
     got = rows.mapInArrow(run, "doc_id long, slots binary, weights binary, label int").toPandas()
-    # repeated rows of an id fall under the bound too
-    got = got.sort_values(["doc_id", "slots"]).iloc[:sample_rows]
+    got = got.sort_values(["doc_id", "slots"])
     table = np.zeros((len(got), SLOTS), dtype=np.float32)
     for i, (slots, weights) in enumerate(zip(got["slots"], got["weights"])):
         table[i, np.frombuffer(slots, dtype=np.int16)] = np.frombuffer(weights, dtype=np.float16)
@@ -202,5 +202,5 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, least: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted (score of ``least`` or more) of every row."""
     model = learn(docs, labels, "quality", sample_rows)
-    scored = docs.select(F.col("doc_id").cast("long"), score(docs.sparkSession, model, F.col("text")).alias("score"))
+    scored = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), score(docs.sparkSession, model, F.col("text")).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= least).cast("int").alias("predicted"))

@@ -4,6 +4,8 @@ A candidate is a run of at least ``MIN_LENGTH`` key-like characters that mixes
 letters and digits, opens with the prefix of a public key format or stands after an assignment.
 So is what an assignment gives, with any marks and from ``MIN_ASSIGNED`` characters on: the whole
 quoted string (of one line), the run without a blank, and the part of user:value@host between the marks.
+Further forms: what follows ``Bearer`` or ``Basic``, the content of a markup element, the value behind a
+command-line flag (of names that speak of credentials, both), and the body of a private key block.
 Candidates may overlap; each is judged, and every character of a secret is replaced.  Most candidates are harmless
 (identifiers, checksums, long words), so each is described by its length, its
 character transitions (changes of character class, and how unusual its letter
@@ -19,7 +21,8 @@ MLlib trains the forest; its nodes, a bounded list, are broadcast, so every text
 redacted where it lies, without a shuffle.
 
 Defined results: NULL and empty text have no candidate and stay as they are; repeated rows
-are scanned each; a table from which no finding can be learned marks nothing.
+are scanned each; a table from which no finding can be learned marks nothing; other columns are
+ignored, or kept as they are by ``redact``; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, rows_of, ship_package, store
+from riskloom.llm.common import exactly, held_out, rows_of, ship_package, store, whole_rows
 from riskloom.session import scratch_path
 
 MIN_LENGTH = 12
@@ -56,7 +59,7 @@ RUN = re.compile(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{%d,}(?:={1,2}(?![A-Za-z
 #: Prefixes of public key formats: such a run needs neither a digit nor an assignment.
 PREFIXES = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-")
 #: Without one of these a text has no candidate.
-MAYBE = re.compile("[0-9=:]|" + "|".join(PREFIXES))
+MAYBE = re.compile("[0-9=:<]|--|" + "|".join(PREFIXES))
 ASSIGNED = re.compile(r"[=:]>?\s*[\"'`]?$")
 #: What opens a value; the value itself is matched where this ends, so assignments inside it are met too.
 OPERATOR = re.compile(r"(?:[=:]>|[=:]+)(?!//)\s*")
@@ -72,6 +75,11 @@ PASSWORD_WORDS = frozenset("pass passphrase passwd password pwd secret".split())
 MAIL_WORDS = frozenset("contact email mail mailto".split())
 CREDENTIAL_WORDS = frozenset("access account api apikey auth authorization aws bearer client credential key login pass passphrase passwd password private pwd secret signature token".split())
 HARMLESS_WORDS = frozenset("changeme checksum commit digest dummy example fake hash here md5 placeholder revision sample sha sha1 sha256 test uuid version your".split())
+_NAMES = "|".join(sorted(CREDENTIAL_WORDS))
+BEARER = re.compile(r"\b(?:[Bb]earer|BEARER|[Bb]asic)[ \t]+([A-Za-z0-9._~+/\-]{8,}={0,2})")
+ELEMENT = re.compile(rf"<([\w.:\-]{{0,40}}(?:{_NAMES})[\w.:\-]{{0,40}})(?:\s[^<>]{{0,200}})?>([^<>\n]+)</\1>", re.IGNORECASE)
+FLAG = re.compile(rf"(?<![\w\-])--?[\w\-]{{0,40}}(?:{_NAMES})[\w\-]{{0,40}}[ \t]+(?!-)[\"'`]?([^\s\"'`]+)", re.IGNORECASE)
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----\s*((?:(?!-----).)+?)\s*-----END ", re.DOTALL)
 FILE_ENDINGS = frozenset("css csv html jpg js json md pdf png py txt xml yaml yml".split())
 
 FEATURES = [
@@ -104,6 +112,24 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(frozenset(words), {p: -math.log2(n / first[p[0]]) for p, n in count.items()})
 
 
+def closed_length(value: str) -> int:
+    """Length of a value without the marks that close a sentence, a quote or an outer bracket."""
+    end, spare = len(value), {c: value.count(c) - value.count(o) for o, c in zip("([{<", ")]}>")}
+    while end and ((c := value[end - 1]) in ".,;\"'`" or spare.get(c, 0) > 0):
+        if c in spare:
+            spare[c] -= 1
+        end -= 1
+    return end
+
+
+def other_forms(text: str) -> Iterator[Candidate]:
+    """Values behind Bearer, in elements, behind flags, and bodies of private key blocks."""
+    for form in (BEARER, ELEMENT, FLAG, KEY_BLOCK):
+        for m in form.finditer(text):
+            group = m.lastindex or 1
+            yield Candidate(m.start(group), m.end(group) - m.start(group))
+
+
 def assigned_values(text: str) -> Iterator[Candidate]:
     """What the assignments of a text give, quotes and closing marks left out."""
     for m in OPERATOR.finditer(text):
@@ -115,9 +141,7 @@ def assigned_values(text: str) -> Iterator[Candidate]:
         value = UNQUOTED.match(text, at)[0]
         if len(value) < MIN_ASSIGNED:
             value = WHOLE.match(text, at)[0]
-        while value and (value[-1] in ".,;\"'`" or value[-1] in ")]}>" and value.count(value[-1]) > value.count("([{<"[")]}>".index(value[-1])])):
-            value = value[:-1]
-        yield Candidate(at, len(value))
+        yield Candidate(at, closed_length(value))
         if at == m.start() + 1 and (user := USERINFO.match(text, at)):
             yield Candidate(at, len(user[1]))
 
@@ -126,7 +150,7 @@ def candidates(text: str | None) -> list[Candidate]:
     """All candidates of a whole text, by their places."""
     if not text or not MAYBE.search(text):
         return []
-    out = {c for c in assigned_values(text) if c.length >= MIN_ASSIGNED}
+    out = {c for form in (assigned_values, other_forms) for c in form(text) if c.length >= MIN_ASSIGNED}
     for m in RUN.finditer(text):
         value = m.group()
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
@@ -251,6 +275,13 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         (f"{name}: @", dotted, 1),
         ("db://user:@@site.example/x", (marked, weak)[pick % 2], 1),
         ("user:@@site.example", (weak, marked)[pick % 2], 1),
+        ("Authorization: Bearer @", dotted, 1),
+        (f"<{given}>@</{given}>", (marked, weak)[pick % 2], 1),
+        (f"run --{given} @ now", (weak, marked)[pick % 2], 1),
+        ("-----BEGIN PRIVATE KEY-----\n@\n-----END PRIVATE KEY-----", "\n".join(_digest(f"{seed}/key/{i}", _ALNUM + "+/", 64) for i in range(4 + pick % 20)), 1),
+        (f"<{plain}>@</{plain}>", phrase, 0),
+        (f"<{given}>@</{given}>", f"your {given} here", 0),
+        (f"run --{plain} @ now", word, 0),
         ("mailto:@@site.example", (weak, word)[pick % 2], 0),
         (f"{given}: @", word, 0),
         (f"{plain}: @", (weak, word)[pick % 2], 0),
@@ -282,12 +313,16 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
     return out
 
 
+def _source_column(docs: DataFrame) -> list[str]:
+    return ["source"] if "source" in docs.columns else []
+
+
 def labelled_findings(docs: DataFrame, vocabulary: Vocabulary, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(features, label, weight) from documents outside the fold that is kept for judging.  The
     candidates of a document weigh no more together than the findings set into its words."""
     ship_package(docs.sparkSession)
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
-    usable = docs.select("doc_id", "text", source.alias("source")).where(~held_out(F.col("doc_id"), 5, 0) & F.col("text").isNotNull())
+    usable = exactly(docs, "doc_id", "text", *_source_column(docs)).select("doc_id", "text", source.alias("source")).where(~held_out(F.col("doc_id"), 5, 0) & F.col("text").isNotNull())
     n = usable.count()
     chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < min(1.0, sample_docs / max(n, 1)) * (1 << 20))
 
@@ -404,10 +439,11 @@ def scan(docs: DataFrame, vocabulary_path: str, findings: DataFrame | None = Non
             columns = zip(*out) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "start", "length", "value_sha256", "score", "predicted"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", source.alias("source"))
+    rows = exactly(docs, "doc_id", "text", *_source_column(docs)).select(F.col("doc_id").cast("long"), "text", source.alias("source"))
     return rows.mapInArrow(run, "doc_id long, start long, length long, value_sha256 string, score double, predicted int")
 
 
+@whole_rows
 def redact(docs: DataFrame, vocabulary_path: str, findings: DataFrame | None = None, least: float = 0.5) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``REDACTED``; ``n_chars``, where the table
     has it, follows the changed texts."""

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, rows_of, same, ship_package, store
+from riskloom.llm.common import exactly, partitions, rows_of, same, ship_package, store, whole_rows
 from riskloom.llm.graph import connected_components
 
 BITS = 64
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             fp = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(fp)], ["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
@@ -302,6 +302,7 @@ def near_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket: int
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@whole_rows
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
     """One row of each component, with all columns: that of the smallest id.  Rows
     that all have the id NULL are kept."""

@@ -9,13 +9,14 @@ evidence passes a threshold, so the scoring weights are a short list.
 Learning takes up to ``SAMPLE_ROWS`` labelled rows (the smallest hashes of their
 ids).  They are dealt to ``SHARDS`` groups; in each of ``ROUNDS`` rounds every group
 runs over its own rows from the shared state, and Spark averages the states by
-slot.  Every text is scored, whole.
+slot.  After a round only the bias and the slots whose z is beyond a quarter of L1 are handed on; a
+slot below has weight zero and starts anew, which bounds the states.  Every text is scored, whole.
 
 Defined results: NULL text counts as empty and is scored from the bias alone;
 NULL or repeated labels: a row with a label other than 0 and 1 is not learned
 from, and of several labels of an id the largest counts; without any learning row
 every score is 0.5 from no evidence, reported as 0 (``predicted`` 0); repeated rows
-are scored each.
+are scored each, and learned from once; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import held_out, rows_of, ship_package, store, worker_state
+from riskloom.llm.common import exactly, held_out, rows_of, ship_package, store, worker_state
 
 HASH_BITS = 20
 #: Labelled rows that are learned from; bounds the model's cost, not what is scored.
@@ -102,14 +103,18 @@ class Weights(NamedTuple):
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, column: str, sample_rows: int) -> DataFrame:
-    """(doc_id, text, label) of the labelled rows that are learned from."""
+    """(doc_id, text, label) of the labelled rows that are learned from: at most ``sample_rows``,
+    one for each text of an id, however often ids and rows repeat."""
     known = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("int").alias("label")).where(
         ~held_out(F.col("doc_id"), 5, 0) & F.col("label").isin(0, 1)
     )
     one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    # at most ``sample_rows`` pairs of numbers are broadcast
-    return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+    # at most ``sample_rows`` rows of numbers are broadcast, here and below
+    rows = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_text"))
+    own = rows.join(F.broadcast(chosen), "doc_id")
+    kept = own.select("doc_id", "_text").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "_text").limit(sample_rows)
+    return own.join(F.broadcast(kept), ["doc_id", "_text"]).dropDuplicates(["doc_id", "_text"]).drop("_text")
 
 
 def _round(shared):
@@ -195,5 +200,5 @@ def score(spark: SparkSession, weights: Weights, text: Column) -> Column:
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted (score of 0.5 or more) of every row."""
     weights = learn(docs, labels, "toxic", sample_rows)
-    scored = docs.select(F.col("doc_id").cast("long"), score(docs.sparkSession, weights, F.col("text")).alias("score"))
+    scored = exactly(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), score(docs.sparkSession, weights, F.col("text")).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -82,6 +84,43 @@ def test_language_edges(make):
     assert kept.columns[-1] == "score" and {r.doc_id for r in kept.collect()} == {0, 3}
 
 
+def test_long_runs_of_letters_teach_as_well():
+    # the same expected uses by logarithms as by plain numbers, and words beyond these
+    pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4}
+    p = np.full(261, 0.07)
+    for word in ("ab", "aabba", "abababab"):
+        plain, logs = {}, {}
+        langid.expected_uses(word, pieces, list(range(5, 261)), p, plain, 2.0)
+        langid._expected_uses_by_logs(langid.edges(word, pieces, list(range(5, 261))), p, logs, 2.0)
+        assert plain.keys() == logs.keys() and all(plain[k] == pytest.approx(logs[k]) for k in plain)
+    tiny = np.full(261, 1.0 / 32_000)
+    for word in ("漢" * 80, "ӝ" * 25, "ab" * 300):
+        found = {}
+        langid.expected_uses(word, pieces, list(range(5, 261)), tiny, found, 1.0)
+        spelled = {0: 1, 1: 2, 2: 1, 3: 1, 4: 2}
+        units = sum(n * spelled.get(r, 1 / len(word[0].encode())) for r, n in found.items())
+        assert units == pytest.approx(1 + len(word))
+
+
+def test_junk_is_rejected_and_clean_text_kept(tables, make):
+    docs, _ = tables
+    rng = random.Random(4)
+    clean = [(r.doc_id, r.text, r.lang) for r in docs.limit(150).collect()]
+    short = [(10_000 + k, " ".join(t.split()[:n]), "en") for k, (_, t, _) in enumerate(clean[:60]) for n in (1 + k % 4,) if t and t.split()]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = ["".join(rng.choice(letters + " ") for _ in range(300)) for _ in range(10)]
+    junk += [base64.b64encode(rng.randbytes(200)).decode() for _ in range(10)]
+    junk += [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(20)) for _ in range(10)]
+    rows = clean + short + [(20_000 + k, t, "en") for k, t in enumerate(junk)]
+    # what is learned from is mostly clean
+    kept = {r.doc_id for r in langid.accepted(make(rows), PIECES).collect()}
+    lettered = {i for i, t, _ in clean + short if langid.words_of(t)}
+    assert not {i for i in kept if i >= 20_000}
+    assert lettered <= kept
+    # nothing is learned: nothing is rejected
+    assert langid.accepted(make([(1, "abc", None), (2, "123", None), (3, None, None)]), PIECES).count() == 3
+
+
 # ------------------------------------------------------------------ toxicity
 def test_ftrl_equals_its_definition():
     state = toxicity.Ftrl(np.zeros(6), np.zeros(6))
