@@ -3,6 +3,10 @@
 Each stage is a function (spark, docs, sf_dir) -> DataFrame that works on all its
 predecessor kept; all but the last return the columns of ``documents``.
 ``run`` applies them to the documents table and stores what each stage returns.
+
+Defined results of every stage: an empty table gives no row; other columns are kept (packing
+ignores them), also where they clash with a helper's name; of NULLs, empty and repeated texts the
+operators' own modules speak.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ from riskloom.llm.common import documents, store
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents whose language cannot be told go."""
+    """Operator 6: documents go that have no letter, or that letters without an order explain better
+    than the best language does."""
     return langid.accepted(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
