@@ -55,9 +55,10 @@ TOGETHER = 8192
 #: Bytes that are hashed at a time; a place among them fits the low bits of a hash.
 BLOCK = 1 << 18
 LOW = np.uint64((1 << 19) - 1)
-#: Windows of a piece of a text, and anchors that a task packs at a time.
+#: Windows of a piece of a text, anchors that a task packs at a time, and buckets of a shuffle partition.
 PIECE = 1 << 20
-PACKED = 1 << 20
+PACKED = 1 << 18
+BUCKETS = 4
 NO_ID = 2**63 - 1
 
 # Odd multipliers of the rolling combination.
@@ -267,9 +268,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held: list[tuple] = []
     now = None
-    for buckets, sure, *columns in rows_of(batches, "bucket", "sure", "first", "anchors", "texts", "begins", "shapes"):
-        for bucket, s, row in zip(buckets, sure, zip(*columns)):
-            if s:
+    for batch in batches:
+        for k in range(batch.num_rows):  # one row at a time: a row holds many anchors
+            bucket, sure, *row = (batch.column(c)[k].as_py() for c in range(7))
+            if sure:
                 yield from places(*arrays([row]))
                 continue
             if held and bucket != now:
@@ -394,7 +396,7 @@ def contexts_of_repeats(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """The surroundings of every anchor that occurs in two different texts, in the first row of each text."""
     texts = pieces(rows, firsts)
     count = partitions(rows.sparkSession)
-    packed = texts.select("t", "data").mapInArrow(_pack_anchors(count), _PACKED)
+    packed = texts.select("t", "data").mapInArrow(_pack_anchors(BUCKETS * count), _PACKED)
     places = packed.repartition(count, "bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "t long, begin long, shape int, anchor long")
     kept = store(places, "op9-places", "zstd")
     marks = kept.groupBy("t").agg(F.collect_list(F.struct("begin", "shape", "anchor")).alias("marks"))
