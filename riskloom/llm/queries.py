@@ -86,6 +86,25 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id NULLS LAST)
 """
 
+#: Windows as hexadecimal digits; gaps and islands of what goes; the rest joined and hashed as bytes.
+SUFFIX_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+n AS (SELECT doc_id, x, (length(x) // 2)::BIGINT AS n_bytes FROM d),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(n_bytes - 49)) AS i FROM n WHERE n_bytes >= 50)),
+first AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
+gone AS (SELECT doc_id, i FROM w JOIN first USING (s) WHERE least < doc_id),
+breaks AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM gone),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM breaks),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, run),
+pieces AS (SELECT doc_id, run, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS kept_from FROM spans),
+cut AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans,
+         string_agg(substr(x, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY run) || substr(any_value(x), 2 * max(b) + 1) AS kept
+  FROM pieces JOIN n USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM n LEFT JOIN cut USING (doc_id)
+"""
+
 SEARCH_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -190,6 +209,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_suffix_dedup": SUFFIX_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
     "op11_search": SEARCH_SQL,
     "op12_divergence": DIVERGENCE_SQL,

@@ -279,9 +279,8 @@ def planted(words: list[str], seed: str) -> list[tuple[str, int, int, int]]:
         (f"<{given}>@</{given}>", (marked, weak)[pick % 2], 1),
         (f"run --{given} @ now", (weak, marked)[pick % 2], 1),
         ("-----BEGIN PRIVATE KEY-----\n@\n-----END PRIVATE KEY-----", "\n".join(_digest(f"{seed}/key/{i}", _ALNUM + "+/", 64) for i in range(4 + pick % 20)), 1),
-        (f"<{plain}>@</{plain}>", phrase, 0),
-        (f"<{given}>@</{given}>", f"your {given} here", 0),
-        (f"run --{plain} @ now", word, 0),
+        (f"<{given}>@</{given}>", (f"your {given} here", word)[pick % 2], 0),
+        (f"run --{given} @ now", word, 0),
         ("mailto:@@site.example", (weak, word)[pick % 2], 0),
         (f"{given}: @", word, 0),
         (f"{plain}: @", (weak, word)[pick % 2], 0),
