@@ -5,17 +5,16 @@ merges the partial maps of a group in one task.  This operator computes the
 same numbers (linear interpolation between the closest ranks,
 ``pos = p * (n - 1)``) by narrowing the range that holds each needed rank:
 
-1. per group (and per value column -- several columns are unpivoted into one
-   long table and handled in the same pass): the count of values;
-2. every value as a 64-bit integer of the same order (``functions.ordered_bits``). A
-   histogram of its first 16 bits (partial aggregation; at most 65 536 rows of a group)
-   finds the bin that holds each needed rank;
-3. the values of these bins are stored, and the next 16 bits are counted inside them only.
+1. every value as a 64-bit integer of the same order (``functions.ordered_bits``).  Per group
+   (and per value column -- several columns are unpivoted into one long table and handled in
+   the same pass), a histogram of its first 16 bits (partial aggregation; at most 65 537 rows
+   of a group) gives the number of values and the bin that holds each needed rank;
+2. the values of these bins are stored, and the next 16 bits are counted inside them only.
    A rank is found when its bin holds one value, after four passes at the latest, whatever the
    range of the values: 1e-300, 1e300 and infinite ones lie in one histogram.
 
-No step sorts rows or keeps distinct values.  The first pass and the choice of what is stored scan
-the input: pass a table (or a materialised intermediate), not an expensive lazy plan.
+No step sorts rows or keeps distinct values.  The input is scanned twice, by the first pass and
+for what is stored: pass a table (or a materialised intermediate), not an expensive lazy plan.
 """
 
 from __future__ import annotations
@@ -68,44 +67,49 @@ def exact_quantiles(
         ).alias("_kv"),
     ).select(*by, F.col("_kv._col").alias("_col"), F.col("_kv._v").alias("_v"))
     valid = F.col("_v").isNotNull() & ~F.isnan("_v")
-    data = stacked.where(valid).withColumn("_bits", ordered_bits(F.col("_v")))
+    data = stacked.withColumn("_bits", F.when(valid, ordered_bits(F.col("_v"))))
 
-    # every group gets a stats row (count 0 when it has no value)
-    stats = stacked.groupBy(*keys).agg(F.count_if(valid).alias("_n"))
-    # Needed 0-based ranks: floor and ceil of p * (n - 1) for every prob.
-    probed = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_prob")) for i, p in enumerate(probs)])
-    ranks = stats.where("_n > 0").withColumn("_p", F.explode(probed))
-    ranks = ranks.select(*keys, "_n", "_p._i", (F.col("_p._prob") * (F.col("_n") - 1)).alias("_pos"))
-    targets = ranks.withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))))
-    targets = materialize(targets.withColumns({"_before": F.lit(0).cast("long"), "_bin": F.lit(0).cast("long")}), "quantile-ranks")
-
-    bins, found = keys, None
-    for shift in SHIFTS:
-        hist = data.groupBy(*bins, F.shiftright("_bits", shift).alias("_next")).agg(
+    def histogram(rows: DataFrame, by_bins: Sequence[str], shift: int) -> DataFrame:
+        return rows.groupBy(*by_bins, F.shiftright("_bits", shift).alias("_next")).agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         )
-        order = Window.partitionBy(*bins).orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)
+
+    def holding(hist: DataFrame) -> DataFrame:
+        """The needed ranks (from 0, ``_k``) in the bins that hold them."""
         at = F.col("_k") - F.col("_before")
-        inside = matched(hist.withColumn("_end", F.sum("_c").over(order)), targets.drop("_lo", "_hi"), bins)
-        inside = inside.where((at < F.col("_end")) & (at >= F.col("_end") - F.col("_c")))
-        inside = inside.select(
+        held = hist.where((at < F.col("_end")) & (at >= F.col("_end") - F.col("_c"))).select(
             *keys, "_n", "_i", "_pos", "_k", (F.col("_before") + F.col("_end") - F.col("_c")).alias("_before"),
             F.col("_next").alias("_bin"), "_lo", "_hi",
-        )
-        inside = materialize(inside, "quantile-ranks")
-        open_ = F.col("_lo") < F.col("_hi")
-        done, targets = inside.where(~open_), inside.where(open_)
-        found = done if found is None else found.unionByName(done)
+        )
+        return materialize(held, "quantile-ranks")
+
+    def running(by_bins: Sequence[str]) -> Column:
+        return F.sum("_c").over(Window.partitionBy(*by_bins).orderBy("_next").rowsBetween(Window.unboundedPreceding, 0))
+
+    # rows without a value are a bin of their own, so that every group is there
+    first = materialize(histogram(data, keys, SHIFTS[0]), "quantile-bins")
+    stats = first.groupBy(*keys).agg(F.sum(F.when(F.col("_next").isNotNull(), F.col("_c")).otherwise(0)).alias("_n"))
+    counted = first.where(F.col("_next").isNotNull()).withColumns({"_end": running(keys), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
+    # floor and ceil of p * (n - 1) for every prob
+    probed = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_prob")) for i, p in enumerate(probs)])
+    ranks = counted.withColumn("_p", F.explode(probed)).select("*", "_p._i", (F.col("_p._prob") * (F.col("_n") - 1)).alias("_pos"))
+    ends = F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))
+    inside = holding(ranks.withColumns({"_k": F.explode(ends), "_before": F.lit(0).cast("long")}))
+    found = inside.where("_lo >= _hi")
+    bins = [*keys, "_bin"]
+    for before, shift in zip(SHIFTS, SHIFTS[1:]):
+        targets = inside.where("_lo < _hi")
         if not targets.limit(1).count():
             break
         # the values of the open bins, for the passes that are left
-        held = targets.select(*keys, "_bin").distinct()
-        bins = [*keys, "_bin"]
-        data = matched(data.withColumn("_bin", F.shiftright("_bits", shift)), held, bins)
-        if shift == SHIFTS[0]:
+        held = targets.select(*bins).distinct()
+        data = matched(data.where(F.col("_bits").isNotNull()).withColumn("_bin", F.shiftright("_bits", before)), held, bins)
+        if before == SHIFTS[0]:
             data = materialize(data, "quantile-values")
+        hist = histogram(data, bins, shift).withColumn("_end", running(bins))
+        inside = holding(matched(hist, targets.drop("_lo", "_hi"), bins))
+        found = found.unionByName(inside.where("_lo >= _hi"))
 
-    assert found is not None
     picked = found.withColumn("_v", F.col("_lo"))
     lo = F.floor("_pos").cast("long")
     per_prob = picked.groupBy(*keys, "_n", "_i", "_pos").agg(
