@@ -115,13 +115,14 @@ def sequence_features(
     ``user_avg_amt``."""
     clock, frame, width = spec.column, spec.frame, spec.bucket
     k = frame // width
-    # NULL-clock rows are dealt over NULL_SPREAD sub-buckets, whatever their keys:
+    # NULL-clock rows are spread over NULL_SPREAD sub-buckets by a hash of the
+    # tie-break key and the amount (both branches read these, and a key may be NULL too):
     # they need no window (their count is the user's number of NULL-clock rows,
     # their previous clock is NULL), so a user with many unparseable times is not
-    # one task.  Every sub-bucket gets the same row of the small side, so a retried
-    # task may deal them otherwise.
-    bucket = F.coalesce(F.floor(F.col(clock) / F.lit(width)).cast("long"), F.lit(NULL_BUCKET))
-    sub = F.when(F.col("_bucket") == NULL_BUCKET, F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPREAD))).otherwise(0)
+    # one task.
+    spread_by = [tiebreak, *([amount] if amount else [])]
+    null_sub = F.lit(NULL_BUCKET) - F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD))
+    bucket = F.when(F.col(clock).isNull(), null_sub).otherwise(F.floor(F.col(clock) / F.lit(width)).cast("long"))
     # rows without a key are one user, as in a window; two columns that are never NULL stand
     # for the key, so that the joins below are plain equalities
     user = ["_user", "_keyless"]
@@ -135,11 +136,11 @@ def sequence_features(
     # its clock is known, as a narrow context copy for bucket b + k (wide
     # columns NULL, so the copy costs a few bytes in the shuffle).
     copies = F.when(F.col(clock).isNull(), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
-    doubled = base.withColumn("_sub", sub).select("*", F.explode(copies).alias("_own"))
+    doubled = base.select("*", F.explode(copies).alias("_own"))
     own = F.col("_own")
     both = doubled.select(
         *user,
-        (F.col("_bucket") + F.when(own, -F.col("_sub")).otherwise(F.lit(k))).alias("_bucket"),
+        (F.col("_bucket") + F.when(own, F.lit(0)).otherwise(F.lit(k))).alias("_bucket"),
         F.col(clock),
         F.col(tiebreak),
         own,
@@ -166,7 +167,7 @@ def sequence_features(
         *[F.col(c) for c in user],
         F.col("_bucket"),
         F.lag("_last").over(Window.partitionBy(*user).orderBy("_bucket")).alias("_prev_last"),
-        F.sum(F.when(F.col("_bucket") == NULL_BUCKET, F.col("_n")).otherwise(F.lit(0))).over(by_user).alias("_null_n"),
+        F.sum(F.when(F.col("_bucket") <= NULL_BUCKET, F.col("_n")).otherwise(F.lit(0))).over(by_user).alias("_null_n"),
         F.coalesce(
             F.sum("_n").over(Window.partitionBy(*user).orderBy("_bucket").rangeBetween(-(k - 1), -1)), F.lit(0)
         ).alias("_mid"),
@@ -177,8 +178,7 @@ def sequence_features(
             info_cols.append(
                 F.try_divide(F.sum("_sum_amt").over(by_user), F.sum("_n_amt").over(by_user)).alias("user_avg_amt")
             )
-    subs = F.when(F.col("_bucket") == NULL_BUCKET, F.sequence(F.lit(0), F.lit(NULL_SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    info = per_bucket.select(*info_cols).withColumn("_sub", F.explode(subs)).withColumn("_bucket", F.col("_bucket") - F.col("_sub")).drop("_sub")
+    info = per_bucket.select(*info_cols)
 
     joined = mine.join(info, on=[*user, "_bucket"], how="left")
     prev = F.coalesce(F.col("_lag"), F.col("_prev_last"))

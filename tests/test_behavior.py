@@ -127,3 +127,15 @@ def test_wide_rows_shuffle_once_by_user_and_bucket(spark):
     # the join back does not shuffle the window output again
     join_at = [i for i, ln in enumerate(plan) if "SortMergeJoin" in ln]
     assert join_at and not any("Exchange" in ln for ln in plan[join_at[0] + 1 : join_at[0] + 4])
+
+
+def test_rows_without_clock_and_key_are_spread(spark):
+    df = spark.range(2000).selectExpr("CAST(NULL AS STRING) trans_num", "'u' user_id", "CAST(NULL AS BIGINT) epoch_seconds", "CAST(id AS DOUBLE) amt")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = behavior.sequence_features(df, spec=behavior.EPOCH)
+        sizes = [n for (_, n) in rows(out.groupBy(F.spark_partition_id()).count())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 2000 and len(sizes) > 1 and max(sizes) < 1200
+    assert {(r.trans_count_last_24h, r.prev_clock, r.user_transaction_count) for r in out.collect()} == {(2000, None, 2000)}
