@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -95,6 +96,12 @@ def score_models(models: dict, test: DataFrame, features: Sequence[str] = modeli
     return scored.select("model", "trans_num", F.col(modeling.LABEL).cast("int").alias(modeling.LABEL), "prediction", "score")
 
 
+def row_counts(steps: dict[str, DataFrame]) -> DataFrame:
+    """(step, n_rows) of each step, in order: a lazy report, computed only when the caller asks for it."""
+    parts = [df.agg(F.lit(i).alias("i"), F.lit(name).alias("step"), F.count(F.lit(1)).alias("n_rows")) for i, (name, df) in enumerate(steps.items())]
+    return reduce(DataFrame.unionByName, parts).orderBy("i").drop("i")
+
+
 @dataclass
 class PipelineResult:
     features: DataFrame
@@ -151,6 +158,7 @@ def run_pipeline(
     else:
         balanced = balance(train, balance_method)
     result.balanced_train, result.test = balanced, test
+    result.reports["row_counts"] = row_counts({"raw": raw, "features": feats, "train": train, "balanced_train": balanced, "test": test})
     if do_training:
         models = modeling.train_all(balanced, names=model_names)
         preds = keep("predictions", lambda: score_models(models, test))

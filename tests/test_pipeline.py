@@ -33,6 +33,11 @@ def test_run_pipeline_end_to_end(spark):
     counts = dict(res.balanced_train.groupBy("is_fraud").count().collect())
     assert counts[0] == counts[1]
     assert res.balanced_train.join(res.test, "trans_num", "left_semi").count() == 0
+    # rows of each step, in order
+    steps = [(r.step, r.n_rows) for r in res.reports["row_counts"].collect()]
+    assert [s for s, _ in steps] == ["raw", "features", "train", "balanced_train", "test"]
+    n = dict(steps)
+    assert n["raw"] == raw.count() and n["train"] + n["test"] == n["features"] == res.features.count() and n["balanced_train"] == sum(counts.values())
     # metrics: one row per model; best model per metric; sinks written
     assert res.metrics.count() == 3
     assert sorted(r[0] for r in res.best.select("metric").collect()) == ["accuracy", "f1_score", "roc_auc"]
