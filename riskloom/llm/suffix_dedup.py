@@ -116,7 +116,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([one, two])
     triples = (text[sample] << bits << bits) | (text[sample + 1] << bits) | text[np.minimum(sample + 2, n + 2)]
-    order = np.argsort(triples, kind="stable")
+    order = np.argsort(triples)
     ordered = triples[order]
     new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     names = np.empty(len(sample), dtype=np.int64)
@@ -130,7 +130,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     wide = np.uint64((len(sample) + 1).bit_length())
     zero = np.arange(0, n, 3)
     by_one = (text[zero] << wide) | rank[zero + 1]
-    zero = zero[np.argsort(by_one, kind="stable")]
+    zero = zero[np.argsort(by_one)]
     # places of the remaining suffixes among those at 1 and at 2 mod 3
     at_one, at_two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     behind = np.searchsorted((text[at_one] << wide) | rank[at_one + 1], (text[zero] << wide) | rank[zero + 1])
@@ -369,15 +369,14 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merge_spans(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of overlapping or touching spans."""
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted(spans):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((begin, end))
-    return out
+    if not len(begin):
+        return []
+    order = np.argsort(begin)
+    begin, end = begin[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(begin[1:] > end[:-1]) + 1
+    return list(zip(begin[np.append(0, new)].tolist(), end[np.append(new - 1, len(end) - 1)].tolist()))
 
 
 def pieces(rows: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -411,6 +410,7 @@ def repeated_spans(contexts: DataFrame, group: int = GROUP) -> DataFrame:
     different = contexts.groupBy("anchor", "key").agg(F.min("doc_id").alias("first_id"), F.first("windows").alias("windows"), F.first("context").alias("context"))
     different = store(different, "op9-different", "zstd")
     crowded = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("anchor")
+    crowded = store(crowded, "op9-crowded")  # its size is known then, so that Spark need not move the other side
     few = different.join(crowded, "anchor", "left_anti")
     sorted_ = few.repartition(count, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_groups, "anchor long, key long, least array<bigint>")
     # too many surroundings for one string: window by window
@@ -428,22 +428,27 @@ def repeated_spans(contexts: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, texts, copies, spans in rows_of(batches, "doc_id", "text", "copy", "spans"):
-        out = []
-        for doc_id, text, copy, own in zip(ids, texts, copies, spans):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"]
+    for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
+        spans = batch.column("spans")
+        sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+        begins, ends = (spans.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        out, first = [], 0
+        for doc_id, text, copy, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy")), sizes.tolist()):
             data = _data(text)
             if copy:
                 gone = [(0, len(data))] if len(data) >= WINDOW else []
             else:
-                gone = merge_spans([(s["begin"], s["end"]) for s in own or []])
+                gone = merge_spans(begins[first : first + n], ends[first : first + n])
+            first += n
             at, kept = 0, hashlib.sha256()
             for begin, end in gone:
                 kept.update(data[at:begin])
                 at = end
             kept.update(data[at:])
             out.append((None if doc_id == NO_ID else doc_id, len(data), sum(e - b for b, e in gone), len(gone), kept.hexdigest(), [{"begin": b, "end": e} for b, e in gone]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
 def suffix_dedup(docs: DataFrame, group: int = GROUP) -> DataFrame:
