@@ -112,6 +112,7 @@ class PipelineResult:
     metrics: DataFrame | None = None
     best: DataFrame | None = None
     saved: dict[str, str] = field(default_factory=dict)
+    stages: Stages | None = None  # what was resumed and computed; ``stages.clean()`` deletes it
 
 
 def run_pipeline(
@@ -135,8 +136,10 @@ def run_pipeline(
     spark = raw.sparkSession
     if resume_dir:
         digest = input_digest(raw, balance_method=balance_method, clock=clock, model_names=tuple(model_names))
-        keep = Stages(spark, resume_dir, digest).keep
+        stages = Stages(spark, resume_dir, digest)
+        keep = stages.keep
     else:
+        stages = None
 
         def keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
             return files.materialize(make(), name)
@@ -147,7 +150,7 @@ def run_pipeline(
         feats = keep("features", lambda: engineer_features(prepared, clock=clock))
     else:
         feats = engineer_features(prepared, clock=clock)
-    result = PipelineResult(features=feats, balanced_train=feats, test=feats)
+    result = PipelineResult(features=feats, balanced_train=feats, test=feats, stages=stages)
     # T5 / A4: dropped-date counts as a lazy report (no job unless collected)
     result.reports["valid_dates"] = calendar.date_validity_report(calendar.parse_datetime(prepared))
     if do_eda:

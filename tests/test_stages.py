@@ -66,6 +66,10 @@ def test_a_killed_run_resumes_without_the_windows(spark, monkeypatch):
     assert calls["windows"] == 1  # the feature table and the balanced part were read
     assert done.metrics.count() == 1
     assert "hashpartitioning(_user" not in done.features._jdf.queryExecution().executedPlan().toString()
+    assert done.stages.resumed == ["features", "balanced-train"] and done.stages.computed == ["predictions"]
     again = run()
+    assert again.stages.computed == []
     assert sorted(rows(again.metrics)) == sorted(rows(done.metrics))
     assert again.features.where(F.col("amt").isNull()).count() == done.features.where(F.col("amt").isNull()).count()
+    again.stages.clean()
+    assert Stages(spark, folder, again.stages.digest).stored("features") is None
