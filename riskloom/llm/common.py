@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -93,13 +95,24 @@ _kept: dict = {}
 
 def worker_state(key: object, make: Callable[[], T]) -> T:
     """What ``make`` gives, kept in this worker process until another key is asked for:
-    a worker that serves one operator after the other holds the tables of one."""
+    a worker that serves one operator after the other holds the tables of one, and gives
+    the memory of the others back to the system."""
     if key not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            _give_back_memory()
         _kept[key] = make()
     return _kept[key]
 
 
+def _give_back_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -45,10 +45,10 @@ from riskloom.llm.common import exactly, rows_of, ship_package, store, worker_st
 CAPACITY = 2048
 END_ID = 1
 #: Pieces of a generation whose ids a worker keeps; it holds two generations.  Longer ones are not kept.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 CACHE_CHARS = 64
 #: Bytes of text whose words are looked up together.
-GROUP_BYTES = 1 << 21
+GROUP_BYTES = 1 << 20
 
 #: Latin letters whose lower case has one code point for each.
 _LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130")
