@@ -31,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import exactly, held_out, partitions, rows_of, ship_package, store, whole_rows, worker_state
+from riskloom.llm.common import SLICE_ROWS, exactly, held_out, partitions, rows_of, ship_package, store, whole_rows, worker_state
 
 #: Learning documents of a language; bounds the model's cost, not what is scored.
 SAMPLE_DOCS = 2000
@@ -52,6 +53,8 @@ ROUNDS = 2
 SMOOTHING = 0.1
 UNDETERMINED = "und"
 CACHE_ENTRIES = 500_000
+#: Words whose forward passes are made together.
+WORDS_TOGETHER = 4096
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -135,6 +138,61 @@ def log_likelihood(word: str, rows: dict[str, list[float]], byte_rows: list[list
     return [math.log(alpha[n][k]) + scale[k] for k in every]
 
 
+def beginnings(pieces: dict[str, int]) -> dict[str, int]:
+    """Everything that a piece begins with: the row of a piece, -1 for what is none itself."""
+    out = {piece[:k]: -1 for piece in pieces for k in range(1, len(piece))}
+    return out | pieces
+
+
+def log_likelihoods(words: list[str], begun: dict[str, int], byte_rows: list[int], p: np.ndarray) -> np.ndarray:
+    """``log_likelihood`` of many words, a row for each: the forward step to a position is
+    taken for all words together.  ``begun`` are the ``beginnings`` of the pieces."""
+    # the pieces that end at each position, each one number: word, length and row
+    ends: list[list[int]] = [[] for _ in range(max(map(len, words), default=0) + 2)]
+    get = begun.get
+    others: dict[str, int] = {}  # a character without a piece has a row of its own
+    for i, word in enumerate(words):
+        text = MARK + word
+        n = len(text)
+        for start in range(n):
+            code = (i << 40) + row if (row := get(text[start], -1)) >= 0 else (i << 40) + others.setdefault(text[start], len(p) + len(others))
+            end = start + 1
+            ends[end].append(code + (1 << 32))
+            row = get(text[start : end + 1]) if end < n else None
+            while row is not None:
+                end += 1
+                if row >= 0:
+                    ends[end].append((i << 40) + (end - start << 32) + row)
+                row = get(text[start : end + 1]) if end < n else None
+    if others:
+        p = np.concatenate([p, [np.prod(p[[byte_rows[b] for b in c.encode("utf-8", "surrogatepass")]], axis=0) for c in others]])
+    n, languages = len(words), p.shape[1]
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=n) + 1
+    scale = np.zeros((n, languages))
+    ring = np.zeros((MAX_PIECE + 1, n, languages))  # forward values of the last positions
+    ring[0] = 1.0
+    out = np.zeros((n, languages))
+    for end in range(1, len(ends)):
+        now = ring[end % (MAX_PIECE + 1)]
+        now[:] = 0.0
+        if not ends[end]:
+            break
+        codes = np.array(ends[end], dtype=np.int64)  # in the order of the words
+        i, start, row = codes >> 40, end - (codes >> 32 & 0xFF), codes & 0xFFFF_FFFF
+        first = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+        own = i[first]
+        now[own] = np.add.reduceat(ring[start % (MAX_PIECE + 1), i] * p[row], first, axis=0)
+        low = np.zeros_like(now, dtype=bool)
+        low[own] = now[own] < _TINY  # keep the numbers of a long word in range
+        if low.any():
+            up = 1.0 / np.where(low, np.where(now > 0, now, 1e-300), 1.0)
+            scale -= np.log(up)
+            ring *= up
+        done = own[sizes[own] == end]
+        out[done] = np.log(now[done]) + scale[done]
+    return out
+
+
 def _sum_of_logs(values: list[float]) -> float:
     top = max(values, default=-math.inf)
     return top if top == -math.inf else top + math.log(math.fsum(math.exp(v - top) for v in values))
@@ -263,11 +321,9 @@ class Scorer:
     """Posteriors of whole texts; word scores met lately are looked up."""
 
     def __init__(self, model: Model):
+        self.model = model
         self.languages = model.languages
-        values = model.probabilities.tolist()
-        self.rows = {piece: values[r] for piece, r in model.pieces.items()}
-        self.byte_rows = [values[r] for r in model.byte_rows]
-        self.letters = model.letters
+        self.begun = beginnings(model.pieces)
         self.unseen = min(model.letters.values(), default=0.0)
         self._forget()
 
@@ -276,26 +332,36 @@ class Scorer:
         # of each word: the logarithms for each language, and for letters without an order
         self.scores = np.zeros((1024, len(self.languages) + 1))
 
-    def _learn(self, words: set[str]) -> None:
-        for w in words:
-            at = len(self.known)
-            if at == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[at, :-1] = log_likelihood(w, self.rows, self.byte_rows, len(self.languages))
-            self.scores[at, -1] = sum(self.letters.get(c, self.unseen) for c in MARK + w)
-            self.known[w] = at
-
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """The language, its posterior, and how much better the language explains the text than
-        letters without an order."""
-        words = words_of(text)
-        if not words or not self.languages:
-            return UNDETERMINED, 0.0, 0.0
+    def _learn(self, words: list[str]) -> None:
+        at, letters = len(self.known), self.model.letters
+        while at + len(words) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        rows = self.scores[at : at + len(words)]
+        rows[:, :-1] = log_likelihoods(words, self.begun, self.model.byte_rows, self.model.probabilities)
+        start = letters.get(MARK, self.unseen)
+        rows[:, -1] = [start + sum([letters.get(c, self.unseen) for c in w]) for w in words]
+        self.known.update(zip(words, range(at, at + len(words))))
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Keep the scores of all words of some texts."""
         if len(self.known) > CACHE_ENTRIES:
             self._forget()
-        missing = {w for w in words if w not in self.known}
-        if missing:
-            self._learn(missing)
+        missing = list(set(chain.from_iterable(texts)).difference(self.known)) if self.languages else []
+        # words of like length together
+        missing.sort(key=len)
+        for k in range(0, len(missing), WORDS_TOGETHER):
+            self._learn(missing[k : k + WORDS_TOGETHER])
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Of each text the language, its posterior, and how much better the language explains it
+        than letters without an order."""
+        words = [words_of(t) for t in texts]
+        self.learn(words)
+        return [self._predict(w) for w in words]
+
+    def _predict(self, words: list[str]) -> tuple[str, float, float]:
+        if not words or not self.languages:
+            return UNDETERMINED, 0.0, 0.0
         total = self.scores[np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
         total, unordered = total[:-1], total[-1]
         best = int(np.argmax(total))
@@ -310,7 +376,9 @@ def prediction(spark: SparkSession, model: Model, text: Column) -> Column:
     @pandas_udf("lang_pred string, score double, evidence double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         scorer = worker_state(("langid", number), lambda: Scorer(shared.value))
-        out = [scorer.predict(t) for t in texts]
+        out = []
+        for at in range(0, len(texts), SLICE_ROWS):
+            out += scorer.predict_all(texts.iloc[at : at + SLICE_ROWS].tolist())
         return pd.DataFrame(out, columns=["lang_pred", "score", "evidence"])
 
     return predict(text)

@@ -55,6 +55,20 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(long) and long < -1000
 
 
+def test_many_words_are_scored_as_each_alone():
+    rng = random.Random(6)
+    pieces, byte_rows = langid.read_pieces(PIECES)
+    p = np.random.default_rng(1).random((1 + max([*pieces.values(), *byte_rows]), 3))
+    p /= p.sum(axis=0)
+    known = [w for w in pieces if len(w) > 1]
+    words = ["".join(rng.choice(known) for _ in range(rng.randrange(1, 4))).replace("▁", "") for _ in range(300)]
+    words = [w for w in words if w] + ["x", "漢" * 80, "ӝ" * 40, "ab" * 900, "ñé", "😀"]
+    rows = {piece: p[r].tolist() for piece, r in pieces.items()}
+    want = [langid.log_likelihood(w, rows, [p[r].tolist() for r in byte_rows], 3) for w in words]
+    assert np.allclose(langid.log_likelihoods(words, langid.beginnings(pieces), byte_rows, p), want)
+    assert langid.log_likelihoods([], langid.beginnings(pieces), byte_rows, p).shape == (0, 3)
+
+
 def test_expected_uses_explain_the_word():
     pieces = {"▁": 0, "▁a": 1, "a": 2, "b": 3, "ab": 4}
     found = {}
