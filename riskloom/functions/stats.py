@@ -19,22 +19,11 @@ def hash32(key: Column, salt: str | None = None) -> Column:
 
 
 def ordered_bits(x: Column) -> Column:
-    """A double as a 64-bit integer of the same order, from its sign, exponent and
-    fraction: what its IEEE 754 bits are, with the order of negative numbers turned.
+    """A double as a 64-bit integer of the same order: its IEEE 754 bits, with the order of
+    negative numbers turned.
 
     0.0 and -0.0 are 0; infinite values lie beyond the finite ones; NULL and NaN are
-    for the caller to leave out.  Every step is exact: powers of two, and products and
-    quotients by them."""
-    least_normal, one = 2.0**-1022, 2**52
-    a = F.abs(x)
-    normal = (a >= least_normal) & (a < F.lit(float("inf")))
-    b = F.when(normal, a).otherwise(1.0)
-    rough = F.least(F.floor(F.log2(b)).cast("int"), F.lit(1023))  # off by one at most
-    power = F.pow(F.lit(2.0), rough.cast("double"))
-    shift = F.when(power > b, -1).when(b >= power * 2.0, 1).otherwise(0)
-    exponent = rough + shift
-    scaled = b / power * F.when(shift == -1, 2.0).when(shift == 1, 0.5).otherwise(1.0)
-    bits = (exponent + 1023).cast("long") * one + ((scaled - 1.0) * float(one)).cast("long")
-    small = (F.when(a < least_normal, a).otherwise(0.0) * 2.0**537 * 2.0**537).cast("long")
-    magnitude = F.when(normal, bits).when(a < least_normal, small).otherwise(2047 * one)
-    return F.when(x < 0, -magnitude).otherwise(magnitude)
+    for the caller to leave out.  One call of the JVM's own conversion: the bits as an expression of
+    logarithms and powers grow a stage's code beyond what the JVM compiles."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.abs(x)).cast("long")
+    return F.when(x < 0, -bits).when(x >= 0, bits)  # no call for NULL
