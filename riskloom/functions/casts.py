@@ -23,7 +23,7 @@ def parse_label(c: Column) -> Column:
 
 def strip_quotes(c: Column) -> Column:
     """Remove double quotes and trim."""
-    return F.trim(F.regexp_replace(c, '"', ""))
+    return F.trim(F.translate(c, '"', ""))
 
 
 def to_float(c: Column) -> Column:

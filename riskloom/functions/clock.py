@@ -18,7 +18,7 @@ ISO_PREFIX = r"^\d{4}-"
 
 def date_clean(c: Column) -> Column:
     """Strip double quotes and trim."""
-    return F.trim(F.regexp_replace(c, '"', ""))
+    return F.trim(F.translate(c, '"', ""))
 
 
 

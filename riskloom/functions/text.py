@@ -19,14 +19,14 @@ def normalize_text(c: Column) -> Column:
     Two regex passes instead of four: deleting both characters is one class,
     and folding ``[\t\r\n]+`` before collapsing ``\s+`` gives the same text as
     collapsing ``\s+`` alone (every such run ends up as one space)."""
-    s = F.regexp_replace(c.cast("string"), r'[\\"]', "")
+    s = F.translate(c.cast("string"), '\\"', "")
     s = F.regexp_replace(s, r"\s+", " ")
     return F.trim(s)
 
 
 def null_if_sentinel(c: Column) -> Column:
     """The sentinel spellings become NULL."""
-    return F.when(c.isin(*NULL_SENTINELS), F.lit(None).cast("string")).otherwise(c)
+    return F.when(F.array_contains(F.array(*[F.lit(s) for s in NULL_SENTINELS]), c), F.lit(None).cast("string")).otherwise(c)
 
 
 def merchant_spacing(c: Column) -> Column:
@@ -41,7 +41,7 @@ def merchant_spacing(c: Column) -> Column:
 
 def blank_to_null(s: Column) -> Column:
     """C4: a blank value is NULL (after ``merchant_spacing`` blank means empty)."""
-    return F.when(s.isNull() | (s == ""), F.lit(None).cast("string")).otherwise(s)
+    return F.nullif(s, F.lit(""))
 
 
 def clean_merchant_text(c: Column) -> Column:
