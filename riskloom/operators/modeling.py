@@ -103,8 +103,8 @@ def train_model(train: DataFrame, name: str, features: Sequence[str] = MODEL_FEA
 def train_all(
     train: DataFrame, names: Sequence[str] = MODEL_NAMES, features: Sequence[str] = MODEL_FEATURES
 ) -> dict[str, PipelineModel]:
-    """Fit every model on one persisted copy of the training rows."""
-    data = prepare_training(train, features).persist()
+    """Fit every model on one persisted copy of the training rows, of the columns that the models read."""
+    data = prepare_training(train, features).select(LABEL, *select_features(train, features)).persist()
     try:
         return {n: model_pipeline(n, features).fit(data) for n in names}
     finally:

@@ -36,9 +36,13 @@ IN_PLACE = 16
 
 
 def with_hash(df: DataFrame, key: str = KEY, name: str = "_h", salt: str | None = None) -> DataFrame:
-    """Add the 32-bit hash of the key; of the whole row where the key is NULL."""
+    """Add the 32-bit hash of the key; of the whole row where the key is NULL.
+
+    The hash comes out of a one-element generator: conditions on it stay above, so that each
+    row is hashed once however often a condition names the hash."""
     row = F.xxhash64(*df.columns).cast("string")
-    return df.withColumn(name, hash32(F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row#"), row)), salt))
+    hashed = hash32(F.coalesce(F.col(key).cast("string"), F.concat(F.lit("row#"), row)), salt)
+    return df.select(*[c for c in df.columns if c != name], F.inline(F.array(F.struct(hashed.alias(name)))))
 
 
 def _digits(h: Column, t: Column) -> list[Column]:
@@ -47,20 +51,22 @@ def _digits(h: Column, t: Column) -> list[Column]:
     return [F.shiftright(h, 16), h.bitwiseAND(low)] + [F.shiftrightunsigned(t, k).bitwiseAND(low) for k in (48, 32, 16, 0)]
 
 
-def flag_smallest(df: DataFrame, n: int, hash_col: str = "_h", flag: str = "_sel") -> DataFrame:
+def flag_smallest(df: DataFrame, n: int, hash_col: str = "_h", flag: str = "_sel", among: Column | None = None) -> DataFrame:
     """Add boolean ``flag``: the row is among the ``n`` smallest (exactly
-    ``min(n, rows)`` rows).  See the module docstring."""
+    ``min(n, rows)`` rows), of those that fulfil ``among`` where it is given (never
+    NULL).  See the module docstring."""
+    among = F.lit(True) if among is None else among
     tie = F.xxhash64(*[c for c in df.columns if c != hash_col])
     rows = df.withColumn("_t", tie)
     digits = _digits(F.col(hash_col), F.col("_t"))
-    equal, below, need = F.lit(True), F.lit(False), n
+    equal, below, need = among, F.lit(False), n
     for digit in digits:
         hist = rows.where(equal).groupBy(digit.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("c"))
         run = hist.withColumn("run", F.sum("c").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
         # one row reaches the driver: the first bin by which enough rows are seen
         cut = run.where(F.col("run") >= need).agg(F.min_by(F.struct("bin", "c", "run"), "bin").alias("cut")).first()["cut"]
         if cut is None:  # fewer rows than asked for
-            return df.withColumn(flag, F.lit(True))
+            return df.withColumn(flag, among)
         below = below | (equal & (digit < cut["bin"]))
         equal = equal & (digit == cut["bin"])
         need -= cut["run"] - cut["c"]
@@ -131,10 +137,10 @@ def undersample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | N
     labelled = df.where(F.col(label).isin(0, 1))
     if n_min == 0:
         return labelled
-    minority = 1 if n1 <= n0 else 0
-    keep_minor = labelled.where(F.col(label) == minority)
-    major = labelled.where(F.col(label) != minority)
-    return keep_minor.unionByName(smallest_n(major, n_min, key=key, salt=_salt(seed)))
+    minor = F.col(label) == (1 if n1 <= n0 else 0)
+    # one scan for both classes
+    flagged = flag_smallest(with_hash(labelled, key, salt=_salt(seed)), n_min, among=~minor)
+    return flagged.where(minor | F.col("_sel")).drop("_sel", "_h")
 
 
 def oversample(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int | None = None) -> DataFrame:
