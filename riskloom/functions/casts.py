@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskloom.functions.text import without
+
 # Fixed values (reference behaviour): the label keeps only a leading 0/1, the
 # population keeps its first digit run.
 LABEL_PATTERN = r"^([01])"
@@ -23,7 +25,7 @@ def parse_label(c: Column) -> Column:
 
 def strip_quotes(c: Column) -> Column:
     """Remove double quotes and trim."""
-    return F.trim(F.translate(c, '"', ""))
+    return F.trim(without(c, '"'))
 
 
 def to_float(c: Column) -> Column:

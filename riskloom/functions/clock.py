@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskloom.functions.text import without
+
 # Fixed values (reference behaviour): year = first 19xx/20xx run of the date part.
 YEAR_PATTERN = r"(19|20)\d{2}"
 ISO_PREFIX = r"^\d{4}-"
@@ -18,7 +20,7 @@ ISO_PREFIX = r"^\d{4}-"
 
 def date_clean(c: Column) -> Column:
     """Strip double quotes and trim."""
-    return F.trim(F.translate(c, '"', ""))
+    return F.trim(without(c, '"'))
 
 
 

@@ -2,10 +2,12 @@
 
 import contextlib
 import io
+import random
 import re
 
 from pyspark.sql import functions as F
 
+from riskloom.functions import text
 from riskloom.operators import modeling, sampling
 
 from conftest import rows
@@ -68,3 +70,14 @@ def test_only_the_columns_of_the_models_are_cached(spark, monkeypatch):
     train = spark.createDataFrame([(1, 2.0, "wide", None)], "is_fraud int, amt double, merchant string, hour int")
     modeling.train_all(train, names=["a", "b"], features=["amt", "hour"])
     assert seen == [(["is_fraud", "amt", "hour"], True)] * 2
+
+
+def test_cleaning_searches_instead_of_copying(spark):
+    rnd = random.Random(3)
+    made = ["".join(rnd.choices('ab\\"\t\r\n \x0b\x0c\x1cé😀 ', k=rnd.randint(0, 9))) for _ in range(500)] + ["", None]
+    df = spark.createDataFrame([(s,) for s in made], "s string")
+    out = df.select("s", text.normalize_text(F.col("s")).alias("t"))
+    assert "translate" not in plan(out).lower()
+    for s, t in rows(out):
+        kept = None if s is None else re.sub("[ \t\n\x0b\x0c\r]+", " ", s.replace("\\", "").replace('"', "")).strip(" ")
+        assert t == kept
